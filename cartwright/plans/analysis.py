@@ -25,10 +25,11 @@ def histogram(df: DataFrame, column: str, bins: int, log: bool = False) -> DataF
     x = F.col(column).cast("double")
     values = df.where(x > 0).select(F.log10(x).alias("x")) if log else df.where(x.isNotNull()).select(x.alias("x"))
     ends = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("e")).scalar()
-    width = (ends["hi"] - ends["lo"]) / bins
-    slot = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor((F.col("x") - ends["lo"]) / width), F.lit(bins - 1)))
-    counts = values.groupBy(slot.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    low, high = ends["lo"] + F.col("bin") * width, ends["lo"] + (F.col("bin") + 1) * width
+    lo, width = F.col("_e.lo"), (F.col("_e.hi") - F.col("_e.lo")) / bins
+    slot = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1)))
+    slots = values.withColumn("_e", ends).select(slot.cast("int").alias("bin"))
+    counts = slots.groupBy("bin").agg(F.count(F.lit(1)).alias("count")).withColumn("_e", ends)
+    low, high = lo + F.col("bin") * width, lo + (F.col("bin") + 1) * width
     if log:
         low, high = F.pow(F.lit(10.0), low), F.pow(F.lit(10.0), high)
     return counts.select("bin", low.alias("low"), high.alias("high"), "count")

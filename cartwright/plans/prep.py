@@ -115,8 +115,8 @@ def purchase_frequency(behavior_features: DataFrame, probs: tuple[float, float]
         behavior_features, {"low": ("total_orders", probs[0]), "high": ("total_orders", probs[1])}
     )
     n = F.col("total_orders")
-    label = F.when(n <= cut["low"], "low").when(n <= cut["high"], "medium").otherwise("high")
-    return behavior_features.select("user_id", label.alias("purchase_frequency"))
+    label = F.when(n <= F.col("_cut.low"), "low").when(n <= F.col("_cut.high"), "medium").otherwise("high")
+    return behavior_features.withColumn("_cut", cut).select("user_id", label.alias("purchase_frequency"))
 
 
 def attach_optional(df: DataFrame, table: DataFrame | None, column: str, default) -> DataFrame:

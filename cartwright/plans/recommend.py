@@ -399,11 +399,12 @@ def insurance_fill(summary: DataFrame, ranked: DataFrame, popularity: DataFrame)
     lists = ranked.groupBy("request_id").agg(F.array_sort(F.collect_list(item)).alias("ranked"))
     out = summary.select("request_id", "user_id", "top_k", "rule_candidates").join(lists, "request_id", "left")
     overall = popularity_arrays(popularity.where(F.col("tier") == "global")).select("items").scalar()
-    done = F.col("ranked.product_id")
+    none = F.expr("cast(array() as array<bigint>)")
     gap = F.greatest(F.col("top_k") - F.size("ranked"), F.lit(0))
-    extra = F.slice(F.array_except(F.coalesce(overall, F.expr("cast(array() as array<bigint>)")), done), F.lit(1), gap)
+    rest = F.array_except(F.coalesce("_popular", none), F.col("ranked.product_id"))
+    out = out.withColumn("_popular", overall).withColumn("_extra", F.slice(rest, F.lit(1), gap))
     filled = F.transform(
-        extra,
+        "_extra",
         lambda p, i: F.struct(
             (F.size("ranked") + i + 1).alias("rank"),
             p.alias("product_id"),
@@ -416,7 +417,9 @@ def insurance_fill(summary: DataFrame, ranked: DataFrame, popularity: DataFrame)
         "cast(array() as array<struct<rank:int,product_id:bigint,score:double,source:array<string>,levels:array<string>>>)"
     )
     items = F.when(F.col("ranked").isNull(), empty).otherwise(F.concat("ranked", filled))
-    return out.withColumn("items", items).withColumn("ranked_count", F.coalesce(F.size("ranked"), F.lit(0))).drop("ranked")
+    return out.withColumn("items", items).withColumn("ranked_count", F.coalesce(F.size("ranked"), F.lit(0))).drop(
+        "ranked", "_popular", "_extra"
+    )
 
 
 def recommendation_rows(final: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cartwright.config import BEHAVIOR_FEATURES, LOG_FEATURES
 from cartwright.functions import labels
 from cartwright.functions.scoring import from_units, round_half_up, to_units
+from cartwright.lineage import stage
 from cartwright.operators.quantiles import exact_quantiles, quantile_struct, unpivot
 from cartwright.operators.ranking import top_n
 from cartwright.plans.prep import attach_optional, require_columns
@@ -45,15 +46,16 @@ def lifecycle_thresholds(features: DataFrame) -> DataFrame:
 def lifecycle_stage(features: DataFrame, thresholds: Column | None = None) -> DataFrame:
     """vip, loyal, regular or new by the quantiles of all users (or given thresholds)."""
     require_columns(features, ["user_id", "total_orders", "active_days", "active_span"])
-    t = thresholds if thresholds is not None else quantile_struct(features, LIFECYCLE_THRESHOLDS)
+    cuts = thresholds if thresholds is not None else quantile_struct(features, LIFECYCLE_THRESHOLDS)
+    t = F.col("_cuts")
     orders, days, span = F.col("total_orders"), F.col("active_days"), F.col("active_span")
-    stage = (
+    label = (
         F.when((orders >= t["orders_q90"]) & (span >= t["span_q70"]), "vip")
         .when((orders >= t["orders_q70"]) & (days >= t["days_q80"]), "loyal")
         .when(orders >= t["orders_q40"], "regular")
         .otherwise("new")
     )
-    return features.select("user_id", stage.alias("lifecycle_stage"))
+    return features.withColumn("_cuts", cuts).select("user_id", label.alias("lifecycle_stage"))
 
 
 def frequencies(df: DataFrame, column: str, name: str = "num_users") -> DataFrame:
@@ -84,7 +86,7 @@ def user_segments(
 
 
 def behavior_bounds(features: DataFrame, columns: Sequence[str] = BEHAVIOR_FEATURES) -> DataFrame:
-    """The fit-time model of the behavior vectorizer: one row per feature.
+    """The fit-time model of the behavior vectorizer: one row per feature, written once.
 
     Clip bounds are the 1 % and 99 % quantiles; mean and population deviation are those of the
     clipped (and, for counts, logged) values.
@@ -97,7 +99,7 @@ def behavior_bounds(features: DataFrame, columns: Sequence[str] = BEHAVIOR_FEATU
     # One row per feature name, so the hint is safe.
     clipped = long.join(F.broadcast(clip), "feature").withColumn("x", _clip_log())
     moments = clipped.groupBy("feature").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
-    return clip.join(moments, "feature")
+    return stage(clip.join(moments, "feature"), "behavior-model")
 
 
 def _clip_log() -> Column:
@@ -117,13 +119,13 @@ def behavior_vectorize(
     ).select(F.struct(*columns).alias("m")).scalar()
     out = []
     for c in columns:
-        m = stats[c]
+        m = F.col("_m")[c]
         x = F.least(F.greatest(F.col(c).cast("double"), m["low"]), m["high"])
         x = F.log1p(x) if c in LOG_FEATURES else x
         # A constant feature is centred only.
         spread = F.when(m["std"] == 0, F.lit(1.0)).otherwise(m["std"])
         out.append(((x - m["mean"]) / spread).alias(c))
-    return features.select("user_id", *out)
+    return features.withColumn("_m", stats).select("user_id", *out)
 
 
 def preference_pivot(preference: DataFrame, departments: Sequence[str]) -> DataFrame:
@@ -188,12 +190,12 @@ def assign_cluster(
     """Nearest centroid per row (the lowest id on a tie); cold rows get the default cluster."""
     point = F.array(*[F.col(c).cast("double") for c in columns])
     ranked = F.array_min(
-        F.transform(centroids, lambda c: F.struct(squared_distance(c["point"], F.col("_p")).alias("d"), c["cluster"].alias("k")))
+        F.transform("_c", lambda c: F.struct(squared_distance(c["point"], F.col("_p")).alias("d"), c["cluster"].alias("k")))
     )
     label = ranked["k"]
     if cold is not None:
         label = F.when(cold, F.lit(default_cluster)).otherwise(label)
-    return df.withColumn("_p", point).withColumn("cluster", label).drop("_p")
+    return df.withColumns({"_p": point, "_c": centroids}).withColumn("cluster", label).drop("_p", "_c")
 
 
 def is_cold() -> Column:
@@ -213,14 +215,15 @@ def scale_summary(summary: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Min-max scale the columns over the clusters; a constant column becomes 0."""
     # The summary has one row per cluster; its ends come from a scalar subquery.
     ends = [F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in columns]
-    e = summary.agg(*ends).select(F.struct(*columns).alias("e")).scalar()
+    both = summary.agg(*ends).select(F.struct(*columns).alias("e")).scalar()
+    e = F.col("_e")
     scaled = [
         F.when(e[c]["hi"] == e[c]["lo"], F.lit(0.0))
         .otherwise((F.col(c) - e[c]["lo"]) / (e[c]["hi"] - e[c]["lo"]))
         .alias(c)
         for c in columns
     ]
-    return summary.select("cluster", *scaled)
+    return summary.withColumn("_e", both).select("cluster", *scaled)
 
 
 def label_behavior(summary: DataFrame) -> DataFrame:
@@ -294,12 +297,13 @@ def cluster_quality(df: DataFrame, columns: Sequence[str], assigned: str = "clus
     clusters = per.agg(F.array_sort(F.collect_list(cell)).alias("c"))
     cs = clusters.scalar()
 
-    own = F.filter(cs, lambda c: c["k"] == F.col("k"))[0]
+    rows = rows.withColumn("_cs", cs)
+    own = F.filter("_cs", lambda c: c["k"] == F.col("k"))[0]
     d2 = squared_distance(F.col("p"), F.col("own.m"))
     to = lambda c: F.col("x2") - 2 * F.aggregate(
         F.zip_with(F.col("p"), c["m"], lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v
     ) + c["sq"]
-    others = F.array_min(F.transform(F.filter(cs, lambda c: c["k"] != F.col("k")), to))
+    others = F.array_min(F.transform(F.filter("_cs", lambda c: c["k"] != F.col("k")), to))
     n = F.col("own.n")
     a = F.when(n > 1, to(F.col("own")) * n / (n - 1))
     scored = rows.withColumn("own", own).withColumn("x2", norm).select(
@@ -316,7 +320,7 @@ def cluster_quality(df: DataFrame, columns: Sequence[str], assigned: str = "clus
         F.sum("sil").alias("sil"),
         F.count(F.lit(1)).alias("k"),
         F.array_sort(F.collect_list(F.struct("k", "s"))).alias("spread"),
-    ).withColumn("c", F.transform(cs, lambda c: c))
+    ).withColumn("c", cs)
     mean_all = F.transform(
         F.sequence(F.lit(0), F.lit(len(columns) - 1)),
         lambda i: F.aggregate("c", F.lit(0.0), lambda s, c: s + c["n"] * F.get(c["m"], i)) / F.col("total"),
@@ -358,8 +362,9 @@ def find_k(vectors: DataFrame, columns: Sequence[str], ks: Sequence[int], seed:
 def select_k(metrics: DataFrame, min_k: int = 3, window: int = 2, tolerance: float = 0.92) -> DataFrame:
     """Elbow at the largest change of inertia, then the largest k of near-best silhouette.
 
-    ``metrics`` has one row per tried k.
+    ``metrics`` has one row per tried k and is written once, as three steps read it.
     """
+    metrics = stage(metrics, "k-metrics")
     step = Window.partitionBy(F.lit(0)).orderBy("k")
     delta = F.abs(F.col("inertia") - F.lag("inertia").over(step))
     steps = metrics.where(F.col("k") >= min_k).withColumn("delta_inertia", delta)

@@ -55,6 +55,15 @@ class Fixture:
     def behavior(self) -> DataFrame:
         return features.behavior_features(self.orders, self.brand_lines)
 
+    @cached_property
+    def features(self) -> DataFrame:
+        return stage(self.behavior, "behavior-features")
+
+    @cached_property
+    def vectors(self) -> DataFrame:
+        model = segments.behavior_bounds(self.features)
+        return stage(segments.behavior_vectorize(self.features, model), "behavior-vectors")
+
     @cached_property
     def preference(self) -> DataFrame:
         return features.preference_features(self.orders, self.lines, self.part.products(), self.part.departments())

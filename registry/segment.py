@@ -1,6 +1,7 @@
 """Queries on segments, clusters and their quality."""
 
 from cartwright.config import BEHAVIOR_FEATURES
+from cartwright.lineage import stage
 from cartwright.plans import analysis, segments
 from registry.common import F, Fixture, near, shown
 from registry.fixture import DEPARTMENTS, POINTS
@@ -54,7 +55,7 @@ PARTS["x_scaled"] = (
 
 
 def _vectors(f):
-    return segments.behavior_vectorize(f.behavior, segments.behavior_bounds(f.behavior))
+    return segments.behavior_vectorize(f.features, segments.behavior_bounds(f.features))
 
 
 @query(
@@ -289,10 +290,11 @@ def _k_metrics(f):
     """Inertia and centroid silhouette of equal-width bands for each k, in one pass."""
     ends = f.behavior.agg(F.struct(F.min("total_orders").alias("lo"), F.max("total_orders").alias("hi")).alias("e")).scalar()
     k = F.col("k")
-    slot = F.least(F.floor((F.col("total_orders") - ends["lo"]) * k / (ends["hi"] - ends["lo"])), k - 1)
+    lo, hi = F.col("_e.lo"), F.col("_e.hi")
+    slot = F.least(F.floor((F.col("total_orders") - lo) * k / (hi - lo)), k - 1)
     # Users with the same number of orders share their place, so they are counted first.
     counted = f.behavior.groupBy("total_orders").agg(F.count(F.lit(1)).alias("n"))
-    cells = counted.withColumn("k", F.explode(F.array(*[F.lit(v) for v in KS]).cast("array<bigint>"))).withColumn("cell", slot)
+    cells = counted.withColumn("_e", ends).withColumn("k", F.explode(F.array(*[F.lit(v) for v in KS]).cast("array<bigint>"))).withColumn("cell", slot)
     means = cells.groupBy("k", "cell").agg((F.sum(F.col("total_orders") * F.col("n")) / F.sum("n")).alias("m"))
     table = means.groupBy("k").agg(F.collect_list(F.struct("cell", "m")).alias("ms"))
     x = F.col("total_orders")
@@ -326,7 +328,7 @@ def select_k(spark, path):
 @query("behavior_kmeans")
 def behavior_kmeans(spark, path):
     f = Fixture.of(spark, path)
-    vectors = _vectors(f)
+    vectors = f.vectors
     model = segments.fit_kmeans(segments.as_vectors(vectors, BEHAVIOR_FEATURES), 5, 42, 10)
     return segments.assign_cluster(vectors, BEHAVIOR_FEATURES, segments.model_centroids(model)).select("user_id", "cluster")
 
@@ -334,7 +336,7 @@ def behavior_kmeans(spark, path):
 @query("preference_kmeans")
 def preference_kmeans(spark, path):
     wide = segments.preference_pivot(Fixture.of(spark, path).preference, DEPARTMENTS)
-    vectors = segments.l1_normalize(wide, DEPARTMENTS)
+    vectors = stage(segments.l1_normalize(wide, DEPARTMENTS), "preference-vectors")
     model = segments.fit_kmeans(segments.as_vectors(vectors, DEPARTMENTS), 5, 42, 10)
     return segments.assign_cluster(vectors, DEPARTMENTS, segments.model_centroids(model)).select("user_id", "cluster")
 
@@ -342,12 +344,12 @@ def preference_kmeans(spark, path):
 @query("find_k")
 def find_k(spark, path):
     f = Fixture.of(spark, path)
-    vectors = segments.as_vectors(_vectors(f), BEHAVIOR_FEATURES)
+    vectors = segments.as_vectors(f.vectors, BEHAVIOR_FEATURES)
     return segments.find_k(vectors, BEHAVIOR_FEATURES, range(2, 10), 42, 2)
 
 
 @query("cluster_pca")
 def cluster_pca(spark, path):
     f = Fixture.of(spark, path)
-    vectors = segments.as_vectors(_vectors(f).join(f.behavior_clusters, "user_id"), BEHAVIOR_FEATURES)
+    vectors = segments.as_vectors(f.vectors.join(f.behavior_clusters, "user_id"), BEHAVIOR_FEATURES)
     return segments.cluster_pca(vectors)[1]

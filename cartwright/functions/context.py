@@ -79,3 +79,18 @@ def infer_level(key: Column, levels: Mapping[str, Sequence[str]] = CONTEXT_LEVEL
             needed = F.array(*[F.lit(d) for d in wanted])
             chosen = chosen.when(F.size(F.array_except(needed, dims)) == 0, F.lit(level))
     return chosen.otherwise(F.lit("L5"))
+
+
+def level_bit(level: Column, levels: Sequence[str] = tuple(CONTEXT_LEVELS)) -> Column:
+    """One bit per level, so that a set of levels is a number and needs no list while grouping."""
+    chosen = None
+    for i, name in enumerate(levels):
+        test = level == name
+        chosen = F.when(test, F.lit(1 << i)) if chosen is None else chosen.when(test, F.lit(1 << i))
+    return chosen.otherwise(F.lit(0))
+
+
+def levels_of(mask: Column, levels: Sequence[str] = tuple(CONTEXT_LEVELS)) -> Column:
+    """The level names of a bit mask, in order."""
+    names = [F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.lit(name)) for i, name in enumerate(levels)]
+    return F.array_compact(F.array(*names))

@@ -13,6 +13,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Rows, not bytes: a compressed file can be far smaller than the table it holds.
+BROADCAST_ROWS = 500_000
 
 
 def folder(spark: SparkSession) -> str:
@@ -32,3 +36,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder(df.sparkSession)}/cartwright/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def build_side(staged: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table as the smaller side of a join: broadcast up to ``max_rows``, else merged.
+
+    The count comes from the file footers. A merge join leaves it to adaptive execution to
+    split keys that hold a large share of the rows.
+    """
+    return F.broadcast(staged) if staged.count() <= max_rows else staged.hint("merge")

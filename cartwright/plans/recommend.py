@@ -28,9 +28,9 @@ from cartwright.config import (
     TIME_BUCKETS,
 )
 from cartwright.functions.baskets import normal_basket
-from cartwright.functions.context import context_key, key_parts
+from cartwright.functions.context import context_key, key_parts, level_bit, levels_of
 from cartwright.functions.scoring import from_units, round_half_up, to_units
-from cartwright.lineage import stage
+from cartwright.lineage import build_side, stage
 from cartwright.operators.ranking import top_n
 
 SIGNATURE = ("time_bucket", "is_weekend", "lifecycle_stage", "preference_cluster", "behavior_cluster")
@@ -118,14 +118,14 @@ def weight_column(weights: Mapping[str, float], default: float = 1.0) -> Column:
 def signature_rules(matches: DataFrame, rules: DataFrame, opts: Options = Options()) -> DataFrame:
     """Rules summed over the contexts a signature matches.
 
-    (signature, antecedent, consequent, units, levels, anchor); ``units`` is the summed score
-    in whole units, ``anchor`` the antecedent item the basket is joined on.
+    (signature, antecedent, consequent, units, level_mask, anchor); ``units`` is the summed
+    score in whole units, ``anchor`` the antecedent item the basket is joined on.
     """
     units = to_units(F.col("score") * weight_column(opts.level_weight) * F.col("match_ratio"))
     return (
         matches.join(rules.select(*CONTEXT, "antecedent", "consequent", "score"), CONTEXT)
         .groupBy("signature", "antecedent", "consequent")
-        .agg(F.sum(units).alias("units"), F.collect_set("context_level").alias("levels"))
+        .agg(F.sum(units).alias("units"), F.bit_or(level_bit(F.col("context_level"))).alias("level_mask"))
         .withColumn("anchor", F.element_at("antecedent", 1))
     )
 
@@ -141,7 +141,7 @@ def rule_matches(contexts: DataFrame, sig_rules: DataFrame) -> DataFrame:
     at all of it.
     """
     hit = contained(contexts, sig_rules)
-    return hit.select("request_id", "top_k", "antecedent", F.col("consequent").alias("product_id"), "units", "levels")
+    return hit.select("request_id", "top_k", "antecedent", F.col("consequent").alias("product_id"), "units", "level_mask")
 
 
 def contained(contexts: DataFrame, rules: DataFrame) -> DataFrame:
@@ -156,12 +156,18 @@ def contained(contexts: DataFrame, rules: DataFrame) -> DataFrame:
 def rule_candidates(matches: DataFrame, opts: Options = Options()) -> DataFrame:
     """(request_id, product_id, rule_score, levels, position): the best 3 * top_k per request."""
     scored = matches.groupBy("request_id", "top_k", "product_id").agg(
-        F.sum("units").alias("units"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("levels")))).alias("levels")
+        F.sum("units").alias("units"), F.bit_or("level_mask").alias("level_mask")
     )
     w = Window.partitionBy("request_id").orderBy(F.col("units").desc(), "product_id")
     ranked = scored.withColumn("position", F.row_number().over(w))
     cut = ranked.where(F.col("position") <= F.col("top_k") * opts.recall_factor)
-    return cut.select("request_id", "product_id", from_units(F.col("units")).alias("rule_score"), "levels", "position")
+    return cut.select(
+        "request_id",
+        "product_id",
+        from_units(F.col("units")).alias("rule_score"),
+        levels_of(F.col("level_mask")).alias("levels"),
+        "position",
+    )
 
 
 def matched_contexts(contexts: DataFrame, matches: DataFrame, rules: DataFrame, opts: Options = Options()) -> DataFrame:
@@ -475,14 +481,23 @@ class Stages:
 def recommend(requests: DataFrame, tables: Tables, opts: Options = Options()) -> Stages:
     """All requests at once. ``recommendation_rows`` and ``recommendation_metadata`` read ``final``."""
     contexts = request_context(requests, tables.segments)
-    sigs = signatures(contexts)
+    # One row per distinct context. The number given to it is fixed by writing it, and stands
+    # for the long text in all later joins.
+    sigs = stage(signatures(contexts).withColumn("signature_id", F.monotonically_increasing_id()), "signatures")
+
+    def numbered(df: DataFrame) -> DataFrame:
+        ids = sigs.select("signature", "signature_id")
+        return df.join(ids, "signature").drop("signature").withColumnRenamed("signature_id", "signature")
+
     rule_contexts = tables.rules.select(*CONTEXT).distinct()
-    matches = stage(context_match(sigs, rule_contexts, opts.min_match_ratio), "context-match")
-    # Written once: its size decides whether the request join below is broadcast or shuffled.
+    matches = stage(numbered(context_match(sigs, rule_contexts, opts.min_match_ratio)), "context-match")
+    contexts = numbered(contexts)
+    sigs = sigs.drop("signature").withColumnRenamed("signature_id", "signature")
+    # Its size grows with the rules and contexts, so it is measured before it is joined.
     sig_rules = stage(signature_rules(matches, tables.rules, opts), "signature-rules")
     lists = stage(signature_fallback(sigs, tables.popularity), "signature-fallback")
 
-    hits = rule_matches(contexts, sig_rules)
+    hits = rule_matches(contexts, build_side(sig_rules))
     candidates = rule_candidates(hits, opts)
     # The rule recall is the costly part and three later steps read it.
     summary = stage(rule_summary(contexts, candidates), "rule-candidates")

@@ -16,7 +16,7 @@ from cartwright.config import CONTEXT_LEVELS, MAX_TXNS_PER_CONTEXT, MIN_BASKET_I
 from cartwright.functions import baskets as bk
 from cartwright.functions.context import context_array
 from cartwright.functions.scoring import antecedent_text, round_half_up, rule_id, rule_score
-from cartwright.lineage import stage
+from cartwright.lineage import build_side, stage
 from cartwright.operators.ranking import first_row, top_n
 
 LEVELS = tuple(CONTEXT_LEVELS)
@@ -82,7 +82,7 @@ def context_transactions(txns: DataFrame, m: Mining = Mining()) -> DataFrame:
         .groupBy(LEAF)
         .agg(F.collect_list(F.struct(*CONTEXT)).alias("contexts"))
     )
-    kept = stage(kept, "kept-contexts")
+    kept = build_side(stage(kept, "kept-contexts"))
     items = F.array_distinct("products")
     return (
         txns.select("order_id", LEAF, items.alias("items"))
@@ -129,12 +129,12 @@ def frequent_itemsets(txns: DataFrame, m: Mining = Mining()) -> DataFrame:
         "order_id", *[f"context_{level}" for level in LEVELS], F.array_sort(F.array_distinct("products")).alias("items")
     ).where(F.size("items") >= MIN_BASKET_ITEMS)
 
-    # The context tables hold one row per context, not per transaction; once written, their
-    # size decides whether the joins with them are broadcast.
+    # The context tables hold one row per context, not per transaction; they are written and
+    # measured, and the measured size decides how they are joined.
     leaves = stage(roll_up(leaf_contexts(txns)), "leaf-contexts")
     counts = leaves.groupBy(*CONTEXT).agg(F.sum("leaf_n").alias("n"))
     params = adaptive_params(passing_contexts(counts, m), m)
-    members = stage(leaves.select(LEAF, *CONTEXT).join(params, CONTEXT), "context-members")
+    members = build_side(stage(leaves.select(LEAF, *CONTEXT).join(params, CONTEXT), "context-members"))
 
     def frequent(leaf_counts: DataFrame, items: str) -> DataFrame:
         """Add leaf counts up for every level and keep what reaches the minimum count."""
@@ -155,7 +155,7 @@ def frequent_itemsets(txns: DataFrame, m: Mining = Mining()) -> DataFrame:
         .groupBy(LEAF, "item")
         .agg((F.max("max_antecedent") + 1).alias("size"))
     )
-    useful = stage(useful, "useful-items")
+    useful = build_side(stage(useful, "useful-items"))
     pruned = (
         exploded.join(useful, [LEAF, "item"])
         .groupBy("order_id", LEAF)

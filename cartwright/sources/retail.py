@@ -125,7 +125,7 @@ class Retail:
         )
         return lines.join(brands, "product_id").drop("product_id").withColumnRenamed("brand_id", "product_id")
 
-    def baskets_lines(self) -> DataFrame:
+    def basket_lines(self) -> DataFrame:
         """(order_id, product_id, line_number), one row per pair, the least line kept."""
         if self.grain == "part":
             kept = first_row(
@@ -136,11 +136,10 @@ class Retail:
             return kept.select("order_id", "product_id", "line_number")
         return self.raw_lines().groupBy("order_id", "product_id").agg(F.min("line_number").alias("line_number"))
 
-    def order_products(self) -> DataFrame:
+    def order_products(self, orders: DataFrame | None = None) -> DataFrame:
         """Clean lines with user_id, order_number, eval_set and the reordered flag."""
-        lines = self.baskets_lines().join(
-            self.orders().select("order_id", "user_id", "order_number", "eval_set"), "order_id"
-        )
+        orders = self.orders() if orders is None else orders
+        lines = self.basket_lines().join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
         first = lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
         return lines.join(first, ["user_id", "product_id"]).select(
             "order_id",

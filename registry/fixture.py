@@ -41,15 +41,15 @@ class Fixture:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self.part.orders()
+        return stage(self.part.orders(), "orders")
 
     @cached_property
     def lines(self) -> DataFrame:
-        return self.part.order_products()
+        return stage(self.part.order_products(self.orders), "lines")
 
     @cached_property
     def brand_lines(self) -> DataFrame:
-        return self.brand.order_products()
+        return stage(self.brand.order_products(self.orders), "brand-lines")
 
     @cached_property
     def behavior(self) -> DataFrame:
@@ -74,7 +74,7 @@ class Fixture:
 
     @cached_property
     def stages(self) -> DataFrame:
-        return segments.lifecycle_stage(self.lifecycle)
+        return stage(segments.lifecycle_stage(self.lifecycle), "stages")
 
     @cached_property
     def behavior_clusters(self) -> DataFrame:
@@ -97,10 +97,10 @@ class Fixture:
 
     # ---- transactions and rules -------------------------------------------------------
 
-    def transactions(self, retail: Retail) -> DataFrame:
+    def transactions(self) -> DataFrame:
         return prep.transactions_context(
-            prep.baskets(retail.orders(), retail.baskets_lines()),
-            prep.purchase_frequency(self.behavior),
+            prep.baskets(self.orders, self.brand_lines),
+            prep.purchase_frequency(self.features),
             self.stages,
             self.preference_clusters.withColumnRenamed("cluster", "preference_cluster"),
             self.behavior_clusters.withColumnRenamed("cluster", "behavior_cluster"),
@@ -108,7 +108,7 @@ class Fixture:
 
     @cached_property
     def brand_transactions(self) -> DataFrame:
-        return stage(self.transactions(self.brand), "transactions")
+        return stage(self.transactions(), "transactions")
 
     @cached_property
     def itemsets(self) -> DataFrame:

@@ -27,7 +27,7 @@ def query(name, sql):
               CAST(order_hour_of_day AS TINYINT) AS order_hour_of_day, days_since_prior_order, eval_set FROM x_orders""",
 )
 def clean_orders(spark, path):
-    return prep.clean_orders(Fixture.of(spark, path).orders).drop("order_date")
+    return prep.clean_orders(Fixture.of(spark, path).part.orders()).drop("order_date")
 
 
 @query(
@@ -109,7 +109,7 @@ def lifecycle_features(spark, path):
 
 @query("purchase_frequency", "SELECT * FROM x_frequency")
 def purchase_frequency(spark, path):
-    return prep.purchase_frequency(Fixture.of(spark, path).behavior)
+    return prep.purchase_frequency(Fixture.of(spark, path).features)
 
 
 @query(
@@ -139,7 +139,7 @@ def order_context(spark, path):
 )
 def baskets(spark, path):
     brand = Fixture.of(spark, path).brand
-    out = prep.baskets(brand.order_heads(), brand.baskets_lines())
+    out = prep.baskets(brand.order_heads(), brand.basket_lines())
     return out.select("order_id", "user_id", set_text(F.col("products")).alias("products"), "basket_size")
 
 
@@ -151,7 +151,7 @@ def baskets(spark, path):
 )
 def transactions_context(spark, path):
     f = Fixture.of(spark, path)
-    return f.transactions(f.brand).withColumn("products", set_text(F.col("products")))
+    return f.transactions().withColumn("products", set_text(F.col("products")))
 
 
 @query(
@@ -230,7 +230,7 @@ QUANTILES = (0.01, 0.33, 0.5, 0.67, 0.99)
 
 @query("feature_quantiles", _quantile_sql(BEHAVIOR_FEATURES, QUANTILES))
 def feature_quantiles(spark, path):
-    long = unpivot(Fixture.of(spark, path).behavior, BEHAVIOR_FEATURES)
+    long = unpivot(Fixture.of(spark, path).features, BEHAVIOR_FEATURES)
     return exact_quantiles(long, QUANTILES).select("feature", "q", near("quantile").alias("quantile"))
 
 

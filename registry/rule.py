@@ -219,7 +219,7 @@ def rule_sample(spark, path):
 )
 def popular_global(spark, path):
     f = Fixture.of(spark, path)
-    return popularity.popular_global(f.part.baskets_lines().select("product_id"))
+    return popularity.popular_global(f.part.basket_lines().select("product_id"))
 
 
 def _popular_sql(key, source):
@@ -249,7 +249,7 @@ PARTS["x_part_times"] = f"""SELECT product_id, {TIME_BUCKET.format(h="order_hour
 def popular_by_time(spark, path):
     f = Fixture.of(spark, path)
     times = prep.order_context(f.part.order_heads()).select("order_id", "time_bucket")
-    return popularity.popular_by(f.part.baskets_lines(), times, "order_id", "time_bucket")
+    return popularity.popular_by(f.part.basket_lines(), times, "order_id", "time_bucket")
 
 
 @query(

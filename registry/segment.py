@@ -33,7 +33,7 @@ def lifecycle_thresholds(spark, path):
 
 @query("lifecycle_stage", "SELECT user_id, lifecycle_stage FROM x_stages")
 def lifecycle_stage(spark, path):
-    return Fixture.of(spark, path).stages
+    return segments.lifecycle_stage(Fixture.of(spark, path).lifecycle)
 
 
 @query("lifecycle_summary", "SELECT lifecycle_stage, count(*) AS num_users FROM x_stages GROUP BY 1")
@@ -97,7 +97,7 @@ def preference_normalized(spark, path):
 
 
 def _labelled(f):
-    return f.behavior.join(f.behavior_clusters, "user_id")
+    return f.features.join(f.behavior_clusters, "user_id")
 
 
 PARTS["x_labelled"] = "SELECT b.*, behavior_cluster AS cluster FROM x_behavior b JOIN x_clusters c ON c.user_id = b.user_id"
@@ -154,7 +154,7 @@ PARTS["x_bands"] = (
 )
 def behavior_cluster_labels(spark, path):
     f = Fixture.of(spark, path)
-    banded = f.behavior.withColumn("cluster", F.expr(f"cast({BAND} as int)"))
+    banded = f.features.withColumn("cluster", F.expr(f"cast({BAND} as int)"))
     summary = segments.cluster_summary(banded, BEHAVIOR_FEATURES)
     return segments.label_behavior(summary).select("cluster", "num_users", "main_trait", "description")
 
@@ -218,13 +218,13 @@ SELECT user_id, cluster, {", ".join(POINTS)} FROM (
 
 
 def _centroids(f):
-    banded = f.behavior.withColumn("cluster", F.expr(f"cast({BAND} as int)"))
+    banded = f.features.withColumn("cluster", F.expr(f"cast({BAND} as int)"))
     means = banded.groupBy("cluster").agg(*[near(F.avg(c), 3).alias(c) for c in POINTS])
     return segments.centroid_column(means, POINTS)
 
 
 def _assigned(f):
-    return segments.assign_cluster(f.behavior, POINTS, _centroids(f), segments.is_cold(), 0)
+    return segments.assign_cluster(f.features, POINTS, _centroids(f), segments.is_cold(), 0)
 
 
 @query("assign_cluster", "SELECT user_id, cluster FROM x_assigned")
@@ -288,12 +288,12 @@ FROM x_k_points GROUP BY 1
 
 def _k_metrics(f):
     """Inertia and centroid silhouette of equal-width bands for each k, in one pass."""
-    ends = f.behavior.agg(F.struct(F.min("total_orders").alias("lo"), F.max("total_orders").alias("hi")).alias("e")).scalar()
+    ends = f.features.agg(F.struct(F.min("total_orders").alias("lo"), F.max("total_orders").alias("hi")).alias("e")).scalar()
     k = F.col("k")
     lo, hi = F.col("_e.lo"), F.col("_e.hi")
     slot = F.least(F.floor((F.col("total_orders") - lo) * k / (hi - lo)), k - 1)
     # Users with the same number of orders share their place, so they are counted first.
-    counted = f.behavior.groupBy("total_orders").agg(F.count(F.lit(1)).alias("n"))
+    counted = f.features.groupBy("total_orders").agg(F.count(F.lit(1)).alias("n"))
     cells = counted.withColumn("_e", ends).withColumn("k", F.explode(F.array(*[F.lit(v) for v in KS]).cast("array<bigint>"))).withColumn("cell", slot)
     means = cells.groupBy("k", "cell").agg((F.sum(F.col("total_orders") * F.col("n")) / F.sum("n")).alias("m"))
     table = means.groupBy("k").agg(F.collect_list(F.struct("cell", "m")).alias("ms"))

@@ -66,7 +66,8 @@ def user_ground_truth(spark, path):
        FROM x_r_ctx""",
 )
 def request_context(spark, path):
-    out = Fixture.of(spark, path).served.contexts
+    f = Fixture.of(spark, path)
+    out = recommend.request_context(f.requests, f.user_segments)
     return out.select("request_id", "time_bucket", "is_weekend", *SERVE_DEFAULTS, "signature")
 
 

@@ -15,7 +15,7 @@ def query(name, sql=None):
     def add(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = statement(sql)
+            ORACLES[name] = sql if sql.startswith("WITH") else statement(sql)
         return fn
 
     return add
@@ -46,17 +46,17 @@ def _histogram_sql(column, bins, log=False):
 
 @query("histogram", _histogram_sql("avg_days_between_orders", 30))
 def histogram(spark, path):
-    return shown(analysis.histogram(Fixture.of(spark, path).behavior, "avg_days_between_orders", 30), "low", "high")
+    return shown(analysis.histogram(Fixture.of(spark, path).features, "avg_days_between_orders", 30), "low", "high")
 
 
 @query("histogram_orders", _histogram_sql("total_orders", 10))
 def histogram_orders(spark, path):
-    return shown(analysis.histogram(Fixture.of(spark, path).behavior, "total_orders", 10), "low", "high")
+    return shown(analysis.histogram(Fixture.of(spark, path).features, "total_orders", 10), "low", "high")
 
 
 @query("histogram_log", _histogram_sql("total_products", 20, True))
 def histogram_log(spark, path):
-    return shown(analysis.histogram(Fixture.of(spark, path).behavior, "total_products", 20, log=True), "low", "high")
+    return shown(analysis.histogram(Fixture.of(spark, path).features, "total_products", 20, log=True), "low", "high")
 
 
 STATS = ("mean", "std", "min", "max", "q25", "q50", "q75")
@@ -80,7 +80,7 @@ CLIP = {"total_products": 50.0}
 
 @query("feature_describe", _describe_sql(BEHAVIOR_FEATURES, CLIP))
 def feature_describe(spark, path):
-    return shown(analysis.describe(Fixture.of(spark, path).behavior, BEHAVIOR_FEATURES, CLIP), *STATS)
+    return shown(analysis.describe(Fixture.of(spark, path).features, BEHAVIOR_FEATURES, CLIP), *STATS)
 
 
 PARTS["x_box_rows"] = """
@@ -103,7 +103,7 @@ BOX = ("q25", "q50", "q75", "whisker_low", "whisker_high")
 )
 def boxplot_stats(spark, path):
     f = Fixture.of(spark, path)
-    rows = f.behavior.join(f.stages, "user_id")
+    rows = f.features.join(f.stages, "user_id")
     return shown(analysis.boxplot(rows, ["total_orders", "avg_days_between_orders"], "lifecycle_stage"), *BOX)
 
 

@@ -7,15 +7,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.config import Mining, SERVE_DEFAULTS
+from cartwright.config import CONTEXT_FLOOR, LEVEL_MIN_TXNS, SERVE_DEFAULTS, Mining
 from cartwright.lineage import stage
 from cartwright.plans import evaluate, features, popularity, prep, recommend, rules, segments
 from cartwright.sources.retail import Retail
 
-# The gates of the reference data set scaled to 15,000 orders.
-GATES = {"L1": 50, "L2": 100, "L3": 200, "L4": 1000, "L5": 0}
-MINING = Mining(min_support=0.01, level_min_txns=GATES, floor=50)
-SERVING = Mining(min_support=0.02, level_min_txns=GATES, floor=50)
+# Contexts are gated as for 150,000 orders, scaled to the number of orders at hand.
+GATED_ORDERS = 150_000
+MINING_SUPPORT, SERVING_SUPPORT = 0.01, 0.02
 TOP_K = 5
 BASKET_SIZE = 10
 DEPARTMENTS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -23,20 +22,33 @@ POINTS = ("total_orders", "total_products", "avg_days_between_orders")
 
 
 class Fixture:
-    _known: dict[tuple[str, str, Mining], "Fixture"] = {}
+    _known: dict[tuple[str, str], "Fixture"] = {}
 
-    def __init__(self, spark: SparkSession, path: str, serving: Mining = SERVING):
-        self.spark, self.path, self.serving = spark, path, serving
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
         self.part, self.brand = Retail(spark, path, "part"), Retail(spark, path, "brand")
 
     @classmethod
-    def of(cls, spark: SparkSession, path: str, serving: Mining = SERVING) -> "Fixture":
+    def of(cls, spark: SparkSession, path: str) -> "Fixture":
         """One per application and folder, so that the tables served from are built once."""
-        key = (spark.sparkContext.applicationId, path, repr(serving))
+        key = (spark.sparkContext.applicationId, path)
         if key not in cls._known:
-            cls._known[key] = cls(spark, path, serving)
+            cls._known[key] = cls(spark, path)
         return cls._known[key]
 
+    def _thresholds(self, support: float) -> Mining:
+        orders = self.part.table("orders").count()
+        gates = {level: n * orders // GATED_ORDERS for level, n in LEVEL_MIN_TXNS.items()}
+        return Mining(min_support=support, level_min_txns=gates, floor=CONTEXT_FLOOR * orders // GATED_ORDERS)
+
+    @cached_property
+    def mining(self) -> Mining:
+        return self._thresholds(MINING_SUPPORT)
+
+    @cached_property
+    def serving(self) -> Mining:
+        return self._thresholds(SERVING_SUPPORT)
+
     # ---- features and segments --------------------------------------------------------
 
     @cached_property
@@ -112,12 +124,12 @@ class Fixture:
 
     @cached_property
     def itemsets(self) -> DataFrame:
-        return stage(rules.frequent_itemsets(self.brand_transactions, MINING), "itemsets")
+        return stage(rules.frequent_itemsets(self.brand_transactions, self.mining), "itemsets")
 
     @cached_property
     def index(self) -> DataFrame:
-        found = rules.filter_rules(rules.association_rules(self.itemsets), MINING)
-        return stage(rules.build_index(found, MINING), "index")
+        found = rules.filter_rules(rules.association_rules(self.itemsets), self.mining)
+        return stage(rules.build_index(found, self.mining), "index")
 
     @cached_property
     def rules(self) -> DataFrame:

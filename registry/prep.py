@@ -188,8 +188,8 @@ def infer_level_query(spark, path):
 
 @query(
     "parse_basket",
-    """SELECT order_id, array_to_string(products, '|') AS items, len(products) AS n_text, len(products) AS n_json,
-              list_sum(products) AS total FROM x_baskets""",
+    """SELECT order_id, array_to_string(products, '|') AS items, CAST(len(products) AS INTEGER) AS n_text,
+              CAST(len(products) AS INTEGER) AS n_json, CAST(list_sum(products) AS BIGINT) AS total FROM x_baskets""",
 )
 def parse_basket(spark, path):
     """Baskets written as list text and read back both ways."""

@@ -2,9 +2,8 @@
 
 from cartwright.functions.scoring import antecedent_text
 from cartwright.plans import popularity, prep, rules
-from registry.common import F, Fixture, near, set_text, shown
-from registry.fixture import GATES, MINING
-from registry.sql import GATE, PARTS, TIME_BUCKET, half_up, statement
+from registry.common import F, Fixture, set_text, shown
+from registry.sql import PARTS, PASSES, TIME_BUCKET, half_up, statement
 
 QUERIES, ORACLES = {}, {}
 
@@ -25,11 +24,12 @@ SQL_ANT = "array_to_string(antecedent, '|') AS antecedent"
 
 @query(
     "context_counts",
-    f"""SELECT context_level, context_key, n, n >= {GATE} AND n >= 50 AS passes FROM x_ctx_counts""",
+    f"""SELECT context_level, context_key, n, {PASSES} AS passes FROM x_ctx_counts""",
 )
 def context_counts(spark, path):
-    counts = rules.context_counts(Fixture.of(spark, path).brand_transactions)
-    passes = (F.col("n") >= rules.level_gate(MINING)) & (F.col("n") >= MINING.floor)
+    f = Fixture.of(spark, path)
+    counts = rules.context_counts(f.brand_transactions)
+    passes = (F.col("n") >= rules.level_gate(f.mining)) & (F.col("n") >= f.mining.floor)
     return counts.withColumn("passes", passes)
 
 
@@ -47,11 +47,12 @@ def context_top(spark, path):
 @query(
     "context_transactions",
     f"""SELECT t.context_level, t.context_key, order_id, array_to_string(products, '|') AS items
-        FROM x_txn_ctx t JOIN (SELECT * FROM x_ctx_counts WHERE n >= {GATE} AND n >= 50) c
+        FROM x_txn_ctx t JOIN (SELECT * FROM x_ctx_counts WHERE {PASSES}) c
              ON c.context_level = t.context_level AND c.context_key = t.context_key""",
 )
 def context_transactions(spark, path):
-    out = rules.context_transactions(Fixture.of(spark, path).brand_transactions, MINING)
+    f = Fixture.of(spark, path)
+    out = rules.context_transactions(f.brand_transactions, f.mining)
     return out.withColumn("items", set_text(F.col("items")))
 
 
@@ -63,12 +64,13 @@ CAP = 400
     f"""SELECT context_level, context_key, order_id FROM (
           SELECT t.context_level, t.context_key, order_id, row_number() OVER (
                  PARTITION BY t.context_level, t.context_key ORDER BY md5(order_id || ':42'), order_id) AS r
-          FROM x_txn_ctx t JOIN (SELECT * FROM x_ctx_counts WHERE n >= {GATE} AND n >= 50) c
+          FROM x_txn_ctx t JOIN (SELECT * FROM x_ctx_counts WHERE {PASSES}) c
                ON c.context_level = t.context_level AND c.context_key = t.context_key) WHERE r <= {CAP}""",
 )
 def capped_transactions(spark, path):
     """The sampling operator: at most 400 random transactions of each context."""
-    out = rules.context_transactions(Fixture.of(spark, path).brand_transactions, MINING)
+    f = Fixture.of(spark, path)
+    out = rules.context_transactions(f.brand_transactions, f.mining)
     return rules.cap_transactions(out.select(*CTX, "order_id"), CAP)
 
 
@@ -93,7 +95,8 @@ def adaptive_params(spark, path):
        FROM x_m_sets""",
 )
 def frequent_itemsets(spark, path):
-    sets = rules.frequent_itemsets(Fixture.of(spark, path).brand_transactions, MINING)
+    f = Fixture.of(spark, path)
+    sets = rules.frequent_itemsets(f.brand_transactions, f.mining)
     return sets.withColumn("items", set_text(F.col("items"))).drop("max_antecedent")
 
 
@@ -113,7 +116,8 @@ def association_rules(spark, path):
                {half_up("lift")} AS lift, CAST(context_rank AS INTEGER) AS context_rank FROM x_m_filtered""",
 )
 def rules_filtered(spark, path):
-    out = rules.filter_rules(rules.association_rules(Fixture.of(spark, path).itemsets), MINING)
+    f = Fixture.of(spark, path)
+    out = rules.filter_rules(rules.association_rules(f.itemsets), f.mining)
     out = out.select(*CTX, set_text(F.col("antecedent")).alias("antecedent"), "consequent", "confidence", "lift", "context_rank")
     return shown(out, "confidence", "lift")
 
@@ -124,8 +128,8 @@ def rules_filtered(spark, path):
         FROM x_m_index""",
 )
 def rule_index(spark, path):
-    found = rules.filter_rules(rules.association_rules(Fixture.of(spark, path).itemsets), MINING)
-    index = rules.build_index(found, MINING)
+    f = Fixture.of(spark, path)
+    index = rules.build_index(rules.filter_rules(rules.association_rules(f.itemsets), f.mining), f.mining)
     return index.withColumn("antecedent", set_text(F.col("antecedent")))
 
 
@@ -140,8 +144,9 @@ def rule_index(spark, path):
 )
 def rule_build_stats(spark, path):
     """Counters of an index built from all rules, before any filter."""
-    found = rules.association_rules(Fixture.of(spark, path).itemsets)
-    return rules.build_stats(found, rules.build_index(found, MINING), MINING)
+    f = Fixture.of(spark, path)
+    found = rules.association_rules(f.itemsets)
+    return rules.build_stats(found, rules.build_index(found, f.mining), f.mining)
 
 
 @query(
@@ -168,8 +173,8 @@ def rule_stats(spark, path):
 )
 def mining_stats(spark, path):
     f = Fixture.of(spark, path)
-    params = rules.adaptive_params(rules.passing_contexts(rules.context_counts(f.brand_transactions), MINING), MINING)
-    return rules.mining_stats(f.itemsets, f.index, params, MINING)
+    params = rules.adaptive_params(rules.passing_contexts(rules.context_counts(f.brand_transactions), f.mining), f.mining)
+    return rules.mining_stats(f.itemsets, f.index, params, f.mining)
 
 
 TOP_ORDER = "context_level, context_key, array_to_string(list_sort(list_transform(antecedent, lambda i: CAST(i AS VARCHAR))), '|'), consequent"
@@ -177,7 +182,7 @@ TOP_ORDER = "context_level, context_key, array_to_string(list_sort(list_transfor
 
 @query(
     "top_rules",
-    f"""SELECT context_level, context_key, len(antecedent) AS antecedent_size,
+    f"""SELECT context_level, context_key, CAST(len(antecedent) AS INTEGER) AS antecedent_size,
                array_to_string(list_sort(list_transform(antecedent, lambda i: CAST(i AS VARCHAR))), '|') AS antecedent,
                consequent, support, confidence, lift FROM x_m_index ORDER BY lift DESC, {TOP_ORDER} LIMIT 10""",
 )
@@ -260,5 +265,3 @@ def popularity_lists(spark, path):
     lists = popularity.popularity_lists(Fixture.of(spark, path).popularity)
     return lists.withColumn("items", set_text(F.col("items")))
 
-
-assert set(GATES) == {"L1", "L2", "L3", "L4", "L5"} and near

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-from registry.fixture import BASKET_SIZE, GATES, MINING, SERVING, TOP_K
+from cartwright.config import CONTEXT_FLOOR, LEVEL_MIN_TXNS, Mining
+from registry.fixture import BASKET_SIZE, GATED_ORDERS, MINING_SUPPORT, SERVING_SUPPORT, TOP_K
 
 PARTS: dict[str, str] = {}
 
@@ -201,7 +202,9 @@ PARTS["x_txn_ctx"] = " UNION ALL ".join(
 
 PARTS["x_ctx_counts"] = "SELECT context_level, context_key, count(*) AS n FROM x_txn_ctx GROUP BY 1, 2"
 
-GATE = "CASE context_level " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in GATES.items()) + " END"
+SIZE = f"(SELECT count(*) FROM orders) // {GATED_ORDERS}"
+GATE = "CASE context_level " + " ".join(f"WHEN '{k}' THEN {v} * {SIZE}" for k, v in LEVEL_MIN_TXNS.items()) + " END"
+PASSES = f"n >= {GATE} AND n >= {CONTEXT_FLOOR} * {SIZE}"
 
 
 # ---- mining ---------------------------------------------------------------------------
@@ -234,7 +237,7 @@ SELECT context_level, context_key, n, s AS min_support, a AS max_antecedent, CAS
 FROM (SELECT *, CAST(CASE WHEN n > 500000 THEN greatest({m.min_support}, 0.02)
                           WHEN n > 200000 THEN greatest({m.min_support}, 0.01) ELSE {m.min_support} END AS DOUBLE) AS s,
              CASE WHEN n > 500000 THEN 1 WHEN n > 200000 THEN 2 ELSE {m.max_antecedent} END AS a
-      FROM x_ctx_counts WHERE n >= {GATE} AND n >= {m.floor})
+      FROM x_ctx_counts WHERE {PASSES})
 """
     PARTS[f"x_{prefix}_sets"] = f"""
 SELECT c.context_level, c.context_key, items, cnt, n, max_antecedent
@@ -274,8 +277,8 @@ WHERE antecedent_rank <= {m.max_rules_per_antecedent}
 """
 
 
-_mining("m", MINING)
-_mining("s", SERVING)
+_mining("m", Mining(min_support=MINING_SUPPORT))
+_mining("s", Mining(min_support=SERVING_SUPPORT))
 
 # ---- popularity and score tables ------------------------------------------------------
 

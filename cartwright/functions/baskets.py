@@ -22,24 +22,17 @@ def normal_basket(items: Column, limit: int) -> Column:
     return F.slice(F.array_sort(F.array_distinct(items)), 1, limit)
 
 
-def subsets(items: Column, size: Column, max_size: int) -> Column:
-    """All subsets of a sorted distinct array with 1 to ``size`` (at most ``max_size``) members."""
-    ones = F.transform(items, lambda x: F.array(x))
-    empty = F.slice(ones, 1, 0)
-    found, layer = ones, ones
-    for k in range(2, max_size + 1):
-        grown = F.flatten(
-            F.transform(
-                layer,
-                lambda s: F.transform(
-                    F.filter(items, lambda x: x > F.element_at(s, -1)),
-                    lambda x: F.concat(s, F.array(x)),
-                ),
-            )
+def longer_sets(sets: Column) -> Column:
+    """Sorted sets of k members, each extended by every larger item that occurs in the sets."""
+    items = F.array_sort(F.array_distinct(F.flatten(sets)))
+    return F.flatten(
+        F.transform(
+            sets,
+            lambda s: F.transform(
+                F.filter(items, lambda x: x > F.element_at(s, -1)), lambda x: F.concat(s, F.array(x))
+            ),
         )
-        layer = F.when(size >= k, grown).otherwise(empty)
-        found = F.concat(found, layer)
-    return found
+    )
 
 
 def set_text(items: Column) -> Column:

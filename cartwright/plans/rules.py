@@ -129,44 +129,58 @@ def frequent_itemsets(txns: DataFrame, m: Mining = Mining()) -> DataFrame:
         "order_id", *[f"context_{level}" for level in LEVELS], F.array_sort(F.array_distinct("products")).alias("items")
     ).where(F.size("items") >= MIN_BASKET_ITEMS)
 
-    # The context tables hold one row per context, not per transaction; they are written and
-    # measured, and the measured size decides how they are joined.
-    leaves = stage(roll_up(leaf_contexts(txns)), "leaf-contexts")
-    counts = leaves.groupBy(*CONTEXT).agg(F.sum("leaf_n").alias("n"))
+    # One row per leaf context and per context, not per transaction. Both get numbers, fixed by
+    # writing them, that stand for the long keys in every shuffle; measured sizes decide how
+    # the tables are joined.
+    leaves = stage(leaf_contexts(txns).withColumn("leaf", F.monotonically_increasing_id()), "leaf-contexts")
+    rolled = leaves.select("leaf", "leaf_n", F.explode(context_array(LEVELS)).alias("c")).select("leaf", "leaf_n", "c.*")
+    counts = rolled.groupBy(*CONTEXT).agg(F.sum("leaf_n").alias("n"))
     params = adaptive_params(passing_contexts(counts, m), m)
-    members = build_side(stage(leaves.select(LEAF, *CONTEXT).join(params, CONTEXT), "context-members"))
+    contexts = stage(params.withColumn("context", F.monotonically_increasing_id()), "contexts")
+    members = rolled.join(contexts, CONTEXT).select("leaf", "context", "n", "min_count", "max_antecedent")
+    members = build_side(stage(members, "context-members"))
+    txns = txns.join(build_side(leaves.select(LEAF, "leaf")), LEAF).select("order_id", "leaf", "items")
 
     def frequent(leaf_counts: DataFrame, items: str) -> DataFrame:
-        """Add leaf counts up for every level and keep what reaches the minimum count."""
+        """Add leaf counts up for every context and keep what reaches the minimum count."""
         return (
-            leaf_counts.join(members, LEAF)
-            .groupBy(*CONTEXT, items)
+            leaf_counts.join(members, "leaf")
+            .groupBy("context", items)
             .agg(F.sum("leaf_cnt").alias("cnt"), *[F.first(c).alias(c) for c in ("n", "min_count", "max_antecedent")])
             .where(F.col("cnt") >= F.col("min_count"))
         )
 
-    # Single items first; a transaction keeps an item only if it is frequent in one of the
-    # transaction's own contexts, and remembers the longest set those contexts may need.
-    exploded = txns.select("order_id", LEAF, F.explode("items").alias("item"))
-    single = frequent(exploded.groupBy(LEAF, "item").agg(F.count(F.lit(1)).alias("leaf_cnt")), "item")
-    useful = (
-        members.select(LEAF, *CONTEXT)
-        .join(single.select(*CONTEXT, "item", "max_antecedent"), CONTEXT)
-        .groupBy(LEAF, "item")
-        .agg((F.max("max_antecedent") + 1).alias("size"))
-    )
-    useful = build_side(stage(useful, "useful-items"))
-    pruned = (
-        exploded.join(useful, [LEAF, "item"])
-        .groupBy("order_id", LEAF)
-        .agg(F.array_sort(F.collect_list("item")).alias("items"), F.max("size").alias("size"))
-    )
-    sets = pruned.select(
-        LEAF, F.explode(bk.subsets(F.col("items"), F.col("size"), m.max_antecedent + 1)).alias("items")
-    )
-    leaf_sets = sets.groupBy(LEAF, "items").agg(F.count(F.lit(1)).alias("leaf_cnt"))
-    found = frequent(leaf_sets, "items").where(F.size("items") <= F.col("max_antecedent") + 1)
-    return found.select(*CONTEXT, "items", F.size("items").alias("size"), "cnt", "n", "max_antecedent")
+    def useful(sets: DataFrame, size: int) -> DataFrame:
+        """(leaf, set) that a longer set of one of the leaf's contexts may grow from."""
+        longer = sets.where(F.col("max_antecedent") + 1 > size).select("context", "set")
+        return stage(longer.join(members.select("leaf", "context"), "context").select("leaf", "set").distinct(), "useful-sets")
+
+    def kept(rows: DataFrame, sets: DataFrame) -> DataFrame:
+        """Transactions with the array of their useful sets; a basket has a bounded number."""
+        held = rows.join(build_side(sets), ["leaf", "set"])
+        return held.groupBy("order_id", "leaf").agg(F.collect_list("set").alias("sets")).where(F.size("sets") > 1)
+
+    # Level by level: a set is counted in a transaction only if the set without its last
+    # member is frequent in one of the transaction's own contexts, and the search ends with
+    # the first level from which nothing can grow.
+    rows = txns.select("order_id", "leaf", F.explode("items").alias("item"))
+    rows = rows.select("order_id", "leaf", F.array("item").alias("set"))
+    found = None
+    for size in range(1, m.max_antecedent + 2):
+        counted = rows.groupBy("leaf", "set").agg(F.count(F.lit(1)).alias("leaf_cnt"))
+        level = frequent(counted, "set").where(F.col("max_antecedent") + 1 >= size)
+        level = stage(level.select("context", "set", "cnt", "n", "max_antecedent"), f"itemsets-{size}")
+        found = level if found is None else found.unionByName(level)
+        if size > m.max_antecedent:
+            break
+        growing = useful(level, size)
+        if growing.isEmpty():
+            break
+        current = stage(kept(rows, growing), f"transactions-{size}")
+        rows = current.select("order_id", "leaf", F.explode(bk.longer_sets(F.col("sets"))).alias("set"))
+    found = found.withColumnRenamed("set", "items")
+    named = found.join(build_side(contexts.select("context", *CONTEXT)), "context")
+    return named.select(*CONTEXT, "items", F.size("items").alias("size"), "cnt", "n", "max_antecedent")
 
 
 def association_rules(itemsets: DataFrame) -> DataFrame:

@@ -68,11 +68,10 @@ def test_normal_basket_is_numeric_and_capped(spark):
     assert got == [[9, 10], list(range(1, 21))]
 
 
-def test_subsets(spark):
-    df = spark.createDataFrame([([1, 2, 3, 4, 5], 4), ([1, 2, 3], 2)], "x array<bigint>, n int")
-    a, b = [r[0] for r in df.select(bk.subsets(F.col("x"), F.col("n"), 4)).collect()]
-    assert len(a) == len({tuple(s) for s in a}) == 5 + 10 + 10 + 5
-    assert sorted(map(tuple, b)) == [(1,), (1, 2), (1, 3), (2,), (2, 3), (3,)]
+def test_longer_sets(spark):
+    pairs = [[1, 2], [1, 3], [2, 3], [2, 5]]
+    got = column(spark, [pairs, [[4]]], "array<array<bigint>>", bk.longer_sets)
+    assert sorted(map(tuple, got[0])) == [(1, 2, 3), (1, 2, 5), (1, 3, 5), (2, 3, 5)] and got[1] == []
 
 
 def test_rule_score_caps_lift_and_id_is_stable(spark):

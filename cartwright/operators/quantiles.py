@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwright.lineage import build_side, stage
+
 STEPS = 256
 SKETCH_ACCURACY = 10_000
 SMALL_GROUP = 100_000
@@ -30,8 +32,8 @@ def exact_quantiles(
 ) -> DataFrame:
     """(group..., q, quantile) for a table (group..., value); nulls are ignored.
 
-    ``group`` names a few groups chosen by the caller (features, stages), so the bracket table
-    is broadcast: it has one row per group and probability.
+    The bracket table has one row per group and probability. By feature alone that is a few
+    rows; with other groups it is written and measured before it is joined.
     """
     values = values.where(F.col("value").isNotNull()).select(*group, "value")
     grid = F.array(*[F.lit(i / STEPS) for i in range(STEPS + 1)])
@@ -55,9 +57,10 @@ def exact_quantiles(
             .alias("hi"),
         )
     )
+    side = F.broadcast(bracket) if list(group) == ["feature"] else build_side(stage(bracket, "brackets"))
     counted = values.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("c"))
     near = (
-        counted.join(F.broadcast(bracket), list(group))
+        counted.join(side, list(group))
         .where(F.col("value") <= F.col("hi"))
         .groupBy(*group, "q", "pos", F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("v"))
         .agg(F.sum("c").alias("c"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwright.lineage import build_side, stage
 from cartwright.operators.quantiles import exact_quantiles, unpivot
 
 
@@ -60,11 +61,10 @@ def quartiles(long: DataFrame, group: Sequence[str]) -> DataFrame:
 def boxplot(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Box-plot numbers per group: quartiles and the whiskers at 1.5 times their distance."""
     long = unpivot(df, columns, keep=[by])
-    box = quartiles(long, [by, "feature"])
+    box = stage(quartiles(long, [by, "feature"]), "quartiles")
     reach = 1.5 * (F.col("q75") - F.col("q25"))
-    # One row per group and feature.
     inside = (
-        long.join(F.broadcast(box), [by, "feature"])
+        long.join(build_side(box), [by, "feature"])
         .where(F.col("value").between(F.col("q25") - reach, F.col("q75") + reach))
         .groupBy(by, "feature")
         .agg(F.min("value").alias("whisker_low"), F.max("value").alias("whisker_high"))

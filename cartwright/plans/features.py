@@ -46,12 +46,16 @@ def preference_features(
 ) -> DataFrame:
     """Share of each department in the lines of a user."""
     named = products.select("product_id", "department_id").join(departments, "department_id")
+    # Repeat purchases are counted before the product is looked up.
     counts = (
         with_user(lines, orders)
+        .where(F.col("user_id").isNotNull())
+        .groupBy("user_id", "product_id")
+        .agg(F.count(F.lit(1)).alias("n"))
         .join(named.select("product_id", "department"), "product_id")
-        .where(F.col("user_id").isNotNull() & F.col("department").isNotNull())
+        .where(F.col("department").isNotNull())
         .groupBy("user_id", "department")
-        .agg(F.count(F.lit(1)).alias("purchase_count"))
+        .agg(F.sum("n").alias("purchase_count"))
     )
     # One row per department is left of a user here.
     total = F.sum("purchase_count").over(Window.partitionBy("user_id"))

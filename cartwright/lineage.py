@@ -4,14 +4,15 @@
 ``spark.checkpoint.dir`` and reads it back. That cuts the lineage in a way that survives the
 loss of executors, and it gives the optimizer the true size of the table, so that a later
 join broadcasts it only when it is below ``spark.sql.autoBroadcastJoinThreshold`` and
-shuffles it otherwise.
+shuffles it otherwise. A session without a shared folder keeps the table in Spark's own
+storage (memory and disk of the executors), from which lost parts are computed again.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,21 +20,21 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 
-def folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; only a session without one gets a local one."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    chosen = spark.sparkContext.getCheckpointDir()
-    if chosen is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cartwright-"))
-        chosen = spark.sparkContext.getCheckpointDir()
-    return chosen.rstrip("/")
+def folder(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder of the session, if it has one."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured.rstrip("/") if configured else None
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and continue from the written table."""
-    path = f"{folder(df.sparkSession)}/cartwright/{name}-{uuid.uuid4().hex}"
+    """Make ``df`` once and continue from the written (or stored) table. The work is done here,
+    not when the result is read."""
+    place = folder(df.sparkSession)
+    if place is None:
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        kept.write.format("noop").mode("overwrite").save()
+        return kept
+    path = f"{place}/cartwright/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

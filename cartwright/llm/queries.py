@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import decontaminate, quality_rules, simhash
+from cartwright.llm import decontaminate, licenses, line_dedup, quality_rules, shards, simhash, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,14 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of near equal bytes."""
+    dealt = shards.assign(table(spark, sf_dir, "documents"))
+    return dealt.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict of the cascade."""
     judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -38,9 +46,30 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that an earlier document holds, dropped."""
+    left = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices and expressions of documents."""
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule and the verdict of every page."""
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_shards": op2_shards,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
+    "op5_line_dedup": op5_line_dedup,
+    "op7_licenses": op7_licenses,
+    "op9_url_filter": op9_url_filter,
 }
 ORACLES: dict[str, str] = {}

@@ -161,10 +161,16 @@ def scan(docs: DataFrame, text: str = "text", notices: dict[str, str] = NOTICES)
             base = [[] for _ in range(n)]
             values = [[] for _ in range(n)]
             base_labels, labels = [set() for _ in range(n)], [set() for _ in range(n)]
-            for end, (label, count, is_base) in machine.iter(body.tobytes().decode("latin-1")):
-                # The match ends at the blank after its last word.
-                after = int(np.searchsorted(place, end))
+            # A match ends at the blank after its last word; of the matches from one word, the longest
+            # names the licence, and base phrases count always.
+            matches = [(int(np.searchsorted(place, end)), *found) for end, found in machine.iter(body.tobytes().decode("latin-1"))]
+            longest: dict[int, int] = {}
+            for after, _, count, _ in matches:
+                longest[after - count] = max(count, longest.get(after - count, 0))
+            for after, label, count, is_base in matches:
                 word = after - count
+                if not is_base and longest[word] > count:
+                    continue
                 row = int(np.searchsorted(first, word, side="right")) - 1
                 if label is None:
                     begin = int(ends[after - 1])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import decontaminate, licenses, line_dedup, quality_rules, shards, simhash, url_filter
+from cartwright.llm import decontaminate, licenses, line_dedup, quality_model, quality_rules, shards, simhash, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,18 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = quality_model.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_model.score(docs, machine).select(
+        "doc_id",
+        quality_model.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule and the verdict of every page."""
     judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
@@ -70,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_line_dedup": op5_line_dedup,
     "op7_licenses": op7_licenses,
+    "op8_quality_model": op8_quality_model,
     "op9_url_filter": op9_url_filter,
 }
 ORACLES: dict[str, str] = {}

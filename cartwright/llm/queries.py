@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import decontaminate, licenses, line_dedup, quality_model, quality_rules, shards, simhash, url_filter
+from cartwright.llm import decontaminate, licenses, line_dedup, quality_model, quality_rules, sentencepiece_codec, shards, simhash, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,18 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every document, and whether they decode to its text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = sentencepiece_codec.decode(sentencepiece_codec.encode(docs), out="decoded")
+    return back.select(
+        "doc_id",
+        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
+        "ids",
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices and expressions of documents."""
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -81,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_line_dedup": op5_line_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_licenses": op7_licenses,
     "op8_quality_model": op8_quality_model,
     "op9_url_filter": op9_url_filter,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import decontaminate, licenses, line_dedup, quality_model, quality_rules, sentencepiece_codec, shards, simhash, url_filter
+from cartwright.llm import decontaminate, licenses, line_dedup, quality_model, quality_rules, sentencepiece_codec, shards, simhash, suffix_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +87,12 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 bytes that an earlier document has, removed."""
+    left = suffix_dedup.dedup_passages(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_shards": op2_shards,
@@ -97,5 +103,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_licenses": op7_licenses,
     "op8_quality_model": op8_quality_model,
     "op9_url_filter": op9_url_filter,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLES: dict[str, str] = {}

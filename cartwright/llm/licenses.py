@@ -19,7 +19,6 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cartwright.llm import text as t
 
@@ -134,17 +133,15 @@ def scan(docs: DataFrame, text: str = "text", notices: dict[str, str] = NOTICES)
     ``score``: how free the text is under all that it carries, the least value of its notices and
     expressions; 0 without any.
     """
-    added = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
-    rest = [c for c in docs.columns if c != text and c not in added]
-    source = docs.select(*rest, F.col(text).alias("_text"))
-    schema = source.select(*rest).schema
-    for name, kind in zip(added, ("long",) * 4 + ("string",) * 2 + ("double",)):
-        schema = schema.add(name, kind)
+    names = {
+        "n_words": "long", "n_base": "long", "first_word": "long", "last_word": "long",
+        "base_labels": "string", "labels": "string", "score": "double",
+    }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton(notices)
-        for part in t.slices(batches, "_text"):
-            raw, bounds = t.flat(part.column("_text"))
+        for part in t.slices(batches, "text"):
+            raw, bounds = t.flat(part.column("text"))
             data = t.LOWER[raw]
             starts, ends, first = t.words(data, bounds, t.ALNUM)
             # Every word after a blank; a row ends with a blank and a byte that is in no phrase.
@@ -184,11 +181,9 @@ def scan(docs: DataFrame, text: str = "text", notices: dict[str, str] = NOTICES)
                 if is_base:
                     base[row].append(word - int(first[row]))
                     base_labels[row].add(label)
-            columns = [*[part.column(c) for c in rest], pa.array(np.diff(first), pa.int64())]
-            columns += [pa.array([len(b) for b in base], pa.int64())]
+            columns = [pa.array(np.diff(first), pa.int64()), pa.array([len(b) for b in base], pa.int64())]
             columns += [pa.array([f(b) if b else None for b in base], pa.int64()) for f in (min, max)]
             columns += [pa.array([",".join(sorted(x)) for x in found], pa.string()) for found in (base_labels, labels)]
-            columns += [pa.array([min(v) if v else 0.0 for v in values], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*rest, *added])
+            yield t.added(part.column("rest"), *columns, pa.array([min(v) if v else 0.0 for v in values], pa.float64()))
 
-    return source.mapInArrow(run, schema)
+    return t.Carried(docs, text, tuple(names)).run(run, names)

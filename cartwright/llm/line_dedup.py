@@ -79,22 +79,19 @@ def dedup_lines(
     docs: DataFrame, id: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS, filter_bits: int = FILTER_BITS
 ) -> DataFrame:
     """``docs`` with the text that is left, ``n_lines`` (before) and ``n_dropped``."""
-    places = drop_places(docs, id, text, least_chars, filter_bits).select(F.col("id").alias("_id"), "places")
-    rest = [c for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
-    source = docs.select(*rest, F.col(text).alias("_text"))
-    source = source.join(places, source[id] == places["_id"], "left").drop("_id").withColumnRenamed("places", "_places")
-    schema = source.select(*rest).schema.add(text, "string").add("n_lines", "long").add("n_dropped", "long")
+    places = drop_places(docs, id, text, least_chars, filter_bits)
+    carried = t.Carried(docs, text, (text, "n_lines", "n_dropped"), id=id)
+    joined = carried.frame.join(places, "id", "left").select("text", "rest", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in t.slices(batches, "_text"):
+        for part in t.slices(batches, "text"):
             kept, n, dropped = [], [], []
-            for body, gone in zip(part.column("_text").to_pylist(), part.column("_places").to_pylist()):
+            for body, gone in zip(part.column("text").to_pylist(), part.column("places").to_pylist()):
                 lines = (body or "").split("\n")
                 out = set(gone or ())
                 kept.append("\n".join(x for i, x in enumerate(lines) if i not in out) if out else body)
                 n.append(len(lines))
                 dropped.append(len(out))
-            columns = [*[part.column(c) for c in rest], pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(dropped, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, [*rest, text, "n_lines", "n_dropped"])
+            yield t.added(part.column("rest"), pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(dropped, pa.int64()))
 
-    return source.mapInArrow(run, schema)
+    return carried.run(run, {text: "string", "n_lines": "long", "n_dropped": "long"}, joined)

@@ -224,13 +224,10 @@ def fit(
 def score(docs: DataFrame, machine: Machine, text: str = "text", keep_text: bool = False) -> DataFrame:
     """``docs`` with ``score`` (0 to 1), without the text unless it is kept."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
-    rest = [c for c in docs.columns if c != "score" and (keep_text or c != text)]
-    source = docs.select(*rest, F.col(text).alias("_text"))
-    schema = source.select(*rest).schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in t.slices(batches, "_text"):
-            found = shared.value.score(part.column("_text"))
-            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], pa.array(found, pa.float64())], [*rest, "score"])
+        for part in t.slices(batches, "text"):
+            found = shared.value.score(part.column("text"))
+            yield t.added(part.column("rest"), pa.array(found, pa.float64()))
 
-    return source.mapInArrow(run, schema)
+    return t.Carried(docs, text, ("score",), keep_text).run(run, {"score": "double"})

@@ -179,17 +179,11 @@ def rule_order(docs: DataFrame, text: str, sample_rows: int = SAMPLE_ROWS) -> li
 def judge(docs: DataFrame, text: str = "text", order: list[str] | None = None) -> DataFrame:
     """``docs`` without the text, with the counts, ``base_failed``, ``kept`` and ``rejected_by``."""
     order = rule_order(docs, text) if order is None else order
-    added = (*COUNTS, "base_failed", "kept", "rejected_by")
-    rest = [c for c in docs.columns if c != text and c not in added]
-    source = docs.select(*rest, F.col(text).alias("_text"))
-    schema = source.drop("_text").schema
-    for name in COUNTS:
-        schema = schema.add(name, "long")
-    schema = schema.add("base_failed", "boolean").add("kept", "boolean").add("rejected_by", "string")
+    names = {**dict.fromkeys(COUNTS, "long"), "base_failed": "boolean", "kept": "boolean", "rejected_by": "string"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in t.slices(batches, "_text"):
-            s = measure(part.column("_text"))
+        for part in t.slices(batches, "text"):
+            s = measure(part.column("text"))
             failed = base_failed(s)
             by = np.full(part.num_rows, None, object)
             left = np.flatnonzero(~failed)
@@ -199,9 +193,7 @@ def judge(docs: DataFrame, text: str = "text", order: list[str] | None = None) -
                 left = left[~bad]
             kept = np.zeros(part.num_rows, bool)
             kept[left] = True
-            columns = [part.column(c) for c in rest]
-            columns += [pa.array(s.counts[c], pa.int64()) for c in COUNTS]
-            columns += [pa.array(failed), pa.array(kept), pa.array(by.tolist(), pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*rest, *added])
+            counts = [pa.array(s.counts[c], pa.int64()) for c in COUNTS]
+            yield t.added(part.column("rest"), *counts, pa.array(failed), pa.array(kept), pa.array(by.tolist(), pa.string()))
 
-    return source.mapInArrow(run, schema)
+    return t.Carried(docs, text, tuple(names)).run(run, names)

@@ -31,8 +31,6 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 from cartwright.llm import text as t
 
@@ -306,30 +304,23 @@ def _shared(spark, path: str):
 def encode(docs: DataFrame, text: str = "text", out: str = "ids", path: str = MODEL) -> DataFrame:
     """``docs`` with the ids of the text (array of int)."""
     shared = _shared(docs.sparkSession, path)
-    rest = [c for c in docs.columns if c != out]
-    source = docs.select(*rest, F.col(text).alias("_text"))
-    schema = source.select(*rest).schema.add(out, DataType.fromDDL("array<int>"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
-        for part in t.slices(batches, "_text", SLICE_BYTES):
-            ids = encode_texts(encoder, part.column("_text").to_pylist())
-            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], ids], [*rest, out])
+        for part in t.slices(batches, "text", SLICE_BYTES):
+            yield t.added(part.column("rest"), encode_texts(encoder, part.column("text").to_pylist()))
 
-    return source.mapInArrow(run, schema)
+    return t.Carried(docs, text, (out,), True).run(run, {out: "array<int>"})
 
 
 def decode(rows: DataFrame, ids: str = "ids", out: str = "text", path: str = MODEL) -> DataFrame:
     """``rows`` with the text of the ids."""
     shared = _shared(rows.sparkSession, path)
-    rest = [c for c in rows.columns if c != out]
-    source = rows.select(*rest, F.col(ids).alias("_ids"))
-    schema = source.select(*rest).schema.add(out, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            texts = [None if x is None else encoder.decode(x) for x in batch.column("_ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(texts, pa.string())], [*rest, out])
+            texts = [None if x is None else encoder.decode(x) for x in batch.column("text").to_pylist()]
+            yield t.added(batch.column("rest"), pa.array(texts, pa.string()))
 
-    return source.mapInArrow(run, schema)
+    return t.Carried(rows, ids, (out,), True).run(run, {out: "string"})

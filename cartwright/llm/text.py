@@ -12,6 +12,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 SLICE_BYTES = 1 << 21
 
@@ -29,6 +32,34 @@ _KEEP = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+class Carried:
+    """A text column and, packed into one column, all others: no name of a table can clash with
+    the names used in between."""
+
+    def __init__(self, docs: DataFrame, text: str, replaced: tuple[str, ...], keep_text: bool = False, **more: str):
+        self.rest = [c for c in docs.columns if c not in replaced and (keep_text or c != text)]
+        packed = F.struct(*[docs[f"`{c}`"] for c in self.rest]) if self.rest else F.lit(None).cast("boolean")
+        named = [docs[f"`{c}`"].alias(name) for name, c in more.items()]
+        self.frame = docs.select(docs[f"`{text}`"].alias("text"), packed.alias("rest"), *named)
+
+    def run(self, function, added: dict[str, str], frame: DataFrame | None = None) -> DataFrame:
+        """Apply a function on Arrow batches that gives back ``rest`` and the added columns."""
+        frame = self.frame if frame is None else frame
+        schema = StructType().add("rest", frame.schema["rest"].dataType)
+        for place, kind in enumerate(added.values()):
+            schema = schema.add(f"added{place}", DataType.fromDDL(kind))
+        out = frame.mapInArrow(function, schema)
+        return out.select(
+            *[out["rest"].getField(c).alias(c) for c in self.rest],
+            *[out[f"added{place}"].alias(name) for place, name in enumerate(added)],
+        )
+
+
+def added(rest: pa.Array, *columns: pa.Array) -> pa.RecordBatch:
+    """A batch in the form that ``Carried.run`` expects."""
+    return pa.RecordBatch.from_arrays([rest, *columns], ["rest", *[f"added{i}" for i in range(len(columns))]])
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of whole rows with about ``limit`` bytes of text each."""
     for batch in batches:

@@ -155,16 +155,11 @@ def judge(pages: DataFrame, url: str = "url", rules: dict[str, str] = RULES, wor
     universe = pages.select(F.col(url).alias("url")).mapInArrow(_universe(lengths), "h long").distinct()
     listed = key_hashes([*rules, *["word:" + w for w in words]])
     cascade = build(stage(universe, "cascade-keys"), spark.createDataFrame([(int(h),) for h in listed.view(np.int64)], "h long"))
-    added = ("host", "path", "rule", "verdict", "word")
-    rest = [c for c in pages.columns if c not in (*added, url)]
-    source = pages.select(*rest, F.col(url).alias("_url"))
-    schema = source.select(*rest).schema
-    for name in added:
-        schema = schema.add(name, "string")
+    names = dict.fromkeys(("host", "path", "rule", "verdict", "word"), "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [split_url(u) for u in batch.column("_url").to_pylist()]
+            parts = [split_url(u) for u in batch.column("text").to_pylist()]
             keys = [keys_of(h, p, lengths) for h, p in parts]
             flat = [k for rule_keys, word_keys in keys for k in (*rule_keys, *word_keys)]
             hit = iter(cascade.lists(key_hashes(flat)).tolist())
@@ -175,7 +170,7 @@ def judge(pages: DataFrame, url: str = "url", rules: dict[str, str] = RULES, wor
                 rule = max(fits, key=lambda k: (len(k), k.index("/")), default=None)
                 verdict = rules[rule] if rule else "block" if bad else "allow"
                 out.append((host, path, rule, verdict, bad[0] if bad and not rule else None))
-            columns = [pa.array(c, pa.string()) for c in zip(*out)] if out else [pa.array([], pa.string())] * len(added)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], *columns], [*rest, *added])
+            columns = list(zip(*out)) or [()] * len(names)
+            yield t.added(batch.column("rest"), *[pa.array(c, pa.string()) for c in columns])
 
-    return source.mapInArrow(run, schema)
+    return t.Carried(pages, url, (*names, url)).run(run, names)

@@ -24,7 +24,6 @@ MIN_MATCH_RATIO = 0.6
 
 TIME_BUCKETS = ("night", "morning", "afternoon", "evening")
 
-MAX_BASKET_ITEMS = 20
 MIN_BASKET_ITEMS = 2
 MAX_TXNS_PER_CONTEXT = 300_000
 
@@ -44,9 +43,22 @@ RANK_WEIGHTS = {"rule": 0.5, "behavior": 0.2, "preference": 0.2, "lifecycle": 0.
 
 DEFAULT_TOP_K = 20
 POPULAR_LIST_SIZE = 50
+MAX_TOP_K = 100
+RECALL_FACTOR = 3
+# The longest list a request can need: fallback reads up to RECALL_FACTOR * top_k products.
+SERVING_LIST_SIZE = RECALL_FACTOR * MAX_TOP_K
 DEFAULT_PRICE = 100000.0
 
 
+# Fixed values: (more transactions than, support at least, antecedent at most), for a table of
+# thresholds by size. Mining does not read it: it treats contexts of every size alike.
+ADAPTIVE_STEPS: tuple[tuple[int, float, int], ...] = ((500_000, 0.02, 1), (200_000, 0.01, 2))
+
+# The cuts of the top-n operators on rules. Mining cuts nothing unless asked to.
+TOP_RULES_PER_CONTEXT = 3000
+TOP_RULES_PER_ANTECEDENT = 10
+
+
 @dataclass(frozen=True)
 class Mining:
     """Thresholds of one mining run."""
@@ -55,14 +67,8 @@ class Mining:
     min_confidence: float = 0.10
     min_lift: float = 1.05
     max_antecedent: int = 3
-    max_rules_per_context: int = 3000
-    max_rules_per_antecedent: int = 10
     level_min_txns: dict[str, int] = field(default_factory=lambda: dict(LEVEL_MIN_TXNS))
     floor: int = CONTEXT_FLOOR
-    adaptive: bool = True
-
-    # Fixed values: (more transactions than, support at least, antecedent at most).
-    adaptive_steps: tuple[tuple[int, float, int], ...] = ((500_000, 0.02, 1), (200_000, 0.01, 2))
 
     # Rule score = conf * c + min(lift, cap) * l + support * (1 - c - l).
     conf_weight: float = 0.6

@@ -17,22 +17,9 @@ def parse_json_basket(text: Column) -> Column:
     return F.from_json(text, "array<bigint>")
 
 
-def normal_basket(items: Column, limit: int) -> Column:
-    """Distinct items in numeric order, at most ``limit`` of them."""
-    return F.slice(F.array_sort(F.array_distinct(items)), 1, limit)
-
-
-def longer_sets(sets: Column) -> Column:
-    """Sorted sets of k members, each extended by every larger item that occurs in the sets."""
-    items = F.array_sort(F.array_distinct(F.flatten(sets)))
-    return F.flatten(
-        F.transform(
-            sets,
-            lambda s: F.transform(
-                F.filter(items, lambda x: x > F.element_at(s, -1)), lambda x: F.concat(s, F.array(x))
-            ),
-        )
-    )
+def normal_basket(items: Column) -> Column:
+    """All distinct items in numeric order."""
+    return F.array_sort(F.array_distinct(items))
 
 
 def set_text(items: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.config import CONTEXT_LEVELS, MAX_BASKET_ITEMS, MIN_BASKET_ITEMS, TRAIN_DEFAULTS
+from cartwright.config import CONTEXT_LEVELS, MIN_BASKET_ITEMS, TRAIN_DEFAULTS
 from cartwright.functions import context as ctx
 from cartwright.operators.quantiles import quantile_struct
 from cartwright.operators.ranking import first_row, top_n
@@ -75,22 +75,14 @@ def with_user(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return lines.join(orders.select("order_id", "user_id"), "order_id", "left")
 
 
-def union_lines(prior: DataFrame, train: DataFrame) -> DataFrame:
-    return prior.unionByName(train)
-
-
 def baskets(
-    orders: DataFrame, lines: DataFrame, max_items: int = MAX_BASKET_ITEMS, min_items: int = MIN_BASKET_ITEMS
+    orders: DataFrame, lines: DataFrame, max_items: int | None = None, min_items: int = MIN_BASKET_ITEMS
 ) -> DataFrame:
-    """Orders with the array of their first ``max_items`` products in line order."""
-    first = top_n(
-        lines.select("order_id", "line_number", "product_id"),
-        ["order_id"],
-        [F.col("line_number"), F.col("product_id")],
-        max_items,
-        "pos",
-    )
-    lists = first.groupBy("order_id").agg(F.array_sort(F.collect_list(F.struct("pos", "product_id"))).alias("l"))
+    """Orders with the array of their products in line order: all, or the first ``max_items`` if given."""
+    rows = lines.select("order_id", F.col("line_number").alias("pos"), "product_id")
+    if max_items is not None:
+        rows = top_n(rows, ["order_id"], [F.col("pos"), F.col("product_id")], max_items, "_first").drop("_first")
+    lists = rows.groupBy("order_id").agg(F.array_sort(F.collect_list(F.struct("pos", "product_id"))).alias("l"))
     lists = lists.select("order_id", F.col("l.product_id").alias("products")).where(F.size("products") >= min_items)
     return lists.join(orders, "order_id").withColumn("basket_size", F.size("products"))
 

@@ -10,7 +10,7 @@ its signature and one aggregation.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,10 +20,12 @@ from cartwright.config import (
     GLOBAL_KEY,
     HEAD_SHARE,
     LEVEL_WEIGHT,
-    MAX_BASKET_ITEMS,
+    MAX_TOP_K,
     MIN_MATCH_RATIO,
     RANK_WEIGHTS,
+    RECALL_FACTOR,
     SERVE_DEFAULTS,
+    SERVING_LIST_SIZE,
     STAGE_BOOSTS,
     TIME_BUCKETS,
 )
@@ -36,8 +38,6 @@ from cartwright.operators.ranking import top_n
 SIGNATURE = ("time_bucket", "is_weekend", "lifecycle_stage", "preference_cluster", "behavior_cluster")
 CONTEXT = ["context_level", "context_key"]
 RULE, POPULAR, SIMILAR_DEPT, INSURANCE = "RULE", "POPULAR", "SIMILAR_DEPT", "INSURANCE"
-SIMILAR_LIST_SIZE = 300
-MAX_TOP_K = 100
 
 
 @dataclass(frozen=True)
@@ -64,16 +64,17 @@ class Options:
     level_weight: Mapping[str, float] = field(default_factory=lambda: dict(LEVEL_WEIGHT))
     min_match_ratio: float = MIN_MATCH_RATIO
     rank_weights: Mapping[str, float] = field(default_factory=lambda: dict(RANK_WEIGHTS))
-    recall_factor: int = 3
+    recall_factor: int = RECALL_FACTOR
+    time_buckets: Sequence[str] = TIME_BUCKETS
     exclude_basket: bool = False
 
 
 # ---- requests -------------------------------------------------------------------------
 
 
-def validate_requests(requests: DataFrame) -> DataFrame:
+def validate_requests(requests: DataFrame, time_buckets: Sequence[str] = TIME_BUCKETS) -> DataFrame:
     """Add ``valid`` and ``reject_reason``; nothing is dropped."""
-    bucket = F.coalesce(F.col("time_bucket").isin(*TIME_BUCKETS), F.lit(False))
+    bucket = F.coalesce(F.col("time_bucket").isin(*time_buckets), F.lit(False))
     size = F.coalesce(F.col("top_k").between(1, MAX_TOP_K), F.lit(False))
     reason = F.when(~bucket, "time_bucket").when(~size, "top_k")
     return requests.withColumn("reject_reason", reason).withColumn("valid", F.col("reject_reason").isNull())
@@ -115,18 +116,27 @@ def weight_column(weights: Mapping[str, float], default: float = 1.0) -> Column:
     return F.lit(default) if chosen is None else chosen.otherwise(F.lit(default))
 
 
-def signature_rules(matches: DataFrame, rules: DataFrame, opts: Options = Options()) -> DataFrame:
+def anchors(rules: DataFrame, popularity: DataFrame) -> DataFrame:
+    """(antecedent, anchor): the item of each antecedent that was bought least."""
+    bought = popularity.where(F.col("tier") == "global").select(F.col("product_id").alias("item"), "cnt")
+    items = rules.select("antecedent").distinct().select("antecedent", F.explode("antecedent").alias("item"))
+    least = F.min(F.struct(F.coalesce("cnt", F.lit(0)).alias("cnt"), "item"))
+    return items.join(bought, "item", "left").groupBy("antecedent").agg(least["item"].alias("anchor"))
+
+
+def signature_rules(matches: DataFrame, rules: DataFrame, popularity: DataFrame, opts: Options = Options()) -> DataFrame:
     """Rules summed over the contexts a signature matches.
 
     (signature, antecedent, consequent, units, level_mask, anchor); ``units`` is the summed
-    score in whole units, ``anchor`` the antecedent item the basket is joined on.
+    score in whole units, ``anchor`` the antecedent item the basket is joined on: the rarest, so
+    that a popular product does not draw all its rules for each basket.
     """
     units = to_units(F.col("score") * weight_column(opts.level_weight) * F.col("match_ratio"))
     return (
         matches.join(rules.select(*CONTEXT, "antecedent", "consequent", "score"), CONTEXT)
         .groupBy("signature", "antecedent", "consequent")
         .agg(F.sum(units).alias("units"), F.bit_or(level_bit(F.col("context_level"))).alias("level_mask"))
-        .withColumn("anchor", F.element_at("antecedent", 1))
+        .join(anchors(rules, popularity), "antecedent")
     )
 
 
@@ -136,16 +146,15 @@ def signature_rules(matches: DataFrame, rules: DataFrame, opts: Options = Option
 def rule_matches(contexts: DataFrame, sig_rules: DataFrame) -> DataFrame:
     """Rules whose antecedent lies in the basket and whose consequent does not.
 
-    Joined on one antecedent item and checked for the others in place, so that no pairs of
-    items are built. The basket counts with its first 20 distinct items; the exclusion looks
-    at all of it.
+    Joined on one antecedent item, the least bought one, and checked for the others in place, so
+    that no pairs of items are built.
     """
     hit = contained(contexts, sig_rules)
     return hit.select("request_id", "top_k", "antecedent", F.col("consequent").alias("product_id"), "units", "level_mask")
 
 
 def contained(contexts: DataFrame, rules: DataFrame) -> DataFrame:
-    cart = normal_basket(F.col("basket"), MAX_BASKET_ITEMS)
+    cart = normal_basket(F.col("basket"))
     carts = contexts.select("request_id", "top_k", "signature", "basket", cart.alias("_cart"))
     entries = carts.withColumn("anchor", F.explode("_cart"))
     inside = F.size(F.array_except("antecedent", "_cart")) == 0
@@ -170,7 +179,9 @@ def rule_candidates(matches: DataFrame, opts: Options = Options()) -> DataFrame:
     )
 
 
-def matched_contexts(contexts: DataFrame, matches: DataFrame, rules: DataFrame, opts: Options = Options()) -> DataFrame:
+def matched_contexts(
+    contexts: DataFrame, matches: DataFrame, rules: DataFrame, popularity: DataFrame, opts: Options = Options()
+) -> DataFrame:
     """Which rule contexts contributed to a request, with hits, level weight and match ratio."""
     # The hits of a rule are the same for every context that holds it, so a rule is joined
     # once per signature with the list of its contexts.
@@ -178,7 +189,7 @@ def matched_contexts(contexts: DataFrame, matches: DataFrame, rules: DataFrame,
         matches.join(rules.select(*CONTEXT, "antecedent", "consequent"), CONTEXT)
         .groupBy("signature", "antecedent", "consequent")
         .agg(F.collect_list(F.struct(*CONTEXT, "match_ratio")).alias("held"))
-        .withColumn("anchor", F.element_at("antecedent", 1))
+        .join(anchors(rules, popularity), "antecedent")
     )
     hit = contained(contexts, held)
     rows = hit.select("request_id", F.explode("held").alias("h")).select("request_id", "h.*")
@@ -210,7 +221,7 @@ def signature_fallback(sigs: DataFrame, popularity: DataFrame) -> DataFrame:
 
 
 def similar_department(
-    requests: DataFrame, products: DataFrame, limit: Column, longest: int = SIMILAR_LIST_SIZE
+    requests: DataFrame, products: DataFrame, limit: Column, longest: int = SERVING_LIST_SIZE
 ) -> DataFrame:
     """(request_id, product_id, position): products of the basket's departments, by id.
 
@@ -453,12 +464,13 @@ def recommendation_metadata(final: DataFrame) -> DataFrame:
         "request_id",
         "user_id",
         "rule_candidates",
-        (F.col("rule_candidates") < F.col("top_k")).alias("fallback_used"),
+        (F.col("reject_reason").isNull() & (F.col("rule_candidates") < F.col("top_k"))).alias("fallback_used"),
         (some & (F.col("ranked_count") < F.col("top_k"))).alias("insurance_used"),
         F.size("items").alias("final_returned"),
         tagged(RULE).alias("rule_item_count"),
         tagged(POPULAR).alias("popular_item_count"),
         tagged(INSURANCE).alias("insurance_item_count"),
+        "reject_reason",
     )
 
 
@@ -479,7 +491,15 @@ class Stages:
 
 
 def recommend(requests: DataFrame, tables: Tables, opts: Options = Options()) -> Stages:
-    """All requests at once. ``recommendation_rows`` and ``recommendation_metadata`` read ``final``."""
+    """All requests at once. ``recommendation_rows`` and ``recommendation_metadata`` read ``final``.
+
+    Invalid requests come back in ``final`` with their ``reject_reason`` and an empty list. The
+    popularity lists must be ``SERVING_LIST_SIZE`` long (or hold all products), so that no list
+    runs out before the largest valid ``top_k``. The intermediate tables are written here.
+    """
+    checked = validate_requests(requests, opts.time_buckets)
+    refused = checked.where(~F.col("valid"))
+    requests = checked.where("valid").drop("valid", "reject_reason")
     contexts = request_context(requests, tables.segments)
     # One row per distinct context. The number given to it is fixed by writing it, and stands
     # for the long text in all later joins.
@@ -494,7 +514,7 @@ def recommend(requests: DataFrame, tables: Tables, opts: Options = Options()) ->
     contexts = numbered(contexts)
     sigs = sigs.drop("signature").withColumnRenamed("signature_id", "signature")
     # Its size grows with the rules and contexts, so it is measured before it is joined.
-    sig_rules = stage(signature_rules(matches, tables.rules, opts), "signature-rules")
+    sig_rules = stage(signature_rules(matches, tables.rules, tables.popularity, opts), "signature-rules")
     lists = stage(signature_fallback(sigs, tables.popularity), "signature-fallback")
 
     hits = rule_matches(contexts, build_side(sig_rules))
@@ -515,7 +535,13 @@ def recommend(requests: DataFrame, tables: Tables, opts: Options = Options()) ->
         )
     pool = lifecycle_scores(score_pool(summary, fallback, items, tables))
     ranked = rank_pool(pool, opts.rank_weights)
-    final = insurance_fill(summary, ranked, tables.popularity)
+    final = insurance_fill(summary, ranked, tables.popularity).withColumn("reject_reason", F.lit(None).cast("string"))
+    final = final.unionByName(
+        refused.select("request_id", "user_id", "top_k", "reject_reason", F.lit(0).alias("rule_candidates"), F.lit(0).alias("ranked_count")),
+        allowMissingColumns=True,
+    )
+    nothing = F.expr("cast(array() as " + final.schema["items"].dataType.simpleString() + ")")
+    final = final.withColumn("items", F.coalesce("items", nothing))
     return Stages(contexts, matches, sig_rules, hits, candidates, summary, fallback, pool, ranked, final)
 
 

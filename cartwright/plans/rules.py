@@ -7,13 +7,14 @@ read once, not once per level, and only pre-aggregated counts are shuffled.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.config import CONTEXT_LEVELS, MAX_TXNS_PER_CONTEXT, MIN_BASKET_ITEMS, Mining
-from cartwright.functions import baskets as bk
+from cartwright.config import ADAPTIVE_STEPS, CONTEXT_LEVELS, MAX_TXNS_PER_CONTEXT, MIN_BASKET_ITEMS, Mining
 from cartwright.functions.context import context_array
 from cartwright.functions.scoring import antecedent_text, round_half_up, rule_id, rule_score
 from cartwright.lineage import build_side, stage
@@ -53,18 +54,21 @@ def passing_contexts(counts: DataFrame, m: Mining = Mining()) -> DataFrame:
     return counts.where((F.col("n") >= level_gate(m)) & (F.col("n") >= m.floor))
 
 
-def adaptive_params(counts: DataFrame, m: Mining = Mining()) -> DataFrame:
-    """Support, antecedent length and minimum count for each context by its size."""
-    support, length = F.lit(m.min_support), F.lit(m.max_antecedent)
-    if m.adaptive:
-        steps = sorted(m.adaptive_steps, key=lambda step: -step[0])
-        s, a = None, None
-        for more_than, at_least, at_most in steps:
-            test = F.col("n") > more_than
-            new_s, new_a = F.lit(max(m.min_support, at_least)), F.lit(min(m.max_antecedent, at_most))
-            s = F.when(test, new_s) if s is None else s.when(test, new_s)
-            a = F.when(test, new_a) if a is None else a.when(test, new_a)
-        support, length = s.otherwise(support), a.otherwise(length)
+def mining_params(counts: DataFrame, m: Mining = Mining()) -> DataFrame:
+    """Support and minimum count of each context: one support for contexts of every size."""
+    out = counts.withColumn("min_support", F.lit(float(m.min_support)))
+    return out.withColumn("min_count", F.ceil(F.col("min_support") * F.col("n")))
+
+
+def adaptive_params(
+    counts: DataFrame, m: Mining = Mining(), steps: Sequence[tuple[int, float, int]] = ADAPTIVE_STEPS
+) -> DataFrame:
+    """A table of thresholds that rise with the size of a context. Nothing here mines by it."""
+    support, length = F.lit(float(m.min_support)), F.lit(m.max_antecedent)
+    for more_than, at_least, at_most in sorted(steps):
+        test = F.col("n") > more_than
+        support = F.when(test, F.lit(max(m.min_support, at_least))).otherwise(support)
+        length = F.when(test, F.lit(min(m.max_antecedent, at_most))).otherwise(length)
     out = counts.withColumns({"min_support": support, "max_antecedent": length})
     return out.withColumn("min_count", F.ceil(F.col("min_support") * F.col("n")))
 
@@ -120,13 +124,17 @@ def cap_transactions(
     return whole.unionByName(edge).select(*ctx_txns.columns)
 
 
-def frequent_itemsets(txns: DataFrame, m: Mining = Mining()) -> DataFrame:
-    """Itemsets of up to ``max_antecedent + 1`` items with their counts, for every context.
+def frequent_itemsets(txns: DataFrame, m: Mining = Mining(), max_size: int | None = None) -> DataFrame:
+    """All frequent itemsets of every context with their counts, up to ``max_size`` items if given.
 
-    Same counts as FP-Growth at the same support, limited to the sizes that rules can use.
+    Sets grow level by level: those that every transaction of a leaf context holds meet the single
+    items of the same transaction, one row per (transaction, set), so a long basket is rows and not
+    an array. A set is only counted if all its subsets of one item less are frequent in a context of
+    the leaf. The search ends with the first level from which nothing grows. Building the result
+    does the work of all levels; what is returned reads the written tables.
     """
     txns = txns.select(
-        "order_id", *[f"context_{level}" for level in LEVELS], F.array_sort(F.array_distinct("products")).alias("items")
+        "order_id", *[f"context_{level}" for level in LEVELS], F.array_distinct("products").alias("items")
     ).where(F.size("items") >= MIN_BASKET_ITEMS)
 
     # One row per leaf context and per context, not per transaction. Both get numbers, fixed by
@@ -135,52 +143,69 @@ def frequent_itemsets(txns: DataFrame, m: Mining = Mining()) -> DataFrame:
     leaves = stage(leaf_contexts(txns).withColumn("leaf", F.monotonically_increasing_id()), "leaf-contexts")
     rolled = leaves.select("leaf", "leaf_n", F.explode(context_array(LEVELS)).alias("c")).select("leaf", "leaf_n", "c.*")
     counts = rolled.groupBy(*CONTEXT).agg(F.sum("leaf_n").alias("n"))
-    params = adaptive_params(passing_contexts(counts, m), m)
+    params = mining_params(passing_contexts(counts, m), m)
     contexts = stage(params.withColumn("context", F.monotonically_increasing_id()), "contexts")
-    members = rolled.join(contexts, CONTEXT).select("leaf", "context", "n", "min_count", "max_antecedent")
+    members = rolled.join(contexts, CONTEXT).select("leaf", "context", "n", "min_count")
     members = build_side(stage(members, "context-members"))
     txns = txns.join(build_side(leaves.select(LEAF, "leaf")), LEAF).select("order_id", "leaf", "items")
 
-    def frequent(leaf_counts: DataFrame, items: str) -> DataFrame:
-        """Add leaf counts up for every context and keep what reaches the minimum count."""
+    def frequent(rows: DataFrame) -> DataFrame:
+        """Count per leaf, add the counts up for every context, keep what reaches the minimum."""
         return (
-            leaf_counts.join(members, "leaf")
-            .groupBy("context", items)
-            .agg(F.sum("leaf_cnt").alias("cnt"), *[F.first(c).alias(c) for c in ("n", "min_count", "max_antecedent")])
+            rows.groupBy("leaf", "set")
+            .agg(F.count(F.lit(1)).alias("leaf_cnt"))
+            .join(members, "leaf")
+            .groupBy("context", "set")
+            .agg(F.sum("leaf_cnt").alias("cnt"), *[F.first(c).alias(c) for c in ("n", "min_count")])
             .where(F.col("cnt") >= F.col("min_count"))
+            .select("context", "set", "cnt", "n")
         )
 
-    def useful(sets: DataFrame, size: int) -> DataFrame:
-        """(leaf, set) that a longer set of one of the leaf's contexts may grow from."""
-        longer = sets.where(F.col("max_antecedent") + 1 > size).select("context", "set")
-        return stage(longer.join(members.select("leaf", "context"), "context").select("leaf", "set").distinct(), "useful-sets")
-
-    def kept(rows: DataFrame, sets: DataFrame) -> DataFrame:
-        """Transactions with the array of their useful sets; a basket has a bounded number."""
-        held = rows.join(build_side(sets), ["leaf", "set"])
-        return held.groupBy("order_id", "leaf").agg(F.collect_list("set").alias("sets")).where(F.size("sets") > 1)
+    def in_leaves(sets: DataFrame) -> DataFrame:
+        """(leaf, set): the sets that are frequent in a context of the leaf."""
+        return sets.select("context", "set").join(members.select("leaf", "context"), "context").select("leaf", "set").distinct()
 
-    # Level by level: a set is counted in a transaction only if the set without its last
-    # member is frequent in one of the transaction's own contexts, and the search ends with
-    # the first level from which nothing can grow.
     rows = txns.select("order_id", "leaf", F.explode("items").alias("item"))
     rows = rows.select("order_id", "leaf", F.array("item").alias("set"))
-    found = None
-    for size in range(1, m.max_antecedent + 2):
-        counted = rows.groupBy("leaf", "set").agg(F.count(F.lit(1)).alias("leaf_cnt"))
-        level = frequent(counted, "set").where(F.col("max_antecedent") + 1 >= size)
-        level = stage(level.select("context", "set", "cnt", "n", "max_antecedent"), f"itemsets-{size}")
+    found, size, singles = None, 1, None
+    while True:
+        level = stage(frequent(rows), f"itemsets-{size}")
         found = level if found is None else found.unionByName(level)
-        if size > m.max_antecedent:
+        if size == max_size or level.isEmpty():
             break
-        growing = useful(level, size)
-        if growing.isEmpty():
-            break
-        current = stage(kept(rows, growing), f"transactions-{size}")
-        rows = current.select("order_id", "leaf", F.explode(bk.longer_sets(F.col("sets"))).alias("set"))
-    found = found.withColumnRenamed("set", "items")
-    named = found.join(build_side(contexts.select("context", *CONTEXT)), "context")
-    return named.select(*CONTEXT, "items", F.size("items").alias("size"), "cnt", "n", "max_antecedent")
+        # The transactions with their sets of this level, and what may become a set of the next.
+        alive = stage(in_leaves(level), "frequent-sets")
+        current = stage(rows.join(build_side(alive), ["leaf", "set"]), f"transactions-{size}")
+        if size == 1:
+            singles = current.select("order_id", F.col("set")[0].alias("item"))
+        else:
+            grown = stage(_grown_sets(alive), "grown-sets")
+            if grown.isEmpty():
+                break
+        # A set joins the larger items of its own transaction.
+        rows = current.join(singles, "order_id").where(F.col("item") > F.element_at("set", -1))
+        rows = rows.select("order_id", "leaf", F.concat("set", F.array("item")).alias("set"))
+        if size > 1:
+            rows = rows.join(build_side(grown), ["leaf", "set"], "left_semi")
+        size += 1
+    named = found.withColumnRenamed("set", "items").join(build_side(contexts.select("context", *CONTEXT)), "context")
+    return named.select(*CONTEXT, "items", F.size("items").alias("size"), "cnt", "n")
+
+
+def _grown_sets(alive: DataFrame) -> DataFrame:
+    """(leaf, set): sets of one more item whose subsets of one item less are all in ``alive``.
+
+    Two sets that share all but the last item make a longer one; its other subsets are looked up.
+    """
+    head = alive.select("leaf", F.expr("slice(set, 1, size(set) - 1)").alias("head"), F.element_at("set", -1).alias("last"))
+    pairs = head.join(head.withColumnRenamed("last", "item"), ["leaf", "head"]).where(F.col("item") > F.col("last"))
+    grown = pairs.select("leaf", F.concat("head", F.array("last", "item")).alias("set"))
+    subsets = F.transform(
+        F.sequence(F.lit(1), F.size("set")), lambda i: F.filter("set", lambda x: x != F.element_at("set", i.cast("int")))
+    )
+    parts = grown.select("leaf", "set", F.explode(subsets).alias("part"))
+    held = parts.join(alive.withColumnRenamed("set", "part"), ["leaf", "part"]).groupBy("leaf", "set").agg(F.count(F.lit(1)).alias("c"))
+    return held.where(F.col("c") == F.size("set")).select("leaf", "set")
 
 
 def association_rules(itemsets: DataFrame) -> DataFrame:
@@ -202,23 +227,27 @@ def association_rules(itemsets: DataFrame) -> DataFrame:
         (confidence / (F.col("cons_cnt") / F.col("n"))).alias("lift"),
         (F.col("cnt") / F.col("n")).alias("support"),
         "n",
-        "max_antecedent",
     )
 
 
-def filter_rules(rules: DataFrame, m: Mining = Mining()) -> DataFrame:
-    """Confidence, lift and length limits, then the best rules of each context."""
+def filter_rules(rules: DataFrame, m: Mining = Mining(), per_context: int | None = None) -> DataFrame:
+    """Confidence, lift and length limits; the best ``per_context`` rules of each context if given."""
     kept = rules.where(
         (F.col("confidence") >= m.min_confidence)
         & (F.col("lift") >= m.min_lift)
-        & (F.size("antecedent") <= F.col("max_antecedent"))
+        & (F.size("antecedent") <= m.max_antecedent)
     )
+    if per_context is None:
+        return kept
     order = [F.col("lift").desc(), F.col("confidence").desc(), F.col("antecedent"), F.col("consequent")]
-    return top_n(kept, CONTEXT, order, m.max_rules_per_context, "context_rank")
+    return top_n(kept, CONTEXT, order, per_context, "context_rank")
 
 
-def build_index(rules: DataFrame, m: Mining = Mining()) -> DataFrame:
-    """The rules table that serving reads: valid, deduplicated, scored, top n per antecedent."""
+def build_index(rules: DataFrame, m: Mining = Mining(), per_antecedent: int | None = None) -> DataFrame:
+    """The rules table that serving reads: valid, deduplicated and scored.
+
+    With ``per_antecedent``, only the best of each antecedent, numbered in ``antecedent_rank``.
+    """
     usable = rules.where(valid_rule() & (F.col("lift") >= m.min_lift))
     score = rule_score(F.col("confidence"), F.col("lift"), F.col("support"), m)
     scored = usable.select(*CONTEXT, "antecedent", "consequent", "confidence", "lift", "support", score.alias("score"))
@@ -226,9 +255,12 @@ def build_index(rules: DataFrame, m: Mining = Mining()) -> DataFrame:
     key = [*CONTEXT, "antecedent", "consequent"]
     # Of several rules with the same sides the best scored one stays.
     best = first_row(scored, key, ["_worst", "confidence", "lift", "support", "score"]).drop("_worst")
-    order = [F.col("score").desc(), F.col("consequent")]
-    top = top_n(best, [*CONTEXT, "antecedent"], order, m.max_rules_per_antecedent, "antecedent_rank")
-    return top.select(
+    ranked = []
+    if per_antecedent is not None:
+        order = [F.col("score").desc(), F.col("consequent")]
+        best = top_n(best, [*CONTEXT, "antecedent"], order, per_antecedent, "antecedent_rank")
+        ranked = ["antecedent_rank"]
+    return best.select(
         *CONTEXT,
         rule_id(F.col("antecedent"), F.col("consequent")).alias("rule_id"),
         "antecedent",
@@ -237,7 +269,7 @@ def build_index(rules: DataFrame, m: Mining = Mining()) -> DataFrame:
         round_half_up(F.least("lift", F.lit(m.lift_cap)), 4).alias("lift"),
         round_half_up(F.col("support"), 6).alias("support"),
         round_half_up(F.col("score"), 4).alias("score"),
-        "antecedent_rank",
+        *ranked,
     )
 
 
@@ -282,8 +314,14 @@ def rule_stats(index: DataFrame) -> DataFrame:
     )
 
 
-def mining_stats(itemsets: DataFrame, index: DataFrame, params: DataFrame, m: Mining = Mining()) -> DataFrame:
-    """One row per mined context: size, thresholds, itemsets, rules, confidences."""
+def mining_stats(
+    itemsets: DataFrame, index: DataFrame, params: DataFrame, m: Mining = Mining(), outcome: "Outcome | None" = None
+) -> DataFrame:
+    """One row per mined context: size, thresholds, itemsets, rules, confidences, and the run.
+
+    All contexts are mined by one job, so a run has one outcome: its time, and how it ended.
+    """
+    outcome = outcome or Outcome()
     sets = itemsets.groupBy(*CONTEXT).agg(F.count(F.lit(1)).alias("num_frequent_itemsets"))
     rules = index.groupBy(*CONTEXT).agg(
         F.count(F.lit(1)).alias("num_rules"),
@@ -301,16 +339,47 @@ def mining_stats(itemsets: DataFrame, index: DataFrame, params: DataFrame, m: Mi
             *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("num_frequent_itemsets", "num_rules")],
             round_half_up(F.coalesce("avg_confidence", F.lit(0.0)), 4).alias("avg_confidence"),
             F.coalesce("max_confidence", F.lit(0.0)).alias("max_confidence"),
-            F.lit("success").alias("status"),
-            F.lit("").alias("error"),
+            F.lit(outcome.seconds).cast("double").alias("run_time"),
+            F.lit(outcome.status).alias("status"),
+            F.lit(outcome.error).alias("error"),
         )
     )
 
 
-def mine(txns: DataFrame, m: Mining = Mining()) -> DataFrame:
+@dataclass
+class Outcome:
+    """How a mining run ended; ``seconds`` is null for a run that was not timed."""
+
+    status: str = "success"
+    error: str = ""
+    seconds: float | None = None
+
+
+def mine_logged(txns: DataFrame, m: Mining = Mining()) -> tuple[DataFrame | None, DataFrame]:
+    """(rules, log): the written rules table and the log rows of the run.
+
+    A run that fails has no rules table; its log rows say why, for every context it was to mine.
+    """
+    params = mining_params(passing_contexts(context_counts(txns), m), m)
+    outcome, began = Outcome(), time.monotonic()
+    itemsets = index = None
+    try:
+        itemsets = stage(frequent_itemsets(txns, m), "itemsets")
+        index = stage(build_index(filter_rules(association_rules(itemsets), m), m), "index")
+    except Exception as error:  # noqa: BLE001  the log is where a failed run is reported
+        outcome.status, outcome.error = "failed", f"{type(error).__name__}: {str(error)[:500]}"
+    outcome.seconds = round(time.monotonic() - began, 3)
+    nothing = params.select(*CONTEXT, F.lit(0.0).alias("confidence")).where("false")
+    log = mining_stats(nothing if index is None else itemsets, nothing if index is None else index, params, m, outcome)
+    return index, log
+
+
+def mine(
+    txns: DataFrame, m: Mining = Mining(), per_context: int | None = None, per_antecedent: int | None = None
+) -> DataFrame:
     """Transactions with context keys to the rules table, all contexts at once."""
     itemsets = stage(frequent_itemsets(txns, m), "itemsets")
-    return build_index(filter_rules(association_rules(itemsets), m), m)
+    return build_index(filter_rules(association_rules(itemsets), m, per_context), m, per_antecedent)
 
 
 def rule_sample(index: DataFrame, contexts: int = 5, per_antecedent: int = 50) -> DataFrame:

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.config import CONTEXT_FLOOR, LEVEL_MIN_TXNS, SERVE_DEFAULTS, Mining
+from cartwright.config import SERVE_DEFAULTS, SERVING_LIST_SIZE, TIME_BUCKETS, Mining
 from cartwright.lineage import stage
 from cartwright.plans import evaluate, features, popularity, prep, recommend, rules, segments
 from cartwright.sources.retail import Retail
 
-# Contexts are gated as for 150,000 orders, scaled to the number of orders at hand.
-GATED_ORDERS = 150_000
-MINING_SUPPORT, SERVING_SUPPORT = 0.01, 0.02
+# One support for all contexts, and gates that leave contexts in which it means 5 transactions at
+# least. They are fixed: whether a context passes does not depend on how much other data there is.
+MINING = Mining(
+    min_support=0.003, level_min_txns={"L1": 1700, "L2": 1700, "L3": 1700, "L4": 1700, "L5": 0}, floor=100
+)
+# The evaluation asks in a context without a time of day.
+NEUTRAL = recommend.Options(time_buckets=(*TIME_BUCKETS, "unknown"))
 TOP_K = 5
 BASKET_SIZE = 10
 DEPARTMENTS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -36,18 +41,7 @@ class Fixture:
             cls._known[key] = cls(spark, path)
         return cls._known[key]
 
-    def _thresholds(self, support: float) -> Mining:
-        orders = self.part.table("orders").count()
-        gates = {level: n * orders // GATED_ORDERS for level, n in LEVEL_MIN_TXNS.items()}
-        return Mining(min_support=support, level_min_txns=gates, floor=CONTEXT_FLOOR * orders // GATED_ORDERS)
-
-    @cached_property
-    def mining(self) -> Mining:
-        return self._thresholds(MINING_SUPPORT)
-
-    @cached_property
-    def serving(self) -> Mining:
-        return self._thresholds(SERVING_SUPPORT)
+    mining = MINING
 
     # ---- features and segments --------------------------------------------------------
 
@@ -131,9 +125,9 @@ class Fixture:
         found = rules.filter_rules(rules.association_rules(self.itemsets), self.mining)
         return stage(rules.build_index(found, self.mining), "index")
 
-    @cached_property
+    @property
     def rules(self) -> DataFrame:
-        return stage(rules.mine(self.brand_transactions, self.serving), "rules")
+        return self.index
 
     # ---- serving ----------------------------------------------------------------------
 
@@ -150,12 +144,12 @@ class Fixture:
         bought = self.prior_lines.select("user_id", "order_id", "product_id")
         times = prep.order_context(self.part.order_heads()).select("order_id", "time_bucket")
         behavior = self.behavior_clusters.withColumnRenamed("cluster", "behavior_cluster")
-        tier = popularity.as_tier
+        tier, n = popularity.as_tier, SERVING_LIST_SIZE
         parts = (
-            tier(popularity.popular_global(bought), "global", None),
-            tier(popularity.popular_by(bought, self.stages, "user_id", "lifecycle_stage"), "lifecycle", "lifecycle_stage"),
-            tier(popularity.popular_by(bought, behavior, "user_id", "behavior_cluster"), "behavior", "behavior_cluster"),
-            tier(popularity.popular_by(bought, times, "order_id", "time_bucket"), "time", "time_bucket"),
+            tier(popularity.popular_global(bought, n), "global", None),
+            tier(popularity.popular_by(bought, self.stages, "user_id", "lifecycle_stage", n), "lifecycle", "lifecycle_stage"),
+            tier(popularity.popular_by(bought, behavior, "user_id", "behavior_cluster", n), "behavior", "behavior_cluster"),
+            tier(popularity.popular_by(bought, times, "order_id", "time_bucket", n), "time", "time_bucket"),
         )
         out = parts[0]
         for part in parts[1:]:
@@ -201,7 +195,8 @@ class Fixture:
 
     @cached_property
     def served(self) -> recommend.Stages:
-        return recommend.recommend(self.requests, self.tables)
+        run = recommend.recommend(self.requests, self.tables)
+        return replace(run, final=stage(run.final, "final"))
 
     @cached_property
     def recommendations(self) -> DataFrame:
@@ -213,6 +208,6 @@ class Fixture:
         baskets = evaluate.user_basket(self.prior_lines, 5)
         truth = evaluate.user_ground_truth(self.train_lines)
         baskets = baskets.join(evaluate.evaluation_users(truth), "user_id", "left_semi")
-        run = recommend.recommend(evaluate.requests_for(baskets, TOP_K), self.tables)
+        run = recommend.recommend(evaluate.requests_for(baskets, TOP_K), self.tables, NEUTRAL)
         rows = recommend.recommendation_rows(run.final)
         return stage(evaluate.user_metrics(rows, truth, TOP_K), "user-metrics")

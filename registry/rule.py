@@ -1,6 +1,8 @@
 """Queries on context transactions, itemsets, rules and popularity."""
 
+from cartwright.config import TOP_RULES_PER_ANTECEDENT, TOP_RULES_PER_CONTEXT
 from cartwright.functions.scoring import antecedent_text
+from cartwright.operators.ranking import top_n
 from cartwright.plans import popularity, prep, rules
 from registry.common import F, Fixture, set_text, shown
 from registry.sql import PARTS, PASSES, TIME_BUCKET, half_up, statement
@@ -35,13 +37,13 @@ def context_counts(spark, path):
 
 @query(
     "context_top",
-    "SELECT context_key, n FROM x_ctx_counts WHERE context_level = 'L3' ORDER BY n DESC, context_key LIMIT 10",
+    """SELECT context_level, context_key, n, CAST(r AS INTEGER) AS rank FROM (
+         SELECT *, row_number() OVER (PARTITION BY context_level ORDER BY n DESC, context_key) AS r FROM x_ctx_counts) WHERE r <= 10""",
 )
 def context_top(spark, path):
-    """The ten most frequent contexts of one level."""
+    """The ten most frequent contexts of every level."""
     counts = rules.context_counts(Fixture.of(spark, path).brand_transactions)
-    level = counts.where(F.col("context_level") == "L3").select("context_key", "n")
-    return level.orderBy(F.col("n").desc(), "context_key").limit(10)
+    return top_n(counts, ["context_level"], [F.col("n").desc(), F.col("context_key")], 10)
 
 
 @query(
@@ -68,7 +70,7 @@ CAP = 400
                ON c.context_level = t.context_level AND c.context_key = t.context_key) WHERE r <= {CAP}""",
 )
 def capped_transactions(spark, path):
-    """The sampling operator: at most 400 random transactions of each context."""
+    """The sampling operator: at most 400 random transactions of each context. Mining does not use it."""
     f = Fixture.of(spark, path)
     out = rules.context_transactions(f.brand_transactions, f.mining)
     return rules.cap_transactions(out.select(*CTX, "order_id"), CAP)
@@ -84,7 +86,7 @@ def capped_transactions(spark, path):
        FROM x_ctx_counts""",
 )
 def adaptive_params(spark, path):
-    """The thresholds as they would be for 40 times the transactions, where the steps apply."""
+    """A table of thresholds by size, for 40 times the transactions. Nothing mines by it."""
     counts = rules.context_counts(Fixture.of(spark, path).brand_transactions)
     return rules.adaptive_params(counts.withColumn("n", F.col("n") * 40))
 
@@ -97,7 +99,7 @@ def adaptive_params(spark, path):
 def frequent_itemsets(spark, path):
     f = Fixture.of(spark, path)
     sets = rules.frequent_itemsets(f.brand_transactions, f.mining)
-    return sets.withColumn("items", set_text(F.col("items"))).drop("max_antecedent")
+    return sets.withColumn("items", set_text(F.col("items")))
 
 
 @query(
@@ -106,33 +108,51 @@ def frequent_itemsets(spark, path):
                {half_up("lift")} AS lift, {half_up("support")} AS support FROM x_m_rules""",
 )
 def association_rules(spark, path):
-    out = rules.association_rules(Fixture.of(spark, path).itemsets).drop("n", "max_antecedent")
+    out = rules.association_rules(Fixture.of(spark, path).itemsets).drop("n")
     return shown(out.withColumn("antecedent", set_text(F.col("antecedent"))), "confidence", "lift", "support")
 
 
 @query(
     "rules_filtered",
     f"""SELECT context_level, context_key, {SQL_ANT}, consequent, {half_up("confidence")} AS confidence,
-               {half_up("lift")} AS lift, CAST(context_rank AS INTEGER) AS context_rank FROM x_m_filtered""",
+               {half_up("lift")} AS lift, CAST(context_rank AS INTEGER) AS context_rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY context_level, context_key
+                                           ORDER BY lift DESC, confidence DESC, antecedent, consequent) AS context_rank FROM x_m_kept)
+        WHERE context_rank <= 3000""",
 )
 def rules_filtered(spark, path):
+    """The top-n operator: the best 3,000 rules of each context, numbered."""
     f = Fixture.of(spark, path)
-    out = rules.filter_rules(rules.association_rules(f.itemsets), f.mining)
+    out = rules.filter_rules(rules.association_rules(f.itemsets), f.mining, TOP_RULES_PER_CONTEXT)
     out = out.select(*CTX, set_text(F.col("antecedent")).alias("antecedent"), "consequent", "confidence", "lift", "context_rank")
     return shown(out, "confidence", "lift")
 
 
 @query(
     "rule_index",
-    f"""SELECT context_level, context_key, rule_id, {SQL_ANT}, consequent, confidence, lift, support, score, antecedent_rank
+    f"""SELECT context_level, context_key, rule_id, {SQL_ANT}, consequent, confidence, lift, support, score
         FROM x_m_index""",
 )
 def rule_index(spark, path):
+    """All rules of all contexts, scored."""
     f = Fixture.of(spark, path)
     index = rules.build_index(rules.filter_rules(rules.association_rules(f.itemsets), f.mining), f.mining)
     return index.withColumn("antecedent", set_text(F.col("antecedent")))
 
 
+@query(
+    "rules_per_antecedent",
+    f"""SELECT context_level, context_key, rule_id, {SQL_ANT}, consequent, confidence, lift, support, score, antecedent_rank
+        FROM x_m_index WHERE antecedent_rank <= 10""",
+)
+def rules_per_antecedent(spark, path):
+    """The top-n operator: the ten best rules of each antecedent, numbered."""
+    f = Fixture.of(spark, path)
+    kept = rules.filter_rules(rules.association_rules(f.itemsets), f.mining)
+    index = rules.build_index(kept, f.mining, TOP_RULES_PER_ANTECEDENT)
+    return index.withColumn("antecedent", set_text(F.col("antecedent")))
+
+
 @query(
     "rule_build_stats",
     """SELECT i.*, o.* FROM (SELECT count(*) AS rules_in, 0::BIGINT AS rules_invalid, count(*) FILTER (lift < 1.05) AS rules_low_lift,
@@ -146,7 +166,7 @@ def rule_build_stats(spark, path):
     """Counters of an index built from all rules, before any filter."""
     f = Fixture.of(spark, path)
     found = rules.association_rules(f.itemsets)
-    return rules.build_stats(found, rules.build_index(found, f.mining), f.mining)
+    return rules.build_stats(found, rules.build_index(found, f.mining, TOP_RULES_PER_ANTECEDENT), f.mining)
 
 
 @query(
@@ -163,7 +183,7 @@ def rule_stats(spark, path):
     f"""SELECT p.context_level, p.context_key, n AS num_transactions, min_support, 0.1::DOUBLE AS min_confidence,
                coalesce(s.c, 0) AS num_frequent_itemsets, coalesce(r.c, 0) AS num_rules,
                coalesce({half_up("r.a", 4)}, 0) AS avg_confidence, coalesce(r.m, 0) AS max_confidence,
-               'success' AS status, '' AS error
+               CAST(NULL AS DOUBLE) AS run_time, 'success' AS status, '' AS error
         FROM x_m_params p
         LEFT JOIN (SELECT context_level, context_key, count(*) AS c FROM x_m_sets GROUP BY 1, 2) s
                ON s.context_level = p.context_level AND s.context_key = p.context_key
@@ -173,7 +193,7 @@ def rule_stats(spark, path):
 )
 def mining_stats(spark, path):
     f = Fixture.of(spark, path)
-    params = rules.adaptive_params(rules.passing_contexts(rules.context_counts(f.brand_transactions), f.mining), f.mining)
+    params = rules.mining_params(rules.passing_contexts(rules.context_counts(f.brand_transactions), f.mining), f.mining)
     return rules.mining_stats(f.itemsets, f.index, params, f.mining)
 
 

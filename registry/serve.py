@@ -107,7 +107,7 @@ def rule_candidates(spark, path):
 )
 def matched_contexts(spark, path):
     f = Fixture.of(spark, path)
-    return shown(recommend.matched_contexts(f.served.contexts, f.served.matches, f.rules), "match_ratio")
+    return shown(recommend.matched_contexts(f.served.contexts, f.served.matches, f.rules, f.popularity), "match_ratio")
 
 
 @query(
@@ -165,7 +165,7 @@ def ranked(spark, path):
 def recommend_query(spark, path):
     """The flagship: ranked, source-tagged recommendations for every user."""
     f = Fixture.of(spark, path)
-    rows = recommend.recommendation_rows(recommend.recommend(f.requests, f.tables).final)
+    rows = recommend.recommendation_rows(f.served.final)
     texts = {c: F.array_join(c, "|") for c in ("source", "context_level")}
     return shown(rows.withColumns(texts), "score")
 
@@ -188,8 +188,7 @@ def insurance_fill(spark, path):
     """Rule results alone filled up to 20 items from the global list; the filled rows."""
     f = Fixture.of(spark, path)
     only_rules = f.served.ranked.where(F.array_contains("source", recommend.RULE))
-    renumbered = only_rules.withColumn("levels", F.col("levels"))
-    filled = recommend.insurance_fill(f.served.summary.withColumn("top_k", F.lit(20)), renumbered, f.popularity)
+    filled = recommend.insurance_fill(f.served.summary.withColumn("top_k", F.lit(20)), only_rules, f.popularity)
     rows = recommend.recommendation_rows(filled).where(F.array_contains("source", recommend.INSURANCE))
     return rows.select("request_id", "rank", F.col("item_id").alias("product_id"))
 
@@ -227,12 +226,7 @@ def precision_recall_at_k(spark, path):
 )
 def offline_eval(spark, path):
     """History from prior orders, truth from the last one, all users."""
-    f = Fixture.of(spark, path)
-    truth = evaluate.user_ground_truth(f.train_lines)
-    baskets = evaluate.user_basket(f.prior_lines, 5).join(evaluate.evaluation_users(truth), "user_id", "left_semi")
-    run = recommend.recommend(evaluate.requests_for(baskets, TOP_K), f.tables)
-    metrics = evaluate.user_metrics(recommend.recommendation_rows(run.final), truth, TOP_K)
-    return shown(evaluate.summarize(metrics), *METRICS)
+    return shown(evaluate.summarize(Fixture.of(spark, path).evaluated), *METRICS)
 
 
 @query(

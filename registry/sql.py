@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 
-from cartwright.config import CONTEXT_FLOOR, LEVEL_MIN_TXNS, Mining
-from registry.fixture import BASKET_SIZE, GATED_ORDERS, MINING_SUPPORT, SERVING_SUPPORT, TOP_K
+# The statements say what the results should be, in numbers of their own.
+TOP_K = 5
+SUPPORT = 0.003
 
 PARTS: dict[str, str] = {}
 
@@ -163,9 +164,8 @@ TIME_BUCKET = """CASE WHEN {h} < 6 THEN 'night' WHEN {h} < 12 THEN 'morning'
                  WHEN {h} < 18 THEN 'afternoon' ELSE 'evening' END"""
 
 PARTS["x_basket_items"] = """
-SELECT * FROM (
-  SELECT order_id, product_id, row_number() OVER (PARTITION BY order_id ORDER BY line_number, product_id) AS pos
-  FROM x_brand_lines) WHERE pos <= 20
+SELECT order_id, product_id, row_number() OVER (PARTITION BY order_id ORDER BY line_number, product_id) AS pos
+FROM x_brand_lines
 """
 
 PARTS["x_baskets"] = """
@@ -202,27 +202,18 @@ PARTS["x_txn_ctx"] = " UNION ALL ".join(
 
 PARTS["x_ctx_counts"] = "SELECT context_level, context_key, count(*) AS n FROM x_txn_ctx GROUP BY 1, 2"
 
-SIZE = f"(SELECT count(*) FROM orders) // {GATED_ORDERS}"
-GATE = "CASE context_level " + " ".join(f"WHEN '{k}' THEN {v} * {SIZE}" for k, v in LEVEL_MIN_TXNS.items()) + " END"
-PASSES = f"n >= {GATE} AND n >= {CONTEXT_FLOOR} * {SIZE}"
+PASSES = "n >= CASE context_level WHEN 'L5' THEN 100 ELSE 1700 END"
 
 
 # ---- mining ---------------------------------------------------------------------------
 
 PARTS["x_sets"] = """
-SELECT order_id, [product_id] AS items FROM x_basket_items
-UNION ALL
-SELECT a.order_id, [a.product_id, b.product_id]
-FROM x_basket_items a JOIN x_basket_items b ON a.order_id = b.order_id AND a.product_id < b.product_id
-UNION ALL
-SELECT a.order_id, [a.product_id, b.product_id, c.product_id]
-FROM x_basket_items a JOIN x_basket_items b ON a.order_id = b.order_id AND a.product_id < b.product_id
-JOIN x_basket_items c ON a.order_id = c.order_id AND b.product_id < c.product_id
-UNION ALL
-SELECT a.order_id, [a.product_id, b.product_id, c.product_id, d.product_id]
-FROM x_basket_items a JOIN x_basket_items b ON a.order_id = b.order_id AND a.product_id < b.product_id
-JOIN x_basket_items c ON a.order_id = c.order_id AND b.product_id < c.product_id
-JOIN x_basket_items d ON a.order_id = d.order_id AND c.product_id < d.product_id
+WITH RECURSIVE grown AS (
+  SELECT order_id, [product_id] AS items, product_id AS last FROM x_basket_items
+  UNION ALL
+  SELECT g.order_id, list_append(items, product_id), product_id
+  FROM grown g JOIN x_basket_items b ON b.order_id = g.order_id AND b.product_id > g.last)
+SELECT order_id, items FROM grown
 """
 
 PARTS["x_set_counts"] = """
@@ -231,55 +222,44 @@ FROM x_txn_ctx JOIN x_sets USING (order_id) GROUP BY 1, 2, 3
 """
 
 
-def _mining(prefix: str, m) -> None:
-    PARTS[f"x_{prefix}_params"] = f"""
-SELECT context_level, context_key, n, s AS min_support, a AS max_antecedent, CAST(ceil(s * n) AS BIGINT) AS min_count
-FROM (SELECT *, CAST(CASE WHEN n > 500000 THEN greatest({m.min_support}, 0.02)
-                          WHEN n > 200000 THEN greatest({m.min_support}, 0.01) ELSE {m.min_support} END AS DOUBLE) AS s,
-             CASE WHEN n > 500000 THEN 1 WHEN n > 200000 THEN 2 ELSE {m.max_antecedent} END AS a
-      FROM x_ctx_counts WHERE {PASSES})
+PARTS["x_m_params"] = f"""
+SELECT context_level, context_key, n, {SUPPORT}::DOUBLE AS min_support, CAST(ceil({SUPPORT}::DOUBLE * n) AS BIGINT) AS min_count
+FROM x_ctx_counts WHERE {PASSES}
 """
-    PARTS[f"x_{prefix}_sets"] = f"""
-SELECT c.context_level, c.context_key, items, cnt, n, max_antecedent
-FROM x_set_counts c JOIN x_{prefix}_params p ON p.context_level = c.context_level AND p.context_key = c.context_key
-WHERE cnt >= min_count AND len(items) <= max_antecedent + 1
+
+PARTS["x_m_sets"] = """
+SELECT c.context_level, c.context_key, items, cnt, n
+FROM x_set_counts c JOIN x_m_params p ON p.context_level = c.context_level AND p.context_key = c.context_key
+WHERE cnt >= min_count
 """
-    PARTS[f"x_{prefix}_rules"] = f"""
+
+PARTS["x_m_rules"] = """
 SELECT s.context_level, s.context_key, s.antecedent, s.consequent, s.cnt / a.cnt AS confidence,
-       (s.cnt / a.cnt) / (c.cnt / s.n) AS lift, s.cnt / s.n AS support, s.max_antecedent
+       (s.cnt / a.cnt) / (c.cnt / s.n) AS lift, s.cnt / s.n AS support
 FROM (SELECT *, list_filter(items, lambda i: i <> consequent) AS antecedent
-      FROM (SELECT *, unnest(items) AS consequent FROM x_{prefix}_sets WHERE len(items) >= 2)) s
-JOIN x_{prefix}_sets a ON a.context_level = s.context_level AND a.context_key = s.context_key AND a.items = s.antecedent
-JOIN x_{prefix}_sets c ON c.context_level = s.context_level AND c.context_key = s.context_key AND c.items = [s.consequent]
+      FROM (SELECT *, unnest(items) AS consequent FROM x_m_sets WHERE len(items) >= 2)) s
+JOIN x_m_sets a ON a.context_level = s.context_level AND a.context_key = s.context_key AND a.items = s.antecedent
+JOIN x_m_sets c ON c.context_level = s.context_level AND c.context_key = s.context_key AND c.items = [s.consequent]
 """
-    PARTS[f"x_{prefix}_filtered"] = f"""
-SELECT * FROM (
-  SELECT *, row_number() OVER (PARTITION BY context_level, context_key
-                               ORDER BY lift DESC, confidence DESC, antecedent, consequent) AS context_rank
-  FROM x_{prefix}_rules
-  WHERE confidence >= {m.min_confidence} AND lift >= {m.min_lift} AND len(antecedent) <= max_antecedent)
-WHERE context_rank <= {m.max_rules_per_context}
-"""
-    PARTS[f"x_{prefix}_scored"] = f"""
-SELECT *, confidence * CAST({m.conf_weight} AS DOUBLE) + least(lift, {m.lift_cap}) * CAST({m.lift_weight} AS DOUBLE)
-          + support * CAST({1.0 - m.conf_weight - m.lift_weight} AS DOUBLE) AS raw_score
-FROM x_{prefix}_filtered
-"""
-    PARTS[f"x_{prefix}_index"] = f"""
+
+PARTS["x_m_kept"] = "SELECT * FROM x_m_rules WHERE confidence >= 0.1 AND lift >= 1.05 AND len(antecedent) <= 3"
+
+PARTS["x_m_scored"] = """
+SELECT *, confidence * 0.6::DOUBLE + least(lift, 10.0) * 0.04::DOUBLE + support * CAST(1.0::DOUBLE - 0.6::DOUBLE - 0.04::DOUBLE AS DOUBLE)
+          AS raw_score
+FROM x_m_kept
+"""
+
+PARTS["x_m_index"] = f"""
 SELECT context_level, context_key, antecedent, consequent,
        md5(array_to_string(list_sort(list_transform(antecedent, lambda i: CAST(i AS VARCHAR))), '|') || '->' || consequent) AS rule_id,
-       {half_up("confidence", 4)} AS confidence, {half_up(f"least(lift, {m.lift_cap})", 4)} AS lift,
-       {half_up("support", 6)} AS support, {half_up("raw_score", 4)} AS score, CAST(antecedent_rank AS INTEGER) AS antecedent_rank
-FROM (SELECT *, row_number() OVER (PARTITION BY context_level, context_key, antecedent
-                                   ORDER BY raw_score DESC, consequent) AS antecedent_rank
-      FROM x_{prefix}_scored)
-WHERE antecedent_rank <= {m.max_rules_per_antecedent}
+       {half_up("confidence", 4)} AS confidence, {half_up("least(lift, 10.0)", 4)} AS lift,
+       {half_up("support", 6)} AS support, {half_up("raw_score", 4)} AS score,
+       CAST(row_number() OVER (PARTITION BY context_level, context_key, antecedent ORDER BY raw_score DESC, consequent) AS INTEGER)
+       AS antecedent_rank
+FROM x_m_scored
 """
 
-
-_mining("m", Mining(min_support=MINING_SUPPORT))
-_mining("s", Mining(min_support=SERVING_SUPPORT))
-
 # ---- popularity and score tables ------------------------------------------------------
 
 PARTS["x_prior"] = "SELECT * FROM x_brand_op WHERE eval_set = 'prior'"
@@ -300,7 +280,7 @@ SELECT tier, tier_key, product_id, cnt, rank FROM (
     UNION ALL SELECT 'lifecycle', lifecycle_stage, product_id, count(*) FROM x_bought GROUP BY ALL
     UNION ALL SELECT 'behavior', CAST(behavior_cluster AS VARCHAR), product_id, count(*) FROM x_bought GROUP BY ALL
     UNION ALL SELECT 'time', time_bucket, product_id, count(*) FROM x_bought GROUP BY ALL))
-WHERE rank <= 50
+WHERE rank <= 300
 """
 
 PARTS["x_behavior_scores"] = """
@@ -325,7 +305,7 @@ FROM x_orders o LEFT JOIN (
   SELECT user_id, list(product_id ORDER BY r) AS basket FROM (
     SELECT user_id, product_id, row_number() OVER (
              PARTITION BY user_id ORDER BY order_number DESC, line_number DESC, product_id DESC) AS r FROM x_prior)
-  WHERE r <= {BASKET_SIZE} GROUP BY 1) b ON b.user_id = o.user_id
+  WHERE r <= 10 GROUP BY 1) b ON b.user_id = o.user_id
 WHERE eval_set = 'train'
 """
 
@@ -361,18 +341,18 @@ SELECT * FROM (
          CASE WHEN context_key = 'GLOBAL' THEN 1.0::DOUBLE ELSE
            len(list_filter(string_split(context_key, '|'), lambda part: list_contains(string_split(signature, '|'), part)))
            / len(string_split(context_key, '|')) END AS match_ratio
-  FROM (SELECT DISTINCT signature FROM x_{p}_ctx), (SELECT DISTINCT context_level, context_key FROM x_s_index))
+  FROM (SELECT DISTINCT signature FROM x_{p}_ctx), (SELECT DISTINCT context_level, context_key FROM x_m_index))
 WHERE match_ratio >= 0.6
 """
     PARTS[f"x_{p}_carts"] = f"""
-SELECT request_id, top_k, signature, basket, list_slice(list_sort(list_distinct(basket)), 1, 20) AS cart FROM x_{p}_ctx
+SELECT request_id, top_k, signature, basket, list_distinct(basket) AS cart FROM x_{p}_ctx
 """
     PARTS[f"x_{p}_hits"] = f"""
 SELECT request_id, top_k, m.context_level, m.context_key, match_ratio, antecedent, consequent AS product_id,
        CAST(round(score * CASE m.context_level WHEN 'L1' THEN 2.0::DOUBLE WHEN 'L2' THEN 1.8::DOUBLE WHEN 'L3' THEN 1.5::DOUBLE
                   WHEN 'L4' THEN 1.2::DOUBLE ELSE 0.3::DOUBLE END * match_ratio * 1e9) AS BIGINT) AS units
 FROM x_{p}_carts c JOIN x_{p}_match m ON m.signature = c.signature
-JOIN x_s_index r ON r.context_level = m.context_level AND r.context_key = m.context_key
+JOIN x_m_index r ON r.context_level = m.context_level AND r.context_key = m.context_key
 WHERE list_has_all(cart, antecedent) AND NOT list_contains(basket, consequent)
 """
     PARTS[f"x_{p}_cands"] = f"""
@@ -457,7 +437,8 @@ JOIN x_{p}_ctx c ON c.request_id = k.request_id
 SELECT d.request_id, user_id, CAST(rule_candidates AS INTEGER) AS rule_candidates, rule_candidates < top_k AS fallback_used,
        coalesce(ranked_n, 0) > 0 AND ranked_n < top_k AS insurance_used,
        CAST(coalesce(n, 0) AS INTEGER) AS final_returned, CAST(coalesce(rule_n, 0) AS INTEGER) AS rule_item_count,
-       CAST(coalesce(pop_n, 0) AS INTEGER) AS popular_item_count, CAST(coalesce(ins_n, 0) AS INTEGER) AS insurance_item_count
+       CAST(coalesce(pop_n, 0) AS INTEGER) AS popular_item_count, CAST(coalesce(ins_n, 0) AS INTEGER) AS insurance_item_count,
+       CAST(NULL AS VARCHAR) AS reject_reason
 FROM x_{p}_need d LEFT JOIN (
   SELECT request_id, count(*) AS n, count(*) FILTER (source <> 'INSURANCE') AS ranked_n, count(*) FILTER (source = 'RULE') AS rule_n,
          count(*) FILTER (source = 'POPULAR') AS pop_n, count(*) FILTER (source = 'INSURANCE') AS ins_n

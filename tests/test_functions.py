@@ -63,15 +63,9 @@ def test_parse_basket(spark):
     assert column(spark, texts, "string", bk.parse_json_basket)[1:] == [[1, 2], [3, 4], [9, 10, 9]]
 
 
-def test_normal_basket_is_numeric_and_capped(spark):
-    got = column(spark, [[10, 9, 10], list(range(25, 0, -1))], "array<bigint>", lambda c: bk.normal_basket(c, 20))
-    assert got == [[9, 10], list(range(1, 21))]
-
-
-def test_longer_sets(spark):
-    pairs = [[1, 2], [1, 3], [2, 3], [2, 5]]
-    got = column(spark, [pairs, [[4]]], "array<array<bigint>>", bk.longer_sets)
-    assert sorted(map(tuple, got[0])) == [(1, 2, 3), (1, 2, 5), (1, 3, 5), (2, 3, 5)] and got[1] == []
+def test_normal_basket_is_numeric_and_whole(spark):
+    got = column(spark, [[10, 9, 10], list(range(25, 0, -1))], "array<bigint>", bk.normal_basket)
+    assert got == [[9, 10], list(range(1, 26))]
 
 
 def test_rule_score_caps_lift_and_id_is_stable(spark):

@@ -81,7 +81,7 @@ def test_unknown_user_gets_relaxed_contexts(spark, tables):
 
 def test_matched_context_trace(spark, tables):
     st = run(spark, tables, [(1, 1, [9], "night", False, 2)])
-    rows = R.matched_contexts(st.contexts, st.matches, tables.rules).collect()
+    rows = R.matched_contexts(st.contexts, st.matches, tables.rules, tables.popularity).collect()
     assert {(r.context_level, r.hits, r.level_weight) for r in rows} == {("L5", 2, 0.3), ("L4", 1, 1.2), ("L3", 1, 1.5)}
 
 
@@ -175,6 +175,41 @@ def test_request_validation(spark):
     assert [r.valid for r in got] == [True, False, False, True, False, False]
 
 
+def test_invalid_requests_come_back_with_a_reason(spark, tables):
+    rows = [(1, 1, [9], "night", False, 2), (2, 1, [9], "noon", False, 2), (3, 2, [], "night", True, 101), (4, 2, [9], None, True, 0)]
+    st = run(spark, tables, rows)
+    checked = {r.request_id: r.reject_reason for r in R.validate_requests(frame(spark, rows, REQUESTS)).collect()}
+    final = {r.request_id: r for r in st.final.collect()}
+    assert {i: r.reject_reason for i, r in final.items()} == checked
+    assert {i for i, r in final.items() if len(r["items"])} == {1}
+    meta = {r.request_id: r for r in R.recommendation_metadata(st.final).collect()}
+    assert (meta[2].final_returned, meta[2].fallback_used, meta[2].reject_reason) == (0, False, "time_bucket")
+    assert run(spark, tables, rows, time_buckets=("night", "noon")).final.where("size(items) > 0").count() == 2
+
+
+def test_a_list_of_eighty(spark, tables):
+    popular = frame(spark, [("global", "", p, 500 - p, p) for p in range(1, 301)], POPULAR)
+    products = frame(spark, [(p, 1, "odd") for p in range(1, 301)], "product_id long, department_id long, department string")
+    wide = R.Tables(**{**tables.__dict__, "popularity": popular, "products": products})
+    rows = R.recommendation_rows(run(spark, wide, [(1, 1, [9], "night", False, 80), (2, 2, [], "night", False, 100)]).final)
+    assert {(r[0], r[1]) for r in rows.groupBy("request_id").count().collect()} == {(1, 80), (2, 100)}
+
+
+def test_rules_match_on_all_items_of_a_basket(spark, tables):
+    basket = list(range(20, 44)) + [99]
+    rules = frame(spark, [("L5", "GLOBAL", [43, 99], 3, 0.5)], RULES)
+    wide = R.Tables(**{**tables.__dict__, "rules": rules})
+    assert [r.product_id for r in run(spark, wide, [(1, 1, basket, "night", False, 2)]).candidates.collect()] == [3]
+
+
+def test_a_rule_is_anchored_on_its_rarest_item(spark, tables):
+    got = {tuple(r.antecedent): r.anchor for r in R.anchors(tables.rules, tables.popularity).collect()}
+    assert got[(9, 10)] == 9
+    bought = frame(spark, [("global", "", 9, 50, 1), ("global", "", 10, 5, 2)], POPULAR)
+    got = {tuple(r.antecedent): r.anchor for r in R.anchors(tables.rules, bought).collect()}
+    assert got[(9, 10)] == 10 and got[(9, 10, 11)] == 11
+
+
 def test_catalog(spark):
     products = frame(
         spark,

@@ -8,7 +8,7 @@ from cartwright.sources import rule_store
 from registry.fixture import Fixture
 
 SMALL = "/root/testdata/sf0.001"
-OPEN = Mining(min_support=0.02, level_min_txns={}, floor=30, adaptive=False)
+OPEN = Mining(min_support=0.02, level_min_txns={}, floor=30)
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +18,7 @@ def txns(spark):
 
 @pytest.fixture(scope="module")
 def mining():
-    return Mining(min_support=0.02, level_min_txns={"L1": 0, "L2": 0, "L3": 0, "L4": 0, "L5": 0}, floor=30, adaptive=False)
+    return Mining(min_support=0.02, level_min_txns={"L1": 0, "L2": 0, "L3": 0, "L4": 0, "L5": 0}, floor=30)
 
 
 def test_same_counts_and_rules_as_fpgrowth(spark, txns, mining):
@@ -27,7 +27,7 @@ def test_same_counts_and_rules_as_fpgrowth(spark, txns, mining):
     for level, where in (("L5", F.lit(True)), ("L4", F.col("context_L4") == key)):
         items = txns.where(where).select(F.array_distinct("products").alias("items"))
         model = FPGrowth(itemsCol="items", minSupport=0.02, minConfidence=0.1).fit(items)
-        want = {tuple(sorted(r["items"])): r.freq for r in model.freqItemsets.collect() if len(r["items"]) <= 4}
+        want = {tuple(sorted(r["items"])): r.freq for r in model.freqItemsets.collect()}
         mine = sets.where((F.col("context_level") == level) & ((F.lit(level) == "L5") | (F.col("context_key") == key)))
         assert {tuple(r["items"]): r.cnt for r in mine.collect()} == want
         found = rules.association_rules(mine).where("confidence >= 0.1")
@@ -35,7 +35,6 @@ def test_same_counts_and_rules_as_fpgrowth(spark, txns, mining):
         expected = {
             (tuple(sorted(r.antecedent)), r.consequent[0]): (r.confidence, r.lift, r.support)
             for r in model.associationRules.collect()
-            if len(r.antecedent) <= 3
         }
         assert got.keys() == expected.keys()
         for k, v in got.items():
@@ -50,12 +49,52 @@ def test_adaptive_steps(spark):
     assert {r.n for r in rules.passing_contexts(df).collect()} == set(sizes) - {99}
 
 
-def test_longest_set_follows_the_context(spark, txns, mining):
-    steps = ((1000, 0.02, 1), (300, 0.02, 2))
-    m = Mining(min_support=0.02, level_min_txns=mining.level_min_txns, floor=30, adaptive_steps=steps)
-    sizes = rules.frequent_itemsets(txns, m).groupBy("n").agg(F.max("size").alias("s")).collect()
-    assert all(r.s <= (2 if r.n > 1000 else 3 if r.n > 300 else 4) for r in sizes)
-    assert max(r.s for r in sizes) == 4 and max(r.n for r in sizes) > 1000
+def test_one_support_for_contexts_of_every_size(spark):
+    rows = [("L5", str(n), n) for n in (1000, 200_001, 600_000)]
+    df = spark.createDataFrame(rows, "context_level string, context_key string, n long")
+    got = {r.n: (r.min_support, r.min_count) for r in rules.mining_params(df, Mining(min_support=0.002)).collect()}
+    assert got == {1000: (0.002, 2), 200_001: (0.002, 401), 600_000: (0.002, 1200)}
+
+
+def long_baskets(spark):
+    """60 orders; half hold the same five products, one holds 25."""
+    baskets = [[1, 2, 3, 4, 5] if i % 2 else [1 + i % 5, 90 + i % 3] for i in range(59)] + [list(range(30, 55))]
+    keys = ", ".join(f"context_{level} string" for level in rules.LEVELS)
+    rows = [(i, b, *["GLOBAL" if level == "L5" else f"{level}=x" for level in rules.LEVELS]) for i, b in enumerate(baskets)]
+    return spark.createDataFrame(rows, f"order_id long, products array<long>, {keys}")
+
+
+def test_sets_grow_until_nothing_is_frequent(spark):
+    m = Mining(min_support=0.4, level_min_txns={"L5": 0, **{f"L{i}": 1000 for i in range(1, 5)}}, floor=30)
+    sets = {tuple(r["items"]): r.cnt for r in rules.frequent_itemsets(long_baskets(spark), m).collect()}
+    assert sets[(1, 2, 3, 4, 5)] == 29 and len(sets) == 31
+    found = rules.mine(long_baskets(spark), m)
+    assert found.agg(F.max(F.size("antecedent"))).first()[0] in (None, 3)
+
+
+def test_long_baskets_count_whole(spark):
+    m = Mining(min_support=1 / 60, level_min_txns={"L5": 0, **{f"L{i}": 1000 for i in range(1, 5)}}, floor=30)
+    sets = rules.frequent_itemsets(long_baskets(spark), m, max_size=2)
+    assert sets.where("size = 2 and items[0] >= 30 and items[1] < 60").count() == 25 * 24 // 2
+
+
+def test_rules_are_cut_only_on_request(spark):
+    rows = [("L5", "GLOBAL", [1], c, 0.5, 2.0 + c / 10000, 0.1) for c in range(2, 4002)]
+    df = spark.createDataFrame(
+        rows, "context_level string, context_key string, antecedent array<long>, consequent long, confidence double, lift double, support double"
+    )
+    assert rules.filter_rules(df).count() == 4000 and rules.build_index(df).count() == 4000
+    assert rules.filter_rules(df, per_context=3000).count() == 3000 and rules.build_index(df, per_antecedent=10).count() == 10
+
+
+def test_log_has_the_outcome_of_the_run(spark, txns, mining):
+    index, log = rules.mine_logged(txns, mining)
+    rows = log.collect()
+    assert index.count() > 0 and {(r.status, r.error) for r in rows} == {("success", "")} and rows[0].run_time > 0
+    broken = txns.withColumn("products", F.transform("products", lambda p: F.raise_error(F.lit("unreadable")).cast("bigint")))
+    index, log = rules.mine_logged(broken, mining)
+    rows = log.collect()
+    assert index is None and {r.status for r in rows} == {"failed"} and "unreadable" in rows[0].error and len(rows) > 0
 
 
 def test_cap_is_exact_and_repeatable(spark, txns, mining):

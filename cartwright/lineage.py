@@ -10,14 +10,17 @@ storage (memory and disk of the executors), from which lost parts are computed a
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, NumericType, StringType
 
-# Rows, not bytes: a compressed file can be far smaller than the table it holds.
-BROADCAST_ROWS = 500_000
+ROW_BYTES = 32
 
 
 def folder(spark: SparkSession) -> str | None:
@@ -26,23 +29,76 @@ def folder(spark: SparkSession) -> str | None:
     return configured.rstrip("/") if configured else None
 
 
+def stream_folder(spark: SparkSession) -> str:
+    """Where streams keep their checkpoints and output: the shared folder, else the warehouse."""
+    return folder(spark) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+
+
+_SCOPES: list[list[tuple[SparkSession, str | None, DataFrame]]] = []
+
+
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Remove, at the end, the tables that are staged within."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for spark, path, table in _SCOPES.pop():
+            if path is None:
+                table.unpersist()
+                continue
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _note(df: DataFrame, path: str | None) -> None:
+    if _SCOPES:
+        _SCOPES[-1].append((df.sparkSession, path, df))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Make ``df`` once and continue from the written (or stored) table. The work is done here,
     not when the result is read."""
     place = folder(df.sparkSession)
     if place is None:
         kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        _note(kept, None)
         kept.write.format("noop").mode("overwrite").save()
         return kept
     path = f"{place}/cartwright/{name}-{uuid.uuid4().hex}"
+    _note(df, path)
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def build_side(staged: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A written table as the smaller side of a join: broadcast up to ``max_rows``, else merged.
+def build_side(staged: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """A written table as the smaller side of a join: broadcast if it is small, else merged.
 
-    The count comes from the file footers. A merge join leaves it to adaptive execution to
-    split keys that hold a large share of the rows.
+    The size is measured in the rows themselves (a compressed file can be far smaller) and held
+    against ``spark.sql.autoBroadcastJoinThreshold``. A merge join leaves it to adaptive execution
+    to split keys that hold a large share of the rows.
     """
-    return F.broadcast(staged) if staged.count() <= max_rows else staged.hint("merge")
+    limit = broadcast_limit(staged.sparkSession) if max_bytes is None else max_bytes
+    if limit <= 0:
+        return staged.hint("merge")
+    size = staged.agg(F.sum(sum((_width(f.name, f.dataType) for f in staged.schema), F.lit(ROW_BYTES)))).first()[0] or 0
+    return F.broadcast(staged) if size <= limit else staged.hint("merge")
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's broadcast threshold in bytes; 0 or less: no broadcasts."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m").strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", text).groups()
+    return int(number) * 1024 ** "bkmgt".index(unit[:1] or "b")
+
+
+def _width(name: str, kind: DataType) -> Column:
+    """Bytes of a value in memory, nearly."""
+    value = F.col(f"`{name}`")
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, ArrayType):
+        part = 16 if isinstance(kind.elementType, NumericType) else 256
+        return F.coalesce(F.size(value), F.lit(0)) * part + 32
+    return F.lit(16)

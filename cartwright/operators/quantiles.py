@@ -17,6 +17,7 @@ from cartwright.lineage import build_side, stage
 STEPS = 256
 SKETCH_ACCURACY = 10_000
 SMALL_GROUP = 100_000
+BLOCKS = 256
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -32,8 +33,10 @@ def exact_quantiles(
 ) -> DataFrame:
     """(group..., q, quantile) for a table (group..., value); nulls are ignored.
 
-    The bracket table has one row per group and probability. By feature alone that is a few
-    rows; with other groups it is written and measured before it is joined.
+    The bracket table has one row per group and probability. The distinct values of a bracket are
+    cut into ``BLOCKS`` ranges by a second sketch, the counts are added up over the ranges, and
+    only the ranges that hold the wanted positions are ordered: a task sorts about one in
+    ``STEPS * BLOCKS / 4`` of the distinct values of its group.
     """
     values = values.where(F.col("value").isNotNull()).select(*group, "value")
     grid = F.array(*[F.lit(i / STEPS) for i in range(STEPS + 1)])
@@ -57,7 +60,7 @@ def exact_quantiles(
             .alias("hi"),
         )
     )
-    side = F.broadcast(bracket) if list(group) == ["feature"] else build_side(stage(bracket, "brackets"))
+    side = build_side(stage(bracket, "brackets"))
     counted = values.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("c"))
     near = (
         counted.join(side, list(group))
@@ -65,10 +68,19 @@ def exact_quantiles(
         .groupBy(*group, "q", "pos", F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("v"))
         .agg(F.sum("c").alias("c"))
     )
-    # The null value holds everything below the bracket and sorts first.
-    w = Window.partitionBy(*group, "q").orderBy(F.col("v").asc_nulls_first())
-    upto = near.withColumn("upto", F.sum("c").over(w))
+    near = stage(near, "near-values")
+    parts = F.array(*[F.lit(i / BLOCKS) for i in range(1, BLOCKS)])
+    bounds = near.where("v is not null").groupBy(*group, "q").agg(F.percentile_approx("v", parts, SKETCH_ACCURACY).alias("_bounds"))
+    # The null value holds everything below the bracket; it is a block of its own and comes first.
+    block = F.when(F.col("v").isNull(), F.lit(-1)).otherwise(F.size(F.filter("_bounds", lambda b: b < F.col("v"))))
+    near = near.join(build_side(stage(bounds, "block-bounds")), [*group, "q"], "left").withColumn("_block", block).drop("_bounds")
+    sums = near.groupBy(*group, "q", "pos", "_block").agg(F.sum("c").alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*group, "q").orderBy("_block"))
+    sums = sums.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_c"))
     pos = F.col("pos")
+    held = sums.where((F.col("_before") <= F.ceil(pos)) & (F.col("_upto") > F.floor(pos))).select(*group, "q", "_block", "_before")
+    inside = Window.partitionBy(*group, "q", "_block").orderBy("v")
+    upto = near.join(held, [*group, "q", "_block"]).withColumn("upto", F.col("_before") + F.sum("c").over(inside))
     ends = upto.groupBy(*group, "q", "pos").agg(
         F.min(F.when(F.col("upto") > F.floor(pos), F.col("v"))).alias("a"),
         F.min(F.when(F.col("upto") > F.ceil(pos), F.col("v"))).alias("b"),

@@ -44,12 +44,12 @@ def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 def split_hot(df: DataFrame, group: Sequence[str], limit: int = HOT_GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary groups, rows of groups with more than ``limit`` rows).
 
-    There are at most ``rows / limit`` hot groups, which is what makes the hint safe.
+    There are at most ``rows / limit`` hot groups; how their table is joined is left to the planner,
+    which measures it.
     """
     keys = [F.col(g).alias(f"_hot_{g}") for g in group]
     hot = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(*keys)
     same = [F.col(g) == F.col(f"_hot_{g}") for g in group]
-    hot = F.broadcast(hot)
     return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
 

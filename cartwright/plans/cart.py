@@ -46,8 +46,8 @@ def _fold(rows: DataFrame, keys: list[str]) -> DataFrame:
     return steps.withColumn("f", F.aggregate("steps", same, lambda a, x: then(a, x["f"]))).drop("steps")
 
 
-def cart_state(events: DataFrame, chunk: int = CHUNK, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """(user_id, product_id, qty) of the items that are left in each cart.
+def folded_actions(events: DataFrame, chunk: int = CHUNK, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """(user_id, product_id, f): what the events do to the quantity of each cart item.
 
     ``events`` is (event_id, ts, user_id, product_id, action, delta), applied in order of
     (ts, event_id).
@@ -61,9 +61,17 @@ def cart_state(events: DataFrame, chunk: int = CHUNK, hot_rows: int = HOT_GROUP_
         action_function(F.col("action"), F.col("delta")).alias("f"),
     )
     chunks = _fold(steps, [*CART, "chunk"]).withColumnRenamed("chunk", "n")
-    whole = _fold(chunks, CART)
-    # Every cart starts empty.
-    qty = F.when(F.col("f.t") >= 0, F.col("f.c")).otherwise(F.col("f.s"))
+    return _fold(chunks, CART)
+
+
+def applied(f: Column, qty: Column) -> Column:
+    return F.when(qty <= f["t"], f["c"]).otherwise(qty + f["s"])
+
+
+def cart_state(events: DataFrame, chunk: int = CHUNK, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """(user_id, product_id, qty) of the items that are left in each cart; every cart starts empty."""
+    whole = folded_actions(events, chunk, hot_rows)
+    qty = applied(F.col("f"), F.lit(0).cast("bigint"))
     return whole.select(*CART, qty.alias("qty")).where(F.col("qty") > 0)
 
 

@@ -128,6 +128,11 @@ def behavior_vectorize(
     return features.withColumn("_m", stats).select("user_id", *out)
 
 
+def department_names(departments: DataFrame) -> list[str]:
+    """The names of the department dimension, in order: the columns of a pivot."""
+    return [r[0] for r in departments.select("department").where("department is not null").distinct().orderBy("department").collect()]
+
+
 def preference_pivot(preference: DataFrame, departments: Sequence[str]) -> DataFrame:
     """One row per user, one column per department, mean score, 0 where there is none."""
     wide = preference.groupBy("user_id").pivot("department", list(departments)).agg(F.avg("preference_score"))

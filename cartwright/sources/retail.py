@@ -98,7 +98,7 @@ class Retail:
         hot = block_row_number(hot, ["user_id"], ["order_date", "order_id"], ["order_date", "_block"], "order_number")
         before = hot.select("user_id", (F.col("order_number") + 1).alias("order_number"), F.col("order_date").alias("_prior"))
         totals = hot.groupBy("user_id").agg(F.count(F.lit(1)).alias("_orders"))
-        hot = hot.join(before, ["user_id", "order_number"], "left").join(F.broadcast(totals), "user_id")
+        hot = hot.join(before, ["user_id", "order_number"], "left").join(totals, "user_id")
         both = plain.unionByName(hot.select(*plain.columns))
         return both.select(
             *columns,
@@ -125,26 +125,31 @@ class Retail:
         )
         return lines.join(brands, "product_id").drop("product_id").withColumnRenamed("brand_id", "product_id")
 
-    def basket_lines(self) -> DataFrame:
-        """(order_id, product_id, line_number), one row per pair, the least line kept."""
+    def basket_lines(self, *extra: str) -> DataFrame:
+        """(order_id, product_id, line_number), one row per pair, the least line kept.
+
+        Lines of parts can bring further columns along.
+        """
         if self.grain == "part":
             kept = first_row(
                 self.raw_lines(),
                 ["order_id", "product_id"],
                 ["line_number", "supplier_id", "quantity", "extended_price"],
             )
-            return kept.select("order_id", "product_id", "line_number")
+            return kept.select("order_id", "product_id", "line_number", *extra)
         return self.raw_lines().groupBy("order_id", "product_id").agg(F.min("line_number").alias("line_number"))
 
-    def order_products(self, orders: DataFrame | None = None) -> DataFrame:
+    def order_products(self, orders: DataFrame | None = None, *extra: str) -> DataFrame:
         """Clean lines with user_id, order_number, eval_set and the reordered flag."""
         orders = self.orders() if orders is None else orders
-        lines = self.basket_lines().join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
-        first = lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
-        return lines.join(first, ["user_id", "product_id"]).select(
+        lines = self.basket_lines(*extra).join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
+        # One pass over the lines: a user buys a product in no more lines than the user has orders.
+        before = F.min("order_number").over(Window.partitionBy("user_id", "product_id"))
+        return lines.withColumn("_first", before).select(
             "order_id",
             "product_id",
             "line_number",
+            *extra,
             (F.col("order_number") > F.col("_first")).cast("int").alias("reordered"),
             "user_id",
             "order_number",

@@ -2,53 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cartwright.functions.context import time_bucket
+from cartwright.lineage import temporary
+from cartwright.plans.cart import CART, applied, folded_actions
 from cartwright.plans.recommend import Options, Tables, cart_boost, recommend
 
-STATE_SCHEMA = "qty bigint"
-OUTPUT_SCHEMA = "user_id bigint, product_id bigint, qty bigint, ts timestamp"
-
-
-def apply_actions(qty: int, actions, deltas) -> int:
-    """Replay a few actions on a quantity; an absent item has quantity 0."""
-    for action, delta in zip(actions, deltas):
-        if action == "add":
-            qty += 1
-        elif action == "remove":
-            qty = 0
-        elif qty > 0:
-            qty = max(qty + int(delta), 0)
-    return qty
 
+def cart_state_stream(events: DataFrame, out: str, state: str, checkpoint: str):
+    """Write (user_id, product_id, qty, ts) of every item a micro-batch touches; qty 0: it left the cart.
 
-def update_cart(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One cart item: its actions of this micro-batch in event order, on top of the state."""
-    rows = pd.concat(list(parts)).sort_values(["ts", "event_id"])
-    qty = state.get[0] if state.exists else 0
-    qty = apply_actions(qty, rows["action"], rows["delta"])
-    if qty > 0:
-        state.update((qty,))
-    elif state.exists:
-        state.remove()
-    yield pd.DataFrame({"user_id": [key[0]], "product_id": [key[1]], "qty": [qty], "ts": [rows["ts"].iloc[-1]]})
+    The actions of a micro-batch are folded into one function per item, like those of a whole log,
+    and applied to the quantities before it. Within a micro-batch they go by event time. Between
+    micro-batches they go by arrival: an action that arrives late is applied when it arrives, after
+    actions of a later time that were there before it, as the shop does. Returns the running query.
 
+    The quantities are kept as a table in two folders that take turns: a micro-batch reads what the
+    one before has left and overwrites the other, so a batch that is replayed gives the same result.
+    """
+    columns = ["event_id", "ts", *CART, "action", "delta"]
 
-def cart_state_stream(events: DataFrame) -> DataFrame:
-    """Update stream of (user_id, product_id, qty, ts); qty 0 means the item left the cart.
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.select(*columns)
+        last = batch.groupBy(*CART).agg(F.max("ts").alias("ts"))
+        changes = folded_actions(batch).join(last, CART)
+        if batch_id == 0:
+            before = changes.select(*CART, F.lit(0).cast("bigint").alias("qty")).where("false")
+        else:
+            before = spark.read.schema("user_id long, product_id long, qty long").parquet(f"{state}/{(batch_id - 1) % 2}")
+        after = before.join(changes, CART, "full")
+        held = F.coalesce("qty", F.lit(0))
+        qty = F.when(F.col("f").isNull(), held).otherwise(applied(F.col("f"), held))
+        after = after.select(*CART, qty.alias("qty"), "ts").persist()
+        try:
+            after.where("ts is not null").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+            after.where("qty > 0").select(*CART, "qty").write.mode("overwrite").parquet(f"{state}/{batch_id % 2}")
+        finally:
+            after.unpersist()
 
-    Only items in a cart hold state. Actions within a micro-batch are ordered by event time;
-    between micro-batches they apply in order of arrival, as they do in the shop.
-    """
-    columns = events.select("user_id", "product_id", "event_id", "ts", "action", "delta")
-    return columns.groupBy("user_id", "product_id").applyInPandasWithState(
-        update_cart, OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
+    return (
+        events.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 
@@ -76,7 +75,8 @@ def boost_stream(adds: DataFrame, tables: Tables, out: str, checkpoint: str, opt
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        boost_batch(batch, tables, opts).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        with temporary():
+            boost_batch(batch, tables, opts).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return (
         adds.writeStream.foreachBatch(write)

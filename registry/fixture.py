@@ -22,7 +22,6 @@ MINING = Mining(
 NEUTRAL = recommend.Options(time_buckets=(*TIME_BUCKETS, "unknown"))
 TOP_K = 5
 BASKET_SIZE = 10
-DEPARTMENTS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 POINTS = ("total_orders", "total_products", "avg_days_between_orders")
 
 

@@ -5,7 +5,6 @@ from cartwright.functions.context import context_array, context_columns, infer_l
 from cartwright.operators.quantiles import exact_quantiles, unpivot
 from cartwright.plans import features, prep, segments
 from cartwright.config import BEHAVIOR_FEATURES, TRAIN_DEFAULTS
-from cartwright.operators.ranking import first_row
 from registry.common import F, Fixture, near, set_text, shown
 from registry.sql import TIME_BUCKET, half_up, statement
 
@@ -36,16 +35,8 @@ def clean_orders(spark, path):
        FROM x_part_lines l JOIN x_part_op o ON o.order_id = l.order_id AND o.product_id = l.product_id""",
 )
 def clean_order_products(spark, path):
-    retail = Fixture.of(spark, path).part
-    keep = ["line_number", "supplier_id", "quantity", "extended_price"]
-    lines = first_row(retail.raw_lines(), ["order_id", "product_id"], keep)
-    orders = retail.orders().select("order_id", "user_id", "order_number")
-    lines = lines.join(orders, "order_id")
-    first = lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first"))
-    again = lines.join(first, ["user_id", "product_id"]).withColumn(
-        "reordered", (F.col("order_number") > F.col("first")).cast("int")
-    )
-    clean = prep.clean_lines(again)
+    f = Fixture.of(spark, path)
+    clean = prep.clean_lines(f.part.order_products(f.orders, "supplier_id"))
     return clean.select("order_id", "product_id", "line_number", "supplier_id", "reordered")
 
 

@@ -4,11 +4,14 @@ from cartwright.config import BEHAVIOR_FEATURES
 from cartwright.lineage import stage
 from cartwright.plans import analysis, segments
 from registry.common import F, Fixture, near, shown
-from registry.fixture import DEPARTMENTS, POINTS
+from registry.fixture import POINTS
 from registry.sql import PARTS, half_up, statement
 
 QUERIES, ORACLES = {}, {}
 
+# The departments of the test tables, for the SQL; the queries take them from the data.
+DEPARTMENTS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
 
 def query(name, sql=None):
     def add(fn):
@@ -78,22 +81,25 @@ PARTS["x_pivot"] = (
     "SELECT user_id, " + ", ".join(f"{half_up(d)} AS {d}" for d in DEPARTMENTS) + " FROM x_pivot",
 )
 def preference_pivot(spark, path):
-    return shown(segments.preference_pivot(Fixture.of(spark, path).preference, DEPARTMENTS), *DEPARTMENTS)
-
-
-# Shares of a user over all departments but the last do not add up to 1 before normalising.
-SOME = DEPARTMENTS[:-1]
+    f = Fixture.of(spark, path)
+    names = segments.department_names(f.part.departments())
+    return shown(segments.preference_pivot(f.preference, names), *names)
 
 
 @query(
     "preference_normalized",
     "SELECT user_id, "
-    + ", ".join(f"{half_up(f'CASE WHEN norm = 0 THEN {d} ELSE {d} / norm END')} AS {d}" for d in SOME)
-    + f" FROM (SELECT *, {' + '.join(SOME)} AS norm FROM x_pivot)",
+    + ", ".join(f"{half_up(f'count(*) FILTER (department = {chr(39)}{d}{chr(39)}) / count(*)')} AS {d}" for d in DEPARTMENTS)
+    + """ FROM x_part_op JOIN x_products USING (product_id) JOIN x_departments USING (department_id) GROUP BY 1""",
 )
 def preference_normalized(spark, path):
-    wide = segments.preference_pivot(Fixture.of(spark, path).preference, DEPARTMENTS)
-    return shown(segments.l1_normalize(wide.select("user_id", *SOME), SOME), *SOME)
+    """Purchase counts per department, normalised to shares per user."""
+    f = Fixture.of(spark, path)
+    names = segments.department_names(f.part.departments())
+    bought = f.lines.join(f.part.products().select("product_id", "department_id"), "product_id")
+    counts = bought.join(f.part.departments(), "department_id").groupBy("user_id", "department")
+    wide = segments.preference_pivot(counts.agg(F.count(F.lit(1)).alias("preference_score")), names)
+    return shown(segments.l1_normalize(wide, names), *names)
 
 
 def _labelled(f):
@@ -333,12 +339,69 @@ def behavior_kmeans(spark, path):
     return segments.assign_cluster(vectors, BEHAVIOR_FEATURES, segments.model_centroids(model)).select("user_id", "cluster")
 
 
+def _preference_vectors(f):
+    names = segments.department_names(f.part.departments())
+    wide = segments.preference_pivot(f.preference, names)
+    return stage(segments.l1_normalize(wide, names), "preference-vectors"), names
+
+
 @query("preference_kmeans")
 def preference_kmeans(spark, path):
-    wide = segments.preference_pivot(Fixture.of(spark, path).preference, DEPARTMENTS)
-    vectors = stage(segments.l1_normalize(wide, DEPARTMENTS), "preference-vectors")
-    model = segments.fit_kmeans(segments.as_vectors(vectors, DEPARTMENTS), 5, 42, 10)
-    return segments.assign_cluster(vectors, DEPARTMENTS, segments.model_centroids(model)).select("user_id", "cluster")
+    vectors, names = _preference_vectors(Fixture.of(spark, path))
+    model = segments.fit_kmeans(segments.as_vectors(vectors, names), 5, 42, 10)
+    return segments.assign_cluster(vectors, names, segments.model_centroids(model)).select("user_id", "cluster")
+
+
+FITTED = """SELECT '{model}' AS model, count(DISTINCT user_id) AS users, count(DISTINCT user_id) AS rows, 5::BIGINT AS clusters,
+            0::BIGINT AS misplaced, true AS cost_matches FROM {source}"""
+
+
+@query("kmeans_invariants", FITTED.format(model="behavior", source="x_behavior") + " UNION ALL " + FITTED.format(model="preference", source="x_preference"))
+def kmeans_invariants(spark, path):
+    """What holds for every fit: each user once, k clusters, each user at the nearest centre, and a
+    cost that is the sum of the squared distances to the centres."""
+    f = Fixture.of(spark, path)
+    both = None
+    for name, (vectors, columns) in {"behavior": (f.vectors, list(BEHAVIOR_FEATURES)), "preference": _preference_vectors(f)}.items():
+        model = segments.fit_kmeans(segments.as_vectors(vectors, columns), 5, 42, 2)
+        centers = segments.model_centroids(model)
+        point = F.array(*[F.col(c).cast("double") for c in columns])
+        placed = segments.assign_cluster(vectors, columns, centers).withColumns({"p": point, "c": centers})
+        own = F.filter("c", lambda c: c["cluster"] == F.col("cluster"))[0]["point"]
+        placed = placed.withColumn("d", segments.squared_distance(own, F.col("p"))).withColumn(
+            "least", F.array_min(F.transform("c", lambda c: segments.squared_distance(c["point"], F.col("p"))))
+        )
+        row = placed.agg(
+            F.lit(name).alias("model"),
+            F.count_distinct("user_id").alias("users"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count_distinct("cluster").alias("clusters"),
+            F.count_if(F.col("d") > F.col("least") + 1e-9).alias("misplaced"),
+            (F.abs(F.sum("d") / F.lit(float(model.summary.trainingCost)) - 1) < 1e-6).alias("cost_matches"),
+        )
+        both = row if both is None else both.unionByName(row)
+    return both
+
+
+@query(
+    "pca_invariants",
+    "SELECT 5::BIGINT AS clusters, true AS shares_fall, true AS shares_add_up, true AS centred",
+)
+def pca_invariants(spark, path):
+    """Explained shares fall and add up to 1 at most, over all users the projected points keep their
+    mean, and every cluster has its centre."""
+    f = Fixture.of(spark, path)
+    vectors = segments.as_vectors(f.vectors.join(f.behavior_clusters, "user_id"), BEHAVIOR_FEATURES)
+    points, centers = segments.cluster_pca(vectors)
+    mean = points.agg(F.avg("pc1").alias("m1"), F.avg("pc2").alias("m2")).select(F.struct("m1", "m2").alias("m")).scalar()
+    sizes = points.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    both = centers.join(sizes, "cluster").withColumn("m", mean)
+    return both.agg(
+        F.count(F.lit(1)).alias("clusters"),
+        F.bool_and(F.col("variance_pc1") >= F.col("variance_pc2")).alias("shares_fall"),
+        F.bool_and(F.col("variance_pc1") + F.col("variance_pc2") <= 1 + 1e-9).alias("shares_add_up"),
+        (F.abs(F.sum(F.col("pc1") * F.col("n")) / F.sum("n") - F.max("m.m1")) < 1e-6).alias("centred"),
+    )
 
 
 @query("find_k")

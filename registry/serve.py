@@ -2,6 +2,7 @@
 
 from cartwright.config import SERVE_DEFAULTS
 from cartwright.plans import evaluate, recommend
+from cartwright.plans.catalog import enrich, with_constant_price
 from registry.common import F, Fixture, set_text, shown
 from registry.fixture import TOP_K
 from registry.sql import half_up, statement
@@ -195,14 +196,15 @@ def insurance_fill(spark, path):
 
 @query(
     "enrich_recs",
-    """SELECT request_id, rank, item_id, product_name, price, department_id FROM x_r_recs r
-       LEFT JOIN x_brands b ON b.product_id = r.item_id""",
+    """SELECT request_id, rank, item_id, coalesce(product_name, 'Sản phẩm #' || item_id) AS product_name,
+              100000.0::DOUBLE AS price, department_id
+       FROM x_r_recs r LEFT JOIN (SELECT * FROM x_brands WHERE product_id % 3 <> 0) b ON b.product_id = r.item_id""",
 )
 def enrich_recs(spark, path):
-    from cartwright.plans.catalog import enrich
-
+    """Recommendations with names and the constant price, from a catalog that lacks a third of the products."""
     f = Fixture.of(spark, path)
-    return enrich(f.recommendations.select("request_id", "rank", "item_id"), f.brand_products)
+    catalog = with_constant_price(f.brand_products.where("product_id % 3 <> 0"))
+    return enrich(f.recommendations.select("request_id", "rank", "item_id"), catalog)
 
 
 # ---- evaluation -----------------------------------------------------------------------

@@ -1,7 +1,7 @@
 """Queries on exploration, the product catalog, profiles and carts."""
 
 from cartwright.config import BEHAVIOR_FEATURES
-from cartwright.lineage import folder
+from cartwright.lineage import stream_folder
 from cartwright.plans import analysis, cart, catalog, recommend
 from cartwright.sources.retail import cart_actions
 from cartwright.streaming import cart as stream
@@ -86,6 +86,7 @@ def feature_describe(spark, path):
 PARTS["x_box_rows"] = """
 SELECT lifecycle_stage, 'total_orders' AS feature, CAST(total_orders AS DOUBLE) AS x FROM x_behavior JOIN x_stages USING (user_id)
 UNION ALL SELECT lifecycle_stage, 'avg_days_between_orders', avg_days_between_orders FROM x_behavior JOIN x_stages USING (user_id)
+UNION ALL SELECT lifecycle_stage, 'total_products', CAST(total_products AS DOUBLE) FROM x_behavior JOIN x_stages USING (user_id)
 """
 PARTS["x_box"] = """
 SELECT lifecycle_stage, feature, quantile_cont(x, 0.25) AS q25, quantile_cont(x, 0.5) AS q50, quantile_cont(x, 0.75) AS q75
@@ -104,7 +105,7 @@ BOX = ("q25", "q50", "q75", "whisker_low", "whisker_high")
 def boxplot_stats(spark, path):
     f = Fixture.of(spark, path)
     rows = f.features.join(f.stages, "user_id")
-    return shown(analysis.boxplot(rows, ["total_orders", "avg_days_between_orders"], "lifecycle_stage"), *BOX)
+    return shown(analysis.boxplot(rows, ["total_orders", "avg_days_between_orders", "total_products"], "lifecycle_stage"), *BOX)
 
 
 # ---- catalog --------------------------------------------------------------------------
@@ -265,7 +266,7 @@ def cart_boost(spark, path):
 
 
 def _event_stream(f):
-    reader = f.spark.readStream.schema(f.part.table("events").schema).option("pathGlobFilter", "events.parquet")
+    reader = f.spark.readStream.schema(f.part.table("events").schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 1)
     return reader.parquet(f.path)
 
 
@@ -273,7 +274,7 @@ def _event_stream(f):
 def cart_boost_stream(spark, path):
     """The boosts of the same events read as a stream."""
     f = Fixture.of(spark, path)
-    place = f"{folder(spark)}/cartwright/boost-{spark.sparkContext.applicationId}-{_run()}"
+    place = f"{stream_folder(spark)}/cartwright/boost-{spark.sparkContext.applicationId}-{_run()}"
     running = stream.boost_stream(_adds(f, _event_stream(f)), f.tables, f"{place}/out", f"{place}/checkpoint")
     running.awaitTermination()
     return spark.read.parquet(f"{place}/out").drop("batch")
@@ -283,19 +284,9 @@ def cart_boost_stream(spark, path):
 def cart_state_stream(spark, path):
     """The cart quantities after the whole stream of events."""
     f = Fixture.of(spark, path)
-    place = f"{folder(spark)}/cartwright/cart-{spark.sparkContext.applicationId}-{_run()}"
-    updates = stream.cart_state_stream(cart_actions(_event_stream(f)))
-
-    def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{place}/out/batch={batch_id}")
-
-    running = (
-        updates.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", f"{place}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
+    place = f"{stream_folder(spark)}/cartwright/cart-{spark.sparkContext.applicationId}-{_run()}"
+    events = cart_actions(_event_stream(f))
+    running = stream.cart_state_stream(events, f"{place}/out", f"{place}/state", f"{place}/checkpoint")
     running.awaitTermination()
     latest = spark.read.parquet(f"{place}/out").groupBy("user_id", "product_id")
     return latest.agg(F.max_by("qty", "batch").alias("qty")).where(F.col("qty") > 0)

@@ -3,8 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cartwright import lineage
 from cartwright.plans import cart
-from cartwright.streaming.cart import apply_actions, cart_state_stream
+from cartwright.streaming.cart import cart_state_stream
 
 EVENTS = "event_id long, ts timestamp, user_id long, product_id long, action string, delta int"
 
@@ -19,6 +20,18 @@ def state(df):
     return {(r.user_id, r.product_id): r.qty for r in df.collect()}
 
 
+def apply_actions(qty, actions, deltas):
+    """Replay actions on a quantity one by one; an absent item has quantity 0."""
+    for action, delta in zip(actions, deltas):
+        if action == "add":
+            qty += 1
+        elif action == "remove":
+            qty = 0
+        elif qty > 0:
+            qty = max(qty + delta, 0)
+    return qty
+
+
 def replay(rows):
     out = {}
     for t, u, p, a, d in sorted(rows, key=lambda r: r[0]):
@@ -57,20 +70,59 @@ def test_totals(spark):
     assert got == {1: (2, 3, 7.0), 2: (1, 4, 0.0)}
 
 
+def run_stream(spark, tmp_path):
+    source = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    places = [str(tmp_path / name) for name in ("out", "state", "checkpoint")]
+    cart_state_stream(source, *places).awaitTermination()
+    rows = spark.read.parquet(places[0])
+    return rows, rows.groupBy("user_id", "product_id").agg(F.max_by("qty", "batch").alias("qty"))
+
+
+def arrive(spark, tmp_path, rows, first_id=0):
+    """One more file of events."""
+    stamped = [(first_id + i, t, u, p, a, d) for i, (t, u, p, a, d) in enumerate(rows)]
+    raw = spark.createDataFrame(stamped, "event_id long, s long, user_id long, product_id long, action string, delta int")
+    raw = raw.withColumn("ts", F.timestamp_seconds("s")).select("event_id", "ts", "user_id", "product_id", "action", "delta")
+    raw.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+
 def test_state_carries_over_micro_batches(spark, tmp_path):
-    source, out = tmp_path / "in", tmp_path / "out"
-    first = [(1, 1, 1, "add", 0), (2, 1, 1, "add", 0), (1, 1, 2, "add", 0)]
-    second = [(5, 1, 1, "delta", -1), (6, 1, 2, "remove", 0), (7, 2, 2, "add", 0)]
-    for i, rows in enumerate((first, second)):
-        events(spark, rows).coalesce(1).write.mode("append").parquet(str(source))
-        updates = cart_state_stream(spark.readStream.schema(EVENTS).parquet(str(source)))
-        query = (
-            updates.writeStream.outputMode("update")
-            .foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"))
-            .option("checkpointLocation", str(tmp_path / "checkpoint"))
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-    rows = spark.read.parquet(str(out)).groupBy("user_id", "product_id").agg(F.max_by("qty", "batch").alias("qty"))
-    assert state(rows) == {(1, 1): 1, (1, 2): 0, (2, 2): 1}
+    arrive(spark, tmp_path, [(1, 1, 1, "add", 0), (2, 1, 1, "add", 0), (1, 1, 2, "add", 0), (3, 3, 3, "add", 0)])
+    run_stream(spark, tmp_path)
+    arrive(spark, tmp_path, [(5, 1, 1, "delta", -1), (6, 1, 2, "remove", 0), (7, 2, 2, "add", 0)], 10)
+    rows, latest = run_stream(spark, tmp_path)
+    assert state(latest) == {(1, 1): 1, (1, 2): 0, (2, 2): 1, (3, 3): 1}
+    assert rows.where("batch = 1").count() == 3
+
+
+def test_late_events_apply_when_they_arrive(spark, tmp_path):
+    """By event time the removal comes first and one item is left; by arrival it empties the cart."""
+    files = [[(5, 1, 1, "add", 0), (9, 1, 2, "add", 0)], [(7, 1, 1, "delta", 2)], [(2, 1, 1, "remove", 0), (3, 1, 2, "add", 0)]]
+    for i, rows in enumerate(files):
+        arrive(spark, tmp_path, rows, 10 * i)
+    rows, latest = run_stream(spark, tmp_path)
+    assert rows.select("batch").distinct().count() == 3
+    assert state(latest) == {(1, 1): 0, (1, 2): 2}
+    everything = [r for rows in files for r in rows]
+    assert state(cart.cart_state(events(spark, everything))) == replay(everything) == {(1, 1): 3, (1, 2): 2}
+
+
+def test_random_log_in_order_of_files(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [
+        (t, rng.randrange(3), rng.randrange(4), rng.choice(["add", "add", "delta", "remove"]), rng.choice([-2, -1, 1, 2])) for t in range(300)
+    ]
+    rows = [(t, u, p, a, d if a == "delta" else 0) for t, u, p, a, d in rows]
+    for i in range(3):
+        arrive(spark, tmp_path, rows[i * 100 : i * 100 + 100], 100 * i)
+    _, latest = run_stream(spark, tmp_path)
+    assert {k: q for k, q in state(latest).items() if q} == replay(rows)
+
+
+def test_staged_tables_of_a_scope_are_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lineage, "folder", lambda s: str(tmp_path))
+    kept = lineage.stage(spark.range(3), "kept")
+    with lineage.temporary():
+        lineage.stage(spark.range(3), "gone")
+    assert kept.count() == 3
+    assert [p.name.split("-")[0] for p in (tmp_path / "cartwright").iterdir()] == ["kept"]

@@ -86,3 +86,27 @@ def test_order_sequence_of_hot_users(spark, hot_rows):
     plain = Retail(spark, SMALL).orders()
     split = Retail(spark, SMALL, hot_rows=hot_rows).orders()
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.select(*plain.columns).collect()))
+
+
+def test_quantiles_order_only_small_ranges(spark):
+    """A million distinct values: exact ends, and no range that is ordered holds more than a few of them."""
+    n = 1_000_000
+    values = spark.range(n).select(F.lit("x").alias("feature"), ((F.col("id") * 7919 % n) * 0.5 + 0.25).alias("value"))
+    probs = [0.0, 0.01, 0.5, 0.777, 1.0]
+    table = exact_quantiles(values, probs)
+    got = {r.q: r.quantile for r in table.collect()}
+    assert got == {p: pytest.approx((p * (n - 1)) * 0.5 + 0.25) for p in probs}
+    plan = table._jdf.queryExecution().executedPlan()
+    assert 0 < _rows_ordered(plan) <= len(probs) * n // 1000
+
+
+def _rows_ordered(node):
+    """Rows that the last window of an executed plan sorts: those that the join below it leaves."""
+    if node.nodeName().startswith("AdaptiveSparkPlan"):
+        return _rows_ordered(node.executedPlan())
+    below = lambda x: x.plan() if x.nodeName().endswith("QueryStage") else x.children().head()
+    while node.nodeName() != "Window":
+        node = below(node)
+    while "Join" not in node.nodeName():
+        node = below(node)
+    return node.metrics().apply("numOutputRows").value()

@@ -70,10 +70,14 @@ def test_tables_and_models_round_trip(spark, tmp_path):
     assert tables.load_model(str(tmp_path / "m")).transform(df).first().v[0] == 1.0
 
 
-def test_stage_writes_to_the_checkpoint_folder(spark):
+def test_stage_uses_the_shared_folder_or_spark_storage(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lineage, "folder", lambda s: None)
+    staged = lineage.stage(spark.range(5), "probe")
+    assert staged.count() == 5 and staged.storageLevel.useDisk
+    monkeypatch.setattr(lineage, "folder", lambda s: str(tmp_path))
     staged = lineage.stage(spark.range(5), "probe")
     assert staged.count() == 5
-    assert lineage.folder(spark) in staged.inputFiles()[0]
+    assert str(tmp_path) in staged.inputFiles()[0]
     assert "broadcast" in lineage.build_side(staged)._jdf.queryExecution().toString().lower()
     assert "merge" in lineage.build_side(staged, 3)._jdf.queryExecution().toString().lower()
 

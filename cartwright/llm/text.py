@@ -94,6 +94,20 @@ def words(data: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> tuple[np.n
     return starts, ends, np.searchsorted(starts, bounds)
 
 
+def lines(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of every line, in order; an empty row is one empty line."""
+    newline = np.flatnonzero(data == 0x0A)
+    begin = np.concatenate([bounds[:-1], newline + 1])
+    row = np.concatenate([np.arange(len(bounds) - 1), np.searchsorted(bounds, newline, side="right") - 1])
+    order = np.lexsort((begin, row))
+    begin, row = begin[order], row[order]
+    end = np.empty(len(begin), np.int64)
+    end[:-1] = np.where(row[1:] == row[:-1], begin[1:] - 1, bounds[1:][row[:-1]])
+    if len(end):
+        end[-1] = bounds[-1]
+    return row, begin, end
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values (the finalizer of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * _A

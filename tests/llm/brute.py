@@ -57,7 +57,7 @@ def quality(text):
         if count[run] > 1:
             inside.update((i, i + 1, i + 2))
     failed = len(w) < 50 or 100 * len(inside) > 50 * len(w)
-    return len(w), sum(map(len, w)), sum(c in "[#*$%&|<>]" for c in text or ""), dup, len(inside), failed
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(inside), failed
 
 
 def fingerprint(text):

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm import decontaminate, licenses, line_dedup, quality_model, quality_rules, sentencepiece_codec, shards, simhash, suffix_dedup, url_filter
+from cartwright.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,4 +108,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
-ORACLES: dict[str, str] = {}

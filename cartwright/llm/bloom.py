@@ -16,20 +16,22 @@ from pyspark.sql import DataFrame
 from cartwright.llm.text import mix
 
 BLOCK_BITS = 1 << 16
+SETTLE = 1 << 20
 
 
 def positions(hashes: np.ndarray, bits: int, probes: int) -> np.ndarray:
-    """(probes, n) bit positions; bits is a power of two."""
+    """(probes, n) bit positions; bits is a power of two, 2^32 at most."""
     h = mix(hashes.astype(np.uint64))
     step = mix(h + np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
     return np.stack([(h + np.uint64(i) * step) & np.uint64(bits - 1) for i in range(probes)]).astype(np.int64)
 
 
-def _packed(marks: np.ndarray) -> bytes:
+def _packed(at: np.ndarray) -> bytes:
     """A block of bits: 16-bit positions while they are few, else all bits."""
-    at = np.flatnonzero(marks)
     if len(at) * 16 < BLOCK_BITS:
         return b"s" + at.astype(np.uint16).tobytes()
+    marks = np.zeros(BLOCK_BITS, bool)
+    marks[at] = True
     return b"d" + np.packbits(marks).tobytes()
 
 
@@ -41,25 +43,41 @@ def _unpacked(block: bytes) -> np.ndarray:
     return marks
 
 
-def _task_blocks(bits: int, probes: int, twice: bool) -> Callable:
+def _first_column(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _task_blocks(bits: int, probes: int, twice: bool, hashes_of: Callable = _first_column) -> Callable:
+    """The blocks of one task's filters. The bits are held as sorted positions, four bytes each."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(bits, bool)
-        again = np.zeros(bits if twice else 0, bool)
+        seen, again = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+        fresh: list[np.ndarray] = []
+
+        def settle() -> None:
+            nonlocal seen, again
+            at = np.sort(np.concatenate([seen, *fresh]))
+            more = at[1:][at[1:] == at[:-1]] if twice else again
+            again = np.union1d(again, more)
+            seen = at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at
+            fresh.clear()
+
         for batch in batches:
-            for at in positions(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits, probes):
-                if twice:
-                    at = np.sort(at)
-                    again[at[1:][at[1:] == at[:-1]]] = True
-                    again[at[seen[at]]] = True
-                seen[at] = True
-        blocks = np.flatnonzero(seen.reshape(-1, BLOCK_BITS).any(axis=1))
-        for part in np.array_split(blocks, len(blocks) // 256 + 1):
-            rows = [slice(b * BLOCK_BITS, (b + 1) * BLOCK_BITS) for b in part.tolist()]
+            for hashes in hashes_of(batch):
+                fresh.append(positions(hashes, bits, probes).astype(np.uint32).ravel())
+                if sum(map(len, fresh)) > max(SETTLE, len(seen) // 2):
+                    settle()
+        settle()
+        block, at = np.unique(seen >> np.uint32(16), return_index=True)
+        ends = np.concatenate([at[1:], [len(seen)]])
+        low, high = np.searchsorted(again >> np.uint32(16), block), np.searchsorted(again >> np.uint32(16), block, side="right")
+        for some in range(0, len(block), 256):
+            part = range(some, min(some + 256, len(block)))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(part, pa.int32()),
-                    pa.array([_packed(seen[r]) for r in rows], pa.binary()),
-                    pa.array([_packed(again[r]) if twice else b"s" for r in rows], pa.binary()),
+                    pa.array(block[part.start : part.stop].astype(np.int32)),
+                    pa.array([_packed(seen[at[i] : ends[i]] & np.uint32(BLOCK_BITS - 1)) for i in part], pa.binary()),
+                    pa.array([_packed(again[low[i] : high[i]] & np.uint32(BLOCK_BITS - 1)) for i in part], pa.binary()),
                 ],
                 ["block", "seen", "again"],
             )
@@ -91,8 +109,9 @@ def _merged_blocks(twice: bool) -> Callable:
     return run
 
 
-def build(hashes: DataFrame, bits: int, probes: int, twice: bool = False) -> np.ndarray:
-    """The filter (packed bits) of a DataFrame of one long column, null-free.
+def build(rows: DataFrame, bits: int, probes: int, twice: bool = False, hashes_of: Callable = _first_column) -> np.ndarray:
+    """The filter (packed bits) of the hashes that ``hashes_of`` finds in Arrow batches of ``rows``;
+    without it, ``rows`` is one long column of hashes, null-free.
 
     ``twice``: the second of two filters, whose bits were hit by two rows at least: each task
     keeps one filter for hashes seen once and one for those seen again, and merging two tasks
@@ -100,7 +119,7 @@ def build(hashes: DataFrame, bits: int, probes: int, twice: bool = False) -> np.
     share it, so the filter may hold too much, never too little.
     """
     blocks = (
-        hashes.mapInArrow(_task_blocks(bits, probes, twice), "block int, seen binary, again binary")
+        rows.mapInArrow(_task_blocks(bits, probes, twice, hashes_of), "block int, seen binary, again binary")
         .repartition("block")
         .sortWithinPartitions("block")
         .mapInArrow(_merged_blocks(twice), "block int, marks binary")

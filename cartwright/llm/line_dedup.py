@@ -20,9 +20,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.lineage import stage
@@ -33,43 +32,50 @@ LEAST_CHARS = 10
 FILTER_BITS = 1 << 28
 PROBES = 2
 
-# Fixed value: the white space that is stripped.
-SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 
-
-def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(SPACE)), t.UPPER_LETTERS, t.LOWER_LETTERS)
-
-
-def keyed_lines(docs: DataFrame, id: str, text: str, least_chars: int) -> DataFrame:
-    """(id, key, places): the keys of each document, and the numbers of their lines."""
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
-    rows = docs.where(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.posexplode(lines).alias("place", "line"))
-    return rows.select("id", "place", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= least_chars)
+def keyed_lines(column: pa.Array, least_chars: int):
+    """(lower-case bytes, row, number in the row, key start, key end, hash) of the lines with a long enough key."""
+    data, bounds = t.flat(column)
+    data = t.LOWER[data]
+    row, begin, end = t.lines(data, bounds)
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    starts, ends, _ = t.words(data, bounds, t.VISIBLE)
+    first, last = np.searchsorted(starts, begin), np.searchsorted(starts, end) - 1
+    at = np.flatnonzero(last >= first)
+    row, place, begin, end = row[at], place[at], starts[first[at]], ends[last[at]]
+    chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    long = chars[end] - chars[begin] >= least_chars
+    row, place, begin, end = row[long], place[long], begin[long], end[long]
+    return data, row, place, begin, end, t.hashes(data, begin, end)
 
 
 def drop_places(docs: DataFrame, id: str, text: str, least_chars: int = LEAST_CHARS, filter_bits: int = FILTER_BITS) -> DataFrame:
     """(id, places): the numbers of the lines that each document drops."""
-    lines = keyed_lines(docs, id, text, least_chars)
-    hashes = docs.where(F.col(id).isNotNull()).select(
-        F.explode(
-            F.array_distinct(
-                F.filter(
-                    F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), line_key),
-                    lambda key: F.char_length(key) >= least_chars,
-                )
-            )
-        ).alias("key")
-    )
-    marks = bloom.build(hashes.select(F.xxhash64("key").alias("h")), filter_bits, PROBES, twice=True)
+    texts = docs.where(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(text).alias("text"))
+
+    def hashes_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        """The hashes of the keys, each once per document."""
+        for part in t.slices(iter([batch]), "text"):
+            _, row, _, _, _, h = keyed_lines(part.column("text"), least_chars)
+            _, at = np.unique(t.mix(h + t.mix(row.astype(np.uint64))), return_index=True)
+            yield h[at]
+
+    marks = bloom.build(texts, filter_bits, PROBES, twice=True, hashes_of=hashes_of)
     shared = docs.sparkSession.sparkContext.broadcast(marks)
 
-    @F.pandas_udf("boolean")
-    def suspected(h: pd.Series) -> pd.Series:
-        return pd.Series(bloom.holds(shared.value, h.to_numpy().view(np.uint64), filter_bits, PROBES))
+    def suspected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in t.slices(batches, "text"):
+            data, row, place, begin, end, h = keyed_lines(part.column("text"), least_chars)
+            at = np.flatnonzero(bloom.holds(shared.value, h, filter_bits, PROBES))
+            body = data.tobytes()
+            keys = [body[a:b].decode() for a, b in zip(begin[at].tolist(), end[at].tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id").take(pa.array(row[at])), pa.array(keys, pa.string()), pa.array(place[at], pa.int32())],
+                ["id", "key", "place"],
+            )
 
-    suspects = lines.where(suspected(F.xxhash64("key"))).select("id", "key", "place")
-    suspects = stage(suspects, "suspect-lines")
+    schema = texts.select("id").schema.add("key", "string").add("place", "integer")
+    suspects = stage(texts.mapInArrow(suspected, schema), "suspect-lines")
     firsts = suspects.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     gone = suspects.join(firsts.select("key", "first"), "key").where("id > first")
     return gone.groupBy("id").agg(F.collect_set("place").alias("places"))

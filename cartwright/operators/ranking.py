@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwright.lineage import stage
+
 HOT_GROUP_ROWS = 1_000_000
 
 # Spark keeps only the first n rows of each group before the shuffle while n is at most
@@ -49,6 +51,10 @@ def split_hot(df: DataFrame, group: Sequence[str], limit: int = HOT_GROUP_ROWS)
     """
     keys = [F.col(g).alias(f"_hot_{g}") for g in group]
     hot = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(*keys)
+    # Groups are counted once; without a hot one, nothing is left to join.
+    hot = stage(hot, "hot-groups")
+    if hot.isEmpty():
+        return df, df.where(F.lit(False))
     same = [F.col(g) == F.col(f"_hot_{g}") for g in group]
     return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 

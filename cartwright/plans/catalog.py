@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwright.config import DEFAULT_PRICE
 from cartwright.functions import labels
 from cartwright.plans.evaluate import last_purchases
 
+PAGE_BLOCK_BITS = 16
+
 
 def search(products: DataFrame, text: str | None = None, department_id: int | None = None, regex: bool = False) -> DataFrame:
     """Products whose name contains ``text`` in any case, optionally of one department."""
@@ -23,10 +25,21 @@ def search(products: DataFrame, text: str | None = None, department_id: int | No
 
 
 def page(products: DataFrame, number: int = 1, size: int = 20) -> DataFrame:
-    """One page by id, with the total number of matches on every row."""
+    """One page by id, with the total number of matches on every row.
+
+    Blocks of ids are counted, and only the blocks that the page lies in are ordered, so a deep page
+    costs what the first one does.
+    """
+    low, high = (number - 1) * size, number * size
+    blocked = products.withColumn("_block", F.shiftright("product_id", PAGE_BLOCK_BITS))
+    counts = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.orderBy("_block"))
+    counts = counts.withColumn("_before", upto - F.col("_n"))
+    held = counts.where((F.col("_before") < high) & (F.col("_before") + F.col("_n") > low)).select("_block", "_before")
     total = products.agg(F.count(F.lit(1)).alias("n")).scalar()
-    rows = products.orderBy("product_id").offset((number - 1) * size).limit(size)
-    return rows.withColumn("total", total)
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("_block").orderBy("product_id"))
+    rows = blocked.join(held, "_block").withColumn("_place", place).where((F.col("_place") > low) & (F.col("_place") <= high))
+    return rows.select(*products.columns).orderBy("product_id").withColumn("total", total)
 
 
 def lookup(products: DataFrame, product_id: int) -> DataFrame:

@@ -225,24 +225,28 @@ def similar_department(
 ) -> DataFrame:
     """(request_id, product_id, position): products of the basket's departments, by id.
 
-    The first n products over several departments are among the first n of each, so only
-    that many per department are joined (``longest`` must be at least the largest ``limit``).
+    The lists are merged once per distinct set of departments, of which there are few, and a request
+    takes the head of its set's list. The first n products over several departments are among the
+    first n of each (``longest`` must be at least the largest ``limit``).
     """
     wanted = requests.select("request_id", limit.alias("_limit"), F.explode(F.array_distinct("basket")).alias("product_id"))
-    departments = (
+    sets = (
         wanted.join(products.select("product_id", "department"), "product_id")
         .where(F.col("department").isNotNull())
-        .select("request_id", "_limit", "department")
-        .distinct()
+        .groupBy("request_id", "_limit")
+        .agg(F.array_sort(F.collect_set("department")).alias("departments"))
     )
-    per_department = top_n(products.select("product_id", "department"), ["department"], [F.col("product_id")], longest, "_r")
-    w = Window.partitionBy("request_id").orderBy("product_id")
-    return (
-        departments.join(per_department.drop("_r"), "department")
-        .withColumn("position", F.row_number().over(w))
-        .where(F.col("position") <= F.col("_limit"))
-        .select("request_id", "product_id", "position")
+    heads = top_n(products.select("product_id", "department"), ["department"], [F.col("product_id")], longest, "_r")
+    heads = heads.groupBy("department").agg(F.collect_list("product_id").alias("ids"))
+    distinct = sets.select("departments").distinct()
+    merged = (
+        distinct.select("departments", F.explode("departments").alias("department"))
+        .join(heads, "department")
+        .groupBy("departments")
+        .agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, longest).alias("ids"))
     )
+    rows = sets.join(merged, "departments").select("request_id", F.posexplode(F.slice("ids", F.lit(1), F.col("_limit"))))
+    return rows.select("request_id", F.col("col").alias("product_id"), (F.col("pos") + 1).alias("position"))
 
 
 def rule_summary(contexts: DataFrame, candidates: DataFrame) -> DataFrame:

@@ -41,6 +41,12 @@ def context_counts(txns: DataFrame) -> DataFrame:
     return roll_up(leaf_contexts(txns)).groupBy(*CONTEXT).agg(F.sum("leaf_n").alias("n"))
 
 
+def sample_keys(counts: DataFrame, n: int = 20, seed: int = 42) -> DataFrame:
+    """A repeatable random sample of n distinct context keys."""
+    drawn = F.md5(F.concat_ws(":", "context_level", "context_key", F.lit(str(seed))))
+    return counts.select(*CONTEXT).distinct().orderBy(drawn, *CONTEXT).limit(n)
+
+
 def level_gate(m: Mining):
     """Smallest number of transactions of the row's level."""
     gate = None

@@ -17,12 +17,13 @@ def read_csv(spark: SparkSession, path: str, table: str, columns: Sequence[str]
     """A CSV file with a header; columns are found by their trimmed names.
 
     The header line fixes the order of the columns and the schema their types, so only the
-    first line is read ahead. Files may lack columns of the schema, or have others.
+    first line is read ahead. Files may lack columns of the schema, or have others. The files of a
+    folder must have the same header: each is checked against the first when it is read.
     """
-    header = trim_headers(spark.read.csv(path, header=True, inferSchema=False)).columns
+    header = spark.read.csv(path, header=True, inferSchema=False).columns
     kinds = {f.name: f.dataType.simpleString() for f in SCHEMAS[table].fields}
-    schema = ", ".join(f"`{c}` {kinds.get(c, 'string')}" for c in header)
-    df = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
+    schema = ", ".join(f"`{c}` {kinds.get(c.strip(), 'string')}" for c in header)
+    df = trim_headers(spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path))
     if columns is None:
         return df
     require_columns(df, columns)

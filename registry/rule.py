@@ -46,6 +46,16 @@ def context_top(spark, path):
     return top_n(counts, ["context_level"], [F.col("n").desc(), F.col("context_key")], 10)
 
 
+@query(
+    "context_sample",
+    """SELECT context_level, context_key FROM x_ctx_counts
+       ORDER BY md5(context_level || ':' || context_key || ':42'), context_level, context_key LIMIT 20""",
+)
+def context_sample(spark, path):
+    """The sampling operator: twenty random context keys."""
+    return rules.sample_keys(rules.context_counts(Fixture.of(spark, path).brand_transactions), 20)
+
+
 @query(
     "context_transactions",
     f"""SELECT t.context_level, t.context_key, order_id, array_to_string(products, '|') AS items

@@ -221,6 +221,10 @@ def test_catalog(spark):
     assert catalog.search(products, None, 1).count() == 2
     page = catalog.page(products, 2, 2).collect()
     assert [(r.product_id, r.total) for r in page] == [(3, 3)]
+    many = frame(spark, [(7 * i,) for i in range(30_000)], "product_id long")
+    assert [r.product_id for r in catalog.page(many, 1001, 20).collect()] == [7 * i for i in range(20_000, 20_020)]
+    assert [r.product_id for r in catalog.page(many, 1500, 20).collect()] == [7 * i for i in range(29_980, 30_000)]
+    assert catalog.page(many, 1501, 20).collect() == []
     assert catalog.lookup(products, 1).first().product_name == "bolt"
     got = {r.item_id: r for r in catalog.enrich(frame(spark, [(1,), (77,)], "item_id long"), products).collect()}
     assert got[77].product_name.endswith("#77") and got[77].price == 100000.0 and got[1].price == 6.0

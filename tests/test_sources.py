@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from cartwright import lineage
@@ -23,6 +24,16 @@ def test_csv_with_padded_header_and_pruning(spark, tmp_path):
     assert "ReadSchema: struct<user_id:bigint>" in pruned._jdf.queryExecution().toString()
 
 
+def test_files_of_a_folder_must_have_one_header(spark, tmp_path):
+    (tmp_path / "orders").mkdir()
+    write(tmp_path / "orders" / "a.csv", "order_id,user_id\n1,7\n")
+    write(tmp_path / "orders" / "b.csv", "order_id,user_id\n2,8\n")
+    assert sorted(map(tuple, tables.read_csv(spark, str(tmp_path / "orders"), "orders").collect())) == [(1, 7), (2, 8)]
+    write(tmp_path / "orders" / "c.csv", "user_id,order_id\n9,3\n")
+    with pytest.raises(Exception, match="header"):
+        tables.read_csv(spark, str(tmp_path / "orders"), "orders").collect()
+
+
 def test_load_raw_unions_lines(spark, tmp_path):
     write(tmp_path / "aisles.csv", "aisle_id,aisle\n1,a\n")
     write(tmp_path / "departments.csv", "department_id,department\n1,d\n")

@@ -16,7 +16,7 @@ from cartwright.sources.retail import Retail
 # One support for all contexts, and gates that leave contexts in which it means 5 transactions at
 # least. They are fixed: whether a context passes does not depend on how much other data there is.
 MINING = Mining(
-    min_support=0.003, level_min_txns={"L1": 1700, "L2": 1700, "L3": 1700, "L4": 1700, "L5": 0}, floor=100
+    min_support=0.004, level_min_txns={"L1": 1500, "L2": 1500, "L3": 1500, "L4": 1500, "L5": 0}, floor=100
 )
 # The evaluation asks in a context without a time of day.
 NEUTRAL = recommend.Options(time_buckets=(*TIME_BUCKETS, "unknown"))

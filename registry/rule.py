@@ -107,9 +107,8 @@ def adaptive_params(spark, path):
        FROM x_m_sets""",
 )
 def frequent_itemsets(spark, path):
-    f = Fixture.of(spark, path)
-    sets = rules.frequent_itemsets(f.brand_transactions, f.mining)
-    return sets.withColumn("items", set_text(F.col("items")))
+    """All frequent itemsets of all contexts; later queries read the same table."""
+    return Fixture.of(spark, path).itemsets.withColumn("items", set_text(F.col("items")))
 
 
 @query(

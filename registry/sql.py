@@ -6,7 +6,7 @@ import re
 
 # The statements say what the results should be, in numbers of their own.
 TOP_K = 5
-SUPPORT = 0.003
+SUPPORT = 0.004
 
 PARTS: dict[str, str] = {}
 
@@ -202,7 +202,7 @@ PARTS["x_txn_ctx"] = " UNION ALL ".join(
 
 PARTS["x_ctx_counts"] = "SELECT context_level, context_key, count(*) AS n FROM x_txn_ctx GROUP BY 1, 2"
 
-PASSES = "n >= CASE context_level WHEN 'L5' THEN 100 ELSE 1700 END"
+PASSES = "n >= CASE context_level WHEN 'L5' THEN 100 ELSE 1500 END"
 
 
 # ---- mining ---------------------------------------------------------------------------

@@ -109,7 +109,7 @@ def cells(fps: DataFrame, distance: int, segment_bits: int, groups: int) -> Data
                 for column in coordinates.T:
                     values[g] = values[g] * np.uint64(segment_bits + 1) + column
             for number, chosen in enumerate(combinations(range(groups), groups - distance)):
-                cell = np.full(len(fp), number, np.uint64)
+                cell = t.mix(np.full(len(fp), number + 1, np.uint64))
                 for g in chosen:
                     cell = t.mix(cell + values[g])
                 yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), pa.array(fp.view(np.int64))], ["cell", "fp"])
@@ -167,6 +167,8 @@ def _links_of_cells(distance: int, segment_bits: int, cell_rows: int | None):
 
         def work(cell: np.ndarray, fp: np.ndarray, side: np.ndarray) -> pa.RecordBatch:
             moved, root = _forest(cell, fp.view(np.uint64), side, distance, segment_bits)
+            other = fp[moved] != fp[root]
+            moved, root = moved[other], root[other]
             return emit(cell[moved], fp[moved], fp[root])
 
         for batch in batches:

@@ -18,7 +18,8 @@ in front. Models of another kind are refused.
 
 Defined cases: a null text has no ids (null), an empty one an empty list. White space other than
 blanks, characters outside the vocabulary and very long words are kept; decoding gives the text
-back byte for byte, but that the mark itself reads as a blank. Repeated rows get equal results.
+back byte for byte, but that the mark itself reads as a blank. A null among ids reads as the
+unknown piece. Repeated rows get equal results.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from cartwright.llm import text as t
@@ -42,9 +44,9 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
-SLICE_BYTES = 1 << 25
-BLOCK_BYTES = 1 << 19
-KNOWN_CHUNKS = 1 << 20
+SLICE_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 17
+KNOWN_CHUNKS = 1 << 18
 PAIR_SLOTS = 1 << 20
 NONE, BEGIN = -2, -3
 
@@ -301,16 +303,35 @@ def _shared(spark, path: str):
     return spark.sparkContext.broadcast(load(path))
 
 
-def encode(docs: DataFrame, text: str = "text", out: str = "ids", path: str = MODEL) -> DataFrame:
-    """``docs`` with the ids of the text (array of int)."""
+def encode(
+    docs: DataFrame, text: str = "text", out: str = "ids", path: str = MODEL, keep_text: bool = True, check: str | None = None
+) -> DataFrame:
+    """``docs`` with the ids of the text (array of int); without the text if it is not kept.
+
+    ``check`` names a boolean column: do the ids decode to the text? The task that has made them
+    decodes them, so neither is sent twice.
+    """
     shared = _shared(docs.sparkSession, path)
+    names = {out: "array<int>", **({check: "boolean"} if check else {})}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for part in t.slices(batches, "text", SLICE_BYTES):
-            yield t.added(part.column("rest"), encode_texts(encoder, part.column("text").to_pylist()))
+            texts = part.column("text").to_pylist()
+            ids = encode_texts(encoder, texts)
+            columns = [ids]
+            if check:
+                columns.append(pa.array([a == b for a, b in zip(texts, decode_lists(encoder, ids))], pa.bool_()))
+            yield t.added(part.column("rest"), *columns)
+
+    return t.Carried(docs, text, tuple(names), keep_text).run(run, names)
+
 
-    return t.Carried(docs, text, (out,), True).run(run, {out: "array<int>"})
+def decode_lists(encoder: Encoder, lists: pa.ListArray) -> Iterator[str | None]:
+    """The text of each list of ids, one list at a time."""
+    values, offsets = pc.fill_null(lists.values, 0).to_numpy(), lists.offsets.to_pylist()
+    for a, b, known in zip(offsets[:-1], offsets[1:], lists.is_valid().to_pylist()):
+        yield encoder.decode(values[a:b].tolist()) if known else None
 
 
 def decode(rows: DataFrame, ids: str = "ids", out: str = "text", path: str = MODEL) -> DataFrame:
@@ -320,7 +341,7 @@ def decode(rows: DataFrame, ids: str = "ids", out: str = "text", path: str = MOD
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            texts = [None if x is None else encoder.decode(x) for x in batch.column("text").to_pylist()]
+            texts = list(decode_lists(encoder, batch.column("text")))
             yield t.added(batch.column("rest"), pa.array(texts, pa.string()))
 
     return t.Carried(rows, ids, (out,), True).run(run, {out: "string"})

@@ -163,32 +163,76 @@ def _by_task(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tupl
         yield now, held
 
 
-def _repeated_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, hashes) of the hashes of one task that come from two documents at least."""
-    for _, rows in _by_task(batches):
-        code = np.concatenate([_from_five(c) for c, _ in rows])
-        id = np.concatenate([_from_small(i) for _, i in rows])
-        rows.clear()
-        order = np.argsort(code)
-        code, id = code[order], id[order]
-        at = np.concatenate([[0], np.flatnonzero(code[1:] != code[:-1]) + 1])
-        low, high = np.minimum.reduceat(id, at), np.maximum.reduceat(id, at)
-        size = np.diff(np.concatenate([at, [len(code)]]))
-        keep = np.repeat(low != high, size)
-        code, id = code[keep], id[keep]
-        order = np.lexsort((code, id))
-        code, id = code[order], id[order]
-        cuts = _cuts(id)
-        for some in range(0, len(cuts), 10_000):
-            part = cuts[some : some + 10_000]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([int(id[a]) for a, _ in part], pa.int64()),
-                    pa.array([_five(code[a:b]) for a, b in part], pa.binary()),
-                    pa.array([b - a for a, b in part], pa.int64()),
-                ],
-                ["id", "codes", "n"],
-            )
+def _repeated_hashes(buckets: int):
+    """The hashes of a task that come from two documents at least, packed for their documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _by_task(batches):
+            code = np.concatenate([_from_five(c) for c, _ in rows])
+            id = np.concatenate([_from_small(i) for _, i in rows])
+            rows.clear()
+            order = np.argsort(code)
+            code, id = code[order], id[order]
+            at = np.concatenate([[0], np.flatnonzero(code[1:] != code[:-1]) + 1])
+            low, high = np.minimum.reduceat(id, at), np.maximum.reduceat(id, at)
+            size = np.diff(np.concatenate([at, [len(code)]]))
+            keep = np.repeat(low != high, size)
+            code, id = code[keep], id[keep]
+            raw = np.frombuffer(_five(code), np.uint8).reshape(-1, 5)
+            yield from _packed(id, raw, buckets)
+
+    return run
+
+
+PACKED = "bucket int, ids binary, counts binary, body binary"
+
+
+def _packed(id: np.ndarray, items: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Items (rows of bytes) of documents, one row for all documents of a bucket."""
+    bucket = (t.mix(id.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((id, bucket))
+    id, items, bucket = id[order], items[order], bucket[order]
+    for start, end in _cuts(bucket):
+        runs = _cuts(id[start:end])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([int(bucket[start])], pa.int32()),
+                pa.array([_small(id[start:end][[x for x, _ in runs]])], pa.binary()),
+                pa.array([np.array([y - x for x, y in runs], np.int32).tobytes()], pa.binary()),
+                pa.array([items[start:end].tobytes()], pa.binary()),
+            ],
+            ["bucket", "ids", "counts", "body"],
+        )
+
+
+def _of_documents(width: int):
+    """(id, found, n): one row per document with all its items; the rows come sorted by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _by_task(batches):
+            id = np.concatenate([np.repeat(_from_small(i), np.frombuffer(n, np.int32)) for i, n, _ in rows])
+            items = np.concatenate([np.frombuffer(body, np.uint8) for _, _, body in rows]).reshape(-1, width)
+            rows.clear()
+            order = np.argsort(id, kind="stable")
+            id, items = id[order], items[order]
+            cuts = _cuts(id)
+            for some in range(0, len(cuts), 10_000):
+                part = cuts[some : some + 10_000]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([int(id[x]) for x, _ in part], pa.int64()),
+                        pa.array([items[x:y].tobytes() for x, y in part], pa.binary()),
+                        pa.array([y - x for x, y in part], pa.int64()),
+                    ],
+                    ["id", "found", "n"],
+                )
+
+    return run
+
+
+def _by_document(packed: DataFrame, buckets: int, width: int) -> DataFrame:
+    dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(_of_documents(width), "id long, found binary, n long")
 
 
 def _send_contexts(hash_tasks: int, tasks: int, length: int, k: int = GRAM):
@@ -201,7 +245,7 @@ def _send_contexts(hash_tasks: int, tasks: int, length: int, k: int = GRAM):
             place, h, first, last = anchors(data, bounds, length)
             row = np.searchsorted(bounds, place, side="right") - 1
             home, code = _codes(h, hash_tasks)
-            wanted = [b"".join(x) for x in part.column("found").to_pylist()]
+            wanted = part.column("found").to_pylist()
             back = np.concatenate([_from_five(x) for x in wanted]) if wanted else np.zeros(0, np.uint64)
             owner = np.repeat(np.arange(part.num_rows), [len(x) // 5 for x in wanted]).astype(np.uint64)
             keep = np.isin(t.mix(row.astype(np.uint64) + t.mix(code)), t.mix(owner + t.mix(back)))
@@ -281,8 +325,8 @@ def equal_strings(strings: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out
 
 
-def _spans(length: int, k: int = GRAM):
-    """(id, spans): parts of documents covered by windows of an earlier document."""
+def _spans(buckets: int, length: int, k: int = GRAM):
+    """Parts of documents covered by windows of an earlier document, packed for their documents."""
     before = length - k
     wide = before + length
 
@@ -314,29 +358,19 @@ def _spans(length: int, k: int = GRAM):
                 begin[fresh] = place[fresh] - back
                 end[late] = place[late] - back + length
             found = np.flatnonzero(begin >= 0)
-            found = found[np.lexsort((begin[found], id[found]))]
-            cuts = _cuts(id[found])
-            for some in range(0, len(cuts), 10_000):
-                part = cuts[some : some + 10_000]
-                pairs = np.stack([begin[found], end[found]], axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([int(id[found[a]]) for a, _ in part], pa.int64()),
-                        pa.array([pairs[a:b].astype("<i8").tobytes() for a, b in part], pa.binary()),
-                    ],
-                    ["id", "spans"],
-                )
+            pairs = np.stack([begin[found], end[found]], axis=1).astype("<i8")
+            yield from _packed(id[found], pairs.view(np.uint8).reshape(-1, 16), buckets)
 
     return run
 
 
-def cut(body: bytes, spans: list[bytes], whole: bool, length: int) -> tuple[bytes, int, int]:
+def cut(body: bytes, spans: bytes | None, whole: bool, length: int) -> tuple[bytes, int, int]:
     """(what is left, bytes removed, number of runs removed)"""
     if whole:
         return (b"", len(body), 1) if len(body) >= length else (body, 0, 0)
     if not spans:
         return body, 0, 0
-    pairs = np.frombuffer(b"".join(spans), "<i8").reshape(-1, 2)
+    pairs = np.frombuffer(spans, "<i8").reshape(-1, 2)
     mark = np.zeros(len(body) + 1, np.int64)
     np.add.at(mark, pairs[:, 0], 1)
     np.add.at(mark, pairs[:, 1], -1)
@@ -359,25 +393,17 @@ def dedup_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     anchors_expected = 2 * total // (length - GRAM + 2) + 1
     hash_tasks = int(anchors_expected // HASHES_PER_TASK) + 1
     hashes = named.mapInArrow(_send_hashes(hash_tasks, length), "task int, codes binary, ids binary")
-    back = (
-        hashes.repartition(hash_tasks, "task")
-        .sortWithinPartitions("task")
-        .mapInArrow(_repeated_hashes, "id long, codes binary, n long")
-        .join(copies, "id", "left_anti")
-    )
-    back = stage(back, "passage-hashes")
-    repeated = back.agg(F.sum("n")).first()[0] or 0
+    back = hashes.repartition(hash_tasks, "task").sortWithinPartitions("task").mapInArrow(_repeated_hashes(hash_tasks), PACKED)
+    wanted = stage(_by_document(back, hash_tasks, 5), "passage-hashes").join(copies, "id", "left_anti")
+    repeated = wanted.agg(F.sum("n")).first()[0] or 0
     tasks = int(repeated // CONTEXTS_PER_TASK) + 1
-    wanted = back.groupBy("id").agg(F.collect_list("codes").alias("found"))
-    contexts = named.join(wanted.hint("shuffle_hash"), "id").mapInArrow(
+    contexts = named.join(wanted.select("id", "found").hint("shuffle_hash"), "id").mapInArrow(
         _send_contexts(hash_tasks, tasks, length), "task int, n long, body binary"
     )
-    spans = (
-        contexts.repartition(tasks, "task").sortWithinPartitions("task").mapInArrow(_spans(length), "id long, spans binary")
-    )
-    gone = spans.groupBy("id").agg(F.collect_list("spans").alias("spans"))
+    spans = contexts.repartition(tasks, "task").sortWithinPartitions("task").mapInArrow(_spans(hash_tasks, length), PACKED)
+    gone = _by_document(spans, hash_tasks, 16).select("id", F.col("found").alias("spans"))
     gone = gone.withColumn("whole", F.lit(False)).unionByName(
-        copies.select("id", F.array().cast("array<binary>").alias("spans"), F.lit(True).alias("whole"))
+        copies.select("id", F.lit(None).cast("binary").alias("spans"), F.lit(True).alias("whole"))
     )
     cuts = named.join(gone.hint("shuffle_hash"), "id", "left")
     cuts = cuts.unionByName(nameless, allowMissingColumns=True)
@@ -387,7 +413,7 @@ def dedup_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
             left = []
             for body, spans, whole in zip(*(part.column(c).to_pylist() for c in ("text", "spans", "whole"))):
                 body = body.encode()
-                kept, removed, runs = cut(body, spans or [], bool(whole), length)
+                kept, removed, runs = cut(body, spans, bool(whole), length)
                 left.append((len(body), removed, runs, kept, hashlib.sha256(kept).hexdigest()))
             columns = list(zip(*left))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())

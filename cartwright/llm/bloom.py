@@ -127,8 +127,11 @@ def build(rows: DataFrame, bits: int, probes: int, twice: bool = False, hashes_o
     packed = np.zeros(bits // 8, np.uint8)
     size = BLOCK_BITS // 8
     table = blocks.toArrow()
+    marks = None
     for block, marks in zip(table.column("block").to_pylist(), table.column("marks")):
-        packed[block * size : (block + 1) * size] = np.frombuffer(marks.as_py(), np.uint8)
+        packed[block * size : (block + 1) * size] = np.frombuffer(marks.as_buffer(), np.uint8)
+    del table, marks
+    pa.default_memory_pool().release_unused()
     return packed
 
 

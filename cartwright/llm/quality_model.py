@@ -6,8 +6,8 @@ a weight per feature and the inner products of the factors of every two features
 identity sum_(i<j) <v_i, v_j> x_i x_j = (|sum v_i x_i|^2 - sum |v_i x_i|^2) / 2 this takes time
 linear in the number of features of the text.
 
-The model is fitted on at most ``sample_rows`` labelled rows, those of least hash of their id, by
-full-batch gradient steps (Adam) in a fixed order, so equal tables give equal models. Scoring reads
+The model is fitted in one task on at most ``sample_rows`` labelled rows, those of least hash of
+their id, by full-batch gradient steps (Adam) in a fixed order, so equal tables give equal models. Scoring reads
 every text as a whole and uses nothing but the text.
 
 Defined cases: null and empty texts have no words; their statistics are zero and they get the score
@@ -17,6 +17,7 @@ Without labelled rows the score is 0.5 for all. Rows that repeat get equal score
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,8 @@ from pyspark.sql.types import DataType
 from cartwright.llm import quality_rules
 from cartwright.llm import text as t
 
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 4000
+BLOCK_ROWS = 500
 DIMENSIONS = 1 << 15
 FACTORS = 8
 STEPS = 60
@@ -105,6 +107,16 @@ class Machine:
     scale: np.ndarray
     dimensions: int
 
+    def dumps(self) -> bytes:
+        out = io.BytesIO()
+        np.savez_compressed(out, head=[self.bias, self.dimensions], weights=self.weights, factors=self.factors, mean=self.mean, scale=self.scale)
+        return out.getvalue()
+
+    @classmethod
+    def loads(cls, body: bytes) -> Machine:
+        x = np.load(io.BytesIO(body))
+        return cls(float(x["head"][0]), x["weights"], x["factors"], x["mean"], x["scale"], int(x["head"][1]))
+
     def margin(self, edges: np.ndarray, number: np.ndarray, value: np.ndarray, stats: np.ndarray) -> np.ndarray:
         return _margin(self.bias, self.weights, self.factors, *_joined(edges, number, value, (stats - self.mean) / self.scale, self.dimensions))[0]
 
@@ -142,21 +154,29 @@ def train(edges, number, value, stats, label, dimensions: int = DIMENSIONS, fact
     total = dimensions + stats.shape[1]
     # Only features that occur get weights; the others keep zero.
     used, place = np.unique(number, return_inverse=True)
+    place = place.astype(np.int32)
     random = np.random.default_rng(SEED)
     w, v = np.zeros(len(used), np.float32), random.normal(0, 0.05, (len(used), factors)).astype(np.float32)
-    row = np.repeat(np.arange(len(label)), np.diff(edges))
     positive = max(label.mean(), 1e-6)
     share = np.where(label == 1, 0.5 / positive, 0.5 / max(1 - positive, 1e-6)) / len(label)
     bias, state = 0.0, [[0.0, 0.0], [np.zeros_like(w), np.zeros_like(w)], [np.zeros_like(v), np.zeros_like(v)]]
     for step in range(1, steps + 1):
-        margin, part, summed = _margin(bias, w, v, edges, place, value)
-        error = share * (1 / (1 + np.exp(-np.clip(margin, -500, 500))) - label)
-        pull = (error[row] * value).astype(np.float32)
-        g_w = np.bincount(place, pull, len(used)) + PENALTY * w
-        toward = summed[row] - part
-        g_v = np.stack([np.bincount(place, pull * toward[:, f], len(used)) for f in range(factors)], axis=1) + PENALTY * v
+        g_bias, g_w, g_v = 0.0, PENALTY * w, PENALTY * v
+        # The gradient of all rows, added up over blocks of rows to bound the memory.
+        for low in range(0, len(label), BLOCK_ROWS):
+            high = min(low + BLOCK_ROWS, len(label))
+            block = slice(edges[low], edges[high])
+            at, x, own = place[block], value[block], edges[low : high + 1] - edges[low]
+            margin, part, summed = _margin(bias, w, v, own, at, x)
+            error = share[low:high] * (1 / (1 + np.exp(-np.clip(margin, -500, 500))) - label[low:high])
+            row = np.repeat(np.arange(high - low), np.diff(own))
+            pull = (error[row] * x).astype(np.float32)
+            toward = summed[row] - part
+            g_bias += error.sum()
+            g_w = g_w + np.bincount(at, pull, len(used))
+            g_v = g_v + np.stack([np.bincount(at, pull * toward[:, f], len(used)) for f in range(factors)], axis=1)
         moved = []
-        for gradient, memory in zip((error.sum(), g_w, g_v), state):
+        for gradient, memory in zip((g_bias, g_w, g_v), state):
             memory[0] = 0.9 * memory[0] + 0.1 * gradient
             memory[1] = 0.99 * memory[1] + 0.01 * gradient**2
             moved.append(RATE * (memory[0] / (1 - 0.9**step)) / (np.sqrt(memory[1] / (1 - 0.99**step)) + 1e-8))
@@ -194,31 +214,45 @@ def fit(
                     part.column("_id"),
                     part.column("_label"),
                     pa.ListArray.from_arrays(offsets, pa.array(number.astype(np.int32))),
-                    pa.ListArray.from_arrays(offsets, pa.array(value)),
+                    pa.ListArray.from_arrays(offsets, pa.array(value.astype(np.float32))),
                     pa.array(list(stats), pa.list_(pa.float64())),
                 ],
                 ["id", "label", "number", "value", "stats"],
             )
 
     schema = texts.select(F.col("_id").alias("id")).schema
-    for name, kind in (("label", "double"), ("number", "array<int>"), ("value", "array<double>"), ("stats", "array<double>")):
+    for name, kind in (("label", "double"), ("number", "array<int>"), ("value", "array<float>"), ("stats", "array<double>")):
         schema = schema.add(name, DataType.fromDDL(kind))
-    rows = texts.select("_id", "_label", "_text").mapInArrow(run, schema).toArrow()
-    rows = rows.sort_by([("id", "ascending")]).combine_chunks()
-    n = rows.num_rows
-    if not n:
-        size = dimensions + len(STATISTICS)
-        return Machine(0.0, np.zeros(size), np.zeros((size, 1)), np.zeros(len(STATISTICS)), np.ones(len(STATISTICS)), dimensions)
-    lists = {c: rows.column(c).chunk(0) if rows.column(c).num_chunks else None for c in ("number", "value", "stats")}
-    edges = np.concatenate([[0], np.cumsum([len(x) for x in lists["number"]])])
-    return train(
-        edges,
-        lists["number"].flatten().to_numpy().astype(np.int64),
-        lists["value"].flatten().to_numpy(),
-        lists["stats"].flatten().to_numpy().reshape(n, -1),
-        rows.column("label").to_numpy(),
-        dimensions,
-    )
+    # The sample is bounded, so one task can hold its features; the driver gets the model only.
+    rows = texts.select("_id", "_label", "_text").mapInArrow(run, schema)
+    fitted = rows.repartition(1).mapInArrow(_fit_task(dimensions), "model binary").first()
+    return untrained(dimensions) if fitted is None else Machine.loads(bytes(fitted[0]))
+
+
+def untrained(dimensions: int) -> Machine:
+    size, extra = dimensions + len(STATISTICS), len(STATISTICS)
+    return Machine(0.0, np.zeros(size), np.zeros((size, 1)), np.zeros(extra), np.ones(extra), dimensions)
+
+
+def _fit_task(dimensions: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).sort_by([("id", "ascending")])
+        columns = {c: rows.column(c).combine_chunks() for c in ("number", "value", "stats")}
+        edges = np.concatenate([[0], np.cumsum([len(x) for x in columns["number"]])])
+        machine = train(
+            edges,
+            columns["number"].flatten().to_numpy().astype(np.int64),
+            columns["value"].flatten().to_numpy(),
+            columns["stats"].flatten().to_numpy().reshape(rows.num_rows, -1),
+            rows.column("label").to_numpy(),
+            dimensions,
+        )
+        yield pa.RecordBatch.from_arrays([pa.array([machine.dumps()], pa.binary())], ["model"])
+
+    return run
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text", keep_text: bool = False) -> DataFrame:

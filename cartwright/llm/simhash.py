@@ -280,11 +280,18 @@ def near_duplicates(
     segment_bits: int = SEGMENT_BITS,
     groups: int = GROUPS,
     cell_rows: int = CELL_ROWS,
+    more: DataFrame | None = None,
 ) -> DataFrame:
-    """(id, fingerprint, component_id): the smallest id that links lead to."""
+    """(id, fingerprint, component_id): the smallest id that links lead to. ``more`` (a, b) holds
+    further links of ids; ids are a key then."""
     marked = stage(fingerprints(docs, id, text), "simhash")
     vertices = stage(marked.groupBy("fp").agg(F.min("id").alias("first")), "simhash-vertices")
-    joined = components(links(vertices.select("fp"), distance, segment_bits, groups, cell_rows))
+    linked = links(vertices.select("fp"), distance, segment_bits, groups, cell_rows)
+    if more is not None:
+        one, two = (marked.select(F.col("id").alias(c), F.col("fp").alias(f"{c}_fp")) for c in "ab")
+        more = more.join(one, "a").join(two, "b").select(F.col("a_fp").alias("a"), F.col("b_fp").alias("b"))
+        linked = linked.unionByName(more)
+    joined = components(linked)
     rooted = vertices.join(joined, vertices["fp"] == joined["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )

@@ -11,8 +11,8 @@ single lines through to the comparison; the result is the same.
 
 Defined cases: a null or empty text is one empty line. Keys shorter than ``least_chars`` code
 points stay. All lines of a key within its first document stay. Rows that repeat an id are one
-document: each keeps or drops by the same keys. Rows without an id are no document; they keep all
-their lines.
+document: each keeps or drops by the same keys, and line numbers go by id and text, as the rows may
+have different texts. Rows without an id are no document; they keep all their lines.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.lineage import stage
@@ -49,9 +49,14 @@ def keyed_lines(column: pa.Array, least_chars: int):
     return data, row, place, begin, end, t.hashes(data, begin, end)
 
 
+def digest(text: str) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.octet_length(text))
+
+
 def drop_places(docs: DataFrame, id: str, text: str, least_chars: int = LEAST_CHARS, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """(id, places): the numbers of the lines that each document drops."""
-    texts = docs.where(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(text).alias("text"))
+    """(id, digest, places): the numbers of the lines that each text of a document drops."""
+    texts = docs.where(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(text).alias("text"), digest(text).alias("digest"))
 
     def hashes_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         """The hashes of the keys, each once per document."""
@@ -70,15 +75,20 @@ def drop_places(docs: DataFrame, id: str, text: str, least_chars: int = LEAST_CH
             body = data.tobytes()
             keys = [body[a:b].decode() for a, b in zip(begin[at].tolist(), end[at].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [part.column("id").take(pa.array(row[at])), pa.array(keys, pa.string()), pa.array(place[at], pa.int32())],
-                ["id", "key", "place"],
+                [
+                    part.column("id").take(pa.array(row[at])),
+                    part.column("digest").take(pa.array(row[at])),
+                    pa.array(keys, pa.string()),
+                    pa.array(place[at], pa.int32()),
+                ],
+                ["id", "digest", "key", "place"],
             )
 
-    schema = texts.select("id").schema.add("key", "string").add("place", "integer")
+    schema = texts.select("id", "digest").schema.add("key", "string").add("place", "integer")
     suspects = stage(texts.mapInArrow(suspected, schema), "suspect-lines")
     firsts = suspects.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     gone = suspects.join(firsts.select("key", "first"), "key").where("id > first")
-    return gone.groupBy("id").agg(F.collect_set("place").alias("places"))
+    return gone.groupBy("id", "digest").agg(F.collect_set("place").alias("places"))
 
 
 def dedup_lines(
@@ -87,7 +97,7 @@ def dedup_lines(
     """``docs`` with the text that is left, ``n_lines`` (before) and ``n_dropped``."""
     places = drop_places(docs, id, text, least_chars, filter_bits)
     carried = t.Carried(docs, text, (text, "n_lines", "n_dropped"), id=id)
-    joined = carried.frame.join(places, "id", "left").select("text", "rest", "places")
+    joined = carried.frame.withColumn("digest", digest("text")).join(places, ["id", "digest"], "left").select("text", "rest", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in t.slices(batches, "text"):

@@ -7,8 +7,9 @@ Equal windows have equal anchors at equal offsets. So a window can only repeat i
 1. Tasks send the hashes of the anchors, 5 bytes each, to the task of the hash. Hashes that come
    from two documents are sent back to their documents. Equal documents are left to the first.
 2. Documents send the surroundings of those anchors to the task of the hash, where the windows of
-   equal anchor and offset are sorted: multikey quicksort on the first 16 bytes, and blind tries
-   for the groups that share them. A trie node knows only the place of the first byte in which its
+   equal anchor and offset are told apart: a library sort (``np.lexsort``) by anchor and the first
+   16 bytes, in place of multikey quicksort, as it runs on whole arrays and only equality counts,
+   and blind tries for the groups that share them. A trie node knows only the place of the first byte in which its
    strings differ and the branches of that byte; the tries of all groups grow level by level
    together. Strings that end in one leaf are equal; the least document of a leaf keeps it.
 3. Documents get the spans to cut out and cut them.

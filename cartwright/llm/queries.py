@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import decontaminate, licenses, line_dedup, quality_model, quality_rules, sentencepiece_codec, shards, simhash, suffix_dedup, url_filter
-from cartwright.llm.oracles import ORACLES
+from cartwright.lineage import stage
+from cartwright.llm import decontaminate, licenses, line_dedup, oracles, oracles_more, quality_model, quality_rules, sentencepiece_codec, shards, simhash, source_audit, suffix_dedup, url_filter, vector_codes
 
 __all__ = ["ORACLES", "QUERIES"]
 
+ORACLES = {**oracles.ORACLES, "op11_source_audit": oracles_more.AUDIT, "op13_vector_codes": oracles_more.vector_codes()}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -91,6 +93,21 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources against each other and against their language."""
+    return source_audit.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every usable vector, under codebooks of all of them."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    codebooks = vector_codes.fit(vectors)
+    coded = stage(vector_codes.encode(vectors, codebooks).select("vec_id", "label", "code", "error"), "vector-codes")
+    return vector_codes.group_errors(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(codebooks.sha256()).alias("codebooks_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_shards": op2_shards,
@@ -102,4 +119,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_model": op8_quality_model,
     "op9_url_filter": op9_url_filter,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_source_audit": op11_source_audit,
+    "op13_vector_codes": op13_vector_codes,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.lineage import stage
-from cartwright.llm import decontaminate, licenses, line_dedup, oracles, oracles_more, quality_model, quality_rules, sentencepiece_codec, shards, simhash, source_audit, suffix_dedup, url_filter, vector_codes
+from cartwright.llm import chat_format, decontaminate, licenses, line_dedup, oracles, oracles_more, quality_model, quality_rules, sentencepiece_codec, shards, simhash, source_audit, suffix_dedup, url_filter, vector_codes
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -98,6 +98,14 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
 
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as text, read back; one more of them says control strings."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    odd = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat_format.read_back(chat_format.format_conversations(rows.unionByName(odd)))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The code of every usable vector, under codebooks of all of them."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
@@ -120,5 +128,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_source_audit": op11_source_audit,
+    "op12_chat_format": op12_chat_format,
     "op13_vector_codes": op13_vector_codes,
 }

@@ -289,4 +289,4 @@ def group_errors(coded: DataFrame, label: str = "label") -> DataFrame:
     total = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(MOST_LONG).cast("decimal(38,0)")).cast("long")
     sums = stage(coded.groupBy(F.col(f"`{label}`").alias("_of_label")).agg(total.alias("label_error")), "label-errors")
     rows = coded.drop("label_error")
-    return rows.join(build_side(sums), rows[f"`{label}`"].eqNullSafe(sums["_of_label"]), "left").drop("_of_label")
+    return rows.join(build_side(sums), rows[f"`{label}`"].eqNullSafe(sums["_of_label"]), "left").drop(sums["_of_label"])

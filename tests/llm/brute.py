@@ -168,3 +168,62 @@ def suffix_dedup(docs, n=50):
 
 def crc(text):
     return zlib.crc32(text.encode())
+
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def audit(docs, least=30, top=50):
+    """docs: (lang, source, text). Rows (lang, source, part, item, value, rank)."""
+    used, docs_with = {}, {}
+    for lang, source, text in docs:
+        lang, source, terms = lang or "", source or "", TERM.findall((text or "").translate(LOWER))
+        used.setdefault((lang, source), Counter()).update(terms)
+        docs_with.setdefault(lang, Counter()).update(set(terms))
+    out = []
+    for lang, with_term in docs_with.items():
+        kept = [x for x in with_term if with_term[x] >= least]
+
+        def shares(counts, kept=kept):
+            total = sum(counts[x] for x in kept)
+            return {x: 1 + 1_000_000_000 * (counts[x] + 5) // (total + 5 * len(kept)) for x in kept}
+
+        sources = [s for x, s in used if x == lang]
+        p = {s: shares(used[lang, s]) for s in sources}
+        q = shares(sum((used[lang, s] for s in sources), Counter()))
+        for s in sources:
+            pairs = sorted((-sum(abs(p[s][x] - p[o][x]) for x in kept), o.encode(), o) for o in sources if o != s)
+            terms = sorted((q[x] - p[s][x], x.encode(), x) for x in kept if used[lang, s][x] and p[s][x] > q[x])
+            for part, found in (("pair", pairs), ("term", terms[:top])):
+                out += [(lang, s, part, item, -value, rank) for rank, (value, _, item) in enumerate(found, 1)]
+    return out
+
+
+def conversations(rows):
+    """rows: (conv_id, turn, role, text). {id: (n_turns, digest, loss characters, their digest)}"""
+    found = {}
+    for c, turn, role, text in rows:
+        found.setdefault(c, []).append((turn is not None, turn or 0, (role or "").encode(), (text or "").encode()))
+    out = {}
+    for c, said in found.items():
+        said.sort()
+        loss = b"".join(x for _, _, r, x in said if r == b"assistant")
+        out[c] = len(said), sha(b"".join(r + b"\n" + x + b"\n" for _, _, r, x in said)), len(loss.decode()), sha(loss)
+    return out
+
+
+def vector_codes(rows, parts=8, entries=16, rounds=6):
+    """rows: (id, vector) of whole numbers, in the order of their ids. (codes, errors, books)"""
+    width = len(rows[0][1]) // parts
+    cut = [[v[p * width : (p + 1) * width] for p in range(parts)] for _, v in rows]
+    books = [[cut[i][p] for i in range(min(entries, len(rows)))] for p in range(parts)]
+    far = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    best = lambda x, book: min((far(x, e), i) for i, e in enumerate(book))
+    for _ in range(rounds):
+        for p in range(parts):
+            own = {}
+            for v in cut:
+                own.setdefault(best(v[p], books[p])[1], []).append(v[p])
+            books[p] = [[sum(c) // len(own[i]) for c in zip(*own[i])] if i in own else e for i, e in enumerate(books[p])]
+    found = [[best(v[p], books[p]) for p in range(parts)] for v in cut]
+    return ["".join(f"{i:02x}" for _, i in f) for f in found], [sum(d for d, _ in f) for f in found], books

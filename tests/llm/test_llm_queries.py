@@ -17,7 +17,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "pages", "labels"):
+    for name in ("documents", "benchmark", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
     return con
 
@@ -42,7 +42,7 @@ def test_against_sql(spark, duck, name):
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(contract.queries())
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
 
 
 def test_shards(spark, texts):

@@ -69,6 +69,7 @@ class Mining:
     max_antecedent: int = 3
     level_min_txns: dict[str, int] = field(default_factory=lambda: dict(LEVEL_MIN_TXNS))
     floor: int = CONTEXT_FLOOR
+    least_count: int = 1
 
     # Rule score = conf * c + min(lift, cap) * l + support * (1 - c - l).
     conf_weight: float = 0.6

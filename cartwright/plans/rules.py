@@ -1,8 +1,8 @@
 """Association rules for every context in one job.
 
-The levels of the context hierarchy are nested, so an itemset is counted once per leaf context
-(the most specific level) and the counts are added up for the coarser levels: transactions are
-read once, not once per level, and only pre-aggregated counts are shuffled.
+The levels of the context hierarchy are nested, so transactions are laid out once per leaf context
+(the most specific level), as bitmaps of orders per item, and every coarser context is counted on
+the blocks of its leaves: transactions are shuffled once, and then only counts and sets are.
 """
 
 from __future__ import annotations
@@ -18,11 +18,13 @@ from cartwright.config import ADAPTIVE_STEPS, CONTEXT_LEVELS, MAX_TXNS_PER_CONTE
 from cartwright.functions.context import context_array
 from cartwright.functions.scoring import antecedent_text, round_half_up, rule_id, rule_score
 from cartwright.lineage import build_side, stage
+from cartwright.operators import vertical
 from cartwright.operators.ranking import first_row, top_n
 
 LEVELS = tuple(CONTEXT_LEVELS)
 LEAF = f"context_{LEVELS[0]}"
 CONTEXT = ["context_level", "context_key"]
+SETS_PER_LIST = 4096
 
 
 def leaf_contexts(txns: DataFrame) -> DataFrame:
@@ -61,9 +63,10 @@ def passing_contexts(counts: DataFrame, m: Mining = Mining()) -> DataFrame:
 
 
 def mining_params(counts: DataFrame, m: Mining = Mining()) -> DataFrame:
-    """Support and minimum count of each context: one support for contexts of every size."""
+    """Support and minimum count of each context: one support for contexts of every size, and a
+    least count below which nothing is called frequent."""
     out = counts.withColumn("min_support", F.lit(float(m.min_support)))
-    return out.withColumn("min_count", F.ceil(F.col("min_support") * F.col("n")))
+    return out.withColumn("min_count", F.greatest(F.lit(m.least_count), F.ceil(F.col("min_support") * F.col("n"))))
 
 
 def adaptive_params(
@@ -133,11 +136,12 @@ def cap_transactions(
 def frequent_itemsets(txns: DataFrame, m: Mining = Mining(), max_size: int | None = None) -> DataFrame:
     """All frequent itemsets of every context with their counts, up to ``max_size`` items if given.
 
-    Sets grow level by level: those that every transaction of a leaf context holds meet the single
-    items of the same transaction, one row per (transaction, set), so a long basket is rows and not
-    an array. A set is only counted if all its subsets of one item less are frequent in a context of
-    the leaf. The search ends with the first level from which nothing grows. Building the result
-    does the work of all levels; what is returned reads the written tables.
+    Transactions are shuffled once, into blocks of bitmaps per leaf context (``operators.vertical``).
+    Sets grow level by level for each context: a set is only counted if two of its subsets of one
+    item less and the pair of its last two items are frequent there. The sets of a context meet the blocks of its leaves, and the counts
+    of the blocks add up, so contexts of any size are spread over tasks. The search ends with the first level
+    from which nothing grows. Building the result does the work of all levels; what is returned
+    reads the written tables.
     """
     txns = txns.select(
         "order_id", *[f"context_{level}" for level in LEVELS], F.array_distinct("products").alias("items")
@@ -151,67 +155,68 @@ def frequent_itemsets(txns: DataFrame, m: Mining = Mining(), max_size: int | Non
     counts = rolled.groupBy(*CONTEXT).agg(F.sum("leaf_n").alias("n"))
     params = mining_params(passing_contexts(counts, m), m)
     contexts = stage(params.withColumn("context", F.monotonically_increasing_id()), "contexts")
-    members = rolled.join(contexts, CONTEXT).select("leaf", "context", "n", "min_count")
-    members = build_side(stage(members, "context-members"))
-    txns = txns.join(build_side(leaves.select(LEAF, "leaf")), LEAF).select("order_id", "leaf", "items")
-
-    def frequent(rows: DataFrame) -> DataFrame:
-        """Count per leaf, add the counts up for every context, keep what reaches the minimum."""
-        return (
-            rows.groupBy("leaf", "set")
-            .agg(F.count(F.lit(1)).alias("leaf_cnt"))
-            .join(members, "leaf")
-            .groupBy("context", "set")
-            .agg(F.sum("leaf_cnt").alias("cnt"), *[F.first(c).alias(c) for c in ("n", "min_count")])
-            .where(F.col("cnt") >= F.col("min_count"))
-            .select("context", "set", "cnt", "n")
-        )
-
-    def in_leaves(sets: DataFrame) -> DataFrame:
-        """(leaf, set): the sets that are frequent in a context of the leaf."""
-        return sets.select("context", "set").join(members.select("leaf", "context"), "context").select("leaf", "set").distinct()
-
-    rows = txns.select("order_id", "leaf", F.explode("items").alias("item"))
-    rows = rows.select("order_id", "leaf", F.array("item").alias("set"))
-    found, size, singles = None, 1, None
-    while True:
-        level = stage(frequent(rows), f"itemsets-{size}")
-        found = level if found is None else found.unionByName(level)
-        if size == max_size or level.isEmpty():
-            break
-        # The transactions with their sets of this level, and what may become a set of the next.
-        alive = stage(in_leaves(level), "frequent-sets")
-        current = stage(rows.join(build_side(alive), ["leaf", "set"]), f"transactions-{size}")
-        if size == 1:
-            singles = current.select("order_id", F.col("set")[0].alias("item"))
-        else:
-            grown = stage(_grown_sets(alive), "grown-sets")
-            if grown.isEmpty():
-                break
-        # A set joins the larger items of its own transaction.
-        rows = current.join(singles, "order_id").where(F.col("item") > F.element_at("set", -1))
-        rows = rows.select("order_id", "leaf", F.concat("set", F.array("item")).alias("set"))
-        if size > 1:
-            rows = rows.join(build_side(grown), ["leaf", "set"], "left_semi")
+    members = stage(rolled.join(contexts, CONTEXT).select("leaf", "context"), "context-members")
+    limits = build_side(contexts.select("context", "n", "min_count"))
+    members_side = build_side(members)
+    numbered = txns.join(build_side(leaves.select(LEAF, "leaf", "leaf_n")), LEAF)
+    blocks = stage(vertical.blocks(numbered, "leaf", "items", "order_id", "leaf_n"), "transaction-blocks")
+
+    def frequent(totals: DataFrame) -> DataFrame:
+        """What reaches the minimum of its context."""
+        return totals.join(limits, "context").where("cnt >= min_count").drop("min_count")
+
+    def of_contexts(leaf_counts: DataFrame) -> DataFrame:
+        """Counts of leaves, added up for each context of the leaf."""
+        whole = leaf_counts.groupBy("grp", "set").agg(F.sum("cnt").alias("cnt"))
+        owned = whole.join(members_side.withColumnRenamed("leaf", "grp"), "grp")
+        return owned.groupBy("context", "set").agg(F.sum("cnt").alias("cnt"))
+
+    def kept(sets: DataFrame, size: int) -> DataFrame:
+        """Written with a number for each set; ``head`` is the number of the set without its last item."""
+        return stage(sets.withColumns({"last": F.element_at("set", -1), "id": F.monotonically_increasing_id()}), f"itemsets-{size}")
+
+    singles = kept(frequent(of_contexts(vertical.count_singles(blocks))).withColumn("head", F.col("context")), 1)
+    found, level, pairs, size = singles, singles, None, 1
+    while size != max_size and not level.isEmpty():
         size += 1
+        if size == 2:
+            # Items that are frequent in a context of the leaf; pairs are counted where they occur.
+            alive = level.join(members_side, "context").groupBy("leaf").agg(F.collect_set("last").alias("alive"))
+            alive = build_side(stage(alive, "frequent-items"))
+            counted = of_contexts(vertical.count_pairs(blocks.join(alive.withColumnRenamed("leaf", "grp"), "grp")))
+            heads = singles.select("context", F.col("last").alias("first"), F.col("id").alias("head"))
+            rows = frequent(counted).withColumn("first", F.col("set")[0]).join(heads, ["context", "first"]).drop("first")
+            level = pairs = kept(rows, 2)
+        else:
+            grown = stage(_set_lists(_grown_sets(level, pairs)).withColumnRenamed("context", "owner"), "grown-sets")
+            owners = members_side.join(grown.select(F.col("owner").alias("context")).distinct(), "context", "left_semi")
+            owned = blocks.join(owners.select(F.col("leaf").alias("grp"), F.col("context").alias("owner")), "grp")
+            reached = frequent(vertical.count_sets(owned, grown).withColumnRenamed("owner", "context"))
+            named = grown.select(F.col("owner").alias("context"), "piece", F.posexplode(F.arrays_zip("sets", "heads")).alias("pos", "x"))
+            rows = reached.join(named, ["context", "piece", "pos"])
+            level = kept(rows.select("context", F.col("x.sets").alias("set"), "cnt", "n", F.col("x.heads").alias("head")), size)
+        found = found.unionByName(level)
     named = found.withColumnRenamed("set", "items").join(build_side(contexts.select("context", *CONTEXT)), "context")
     return named.select(*CONTEXT, "items", F.size("items").alias("size"), "cnt", "n")
 
 
-def _grown_sets(alive: DataFrame) -> DataFrame:
-    """(leaf, set): sets of one more item whose subsets of one item less are all in ``alive``.
+def _grown_sets(level: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(context, set, head): sets of one more item, each made of two of ``level`` that share all but
+    the last item, if those two items are frequent together. ``head`` is the first of the two."""
+    a = level.select("context", "set", F.col("last").alias("prior"), "head", F.col("id").alias("new_head"))
+    b = level.select("head", "last")
+    grown = a.join(b, "head").where("last > prior")
+    both = pairs.select("context", F.col("set")[0].alias("prior"), "last")
+    grown = grown.join(both, ["context", "prior", "last"], "left_semi")
+    return grown.select("context", F.concat("set", F.array("last")).alias("set"), F.col("new_head").alias("head"))
 
-    Two sets that share all but the last item make a longer one; its other subsets are looked up.
-    """
-    head = alive.select("leaf", F.expr("slice(set, 1, size(set) - 1)").alias("head"), F.element_at("set", -1).alias("last"))
-    pairs = head.join(head.withColumnRenamed("last", "item"), ["leaf", "head"]).where(F.col("item") > F.col("last"))
-    grown = pairs.select("leaf", F.concat("head", F.array("last", "item")).alias("set"))
-    subsets = F.transform(
-        F.sequence(F.lit(1), F.size("set")), lambda i: F.filter("set", lambda x: x != F.element_at("set", i.cast("int")))
-    )
-    parts = grown.select("leaf", "set", F.explode(subsets).alias("part"))
-    held = parts.join(alive.withColumnRenamed("set", "part"), ["leaf", "part"]).groupBy("leaf", "set").agg(F.count(F.lit(1)).alias("c"))
-    return held.where(F.col("c") == F.size("set")).select("leaf", "set")
+
+def _set_lists(sets: DataFrame) -> DataFrame:
+    """(context, piece, sets, heads): the sets of each context as lists of about ``SETS_PER_LIST``, in order."""
+    parts = sets.groupBy("context").agg(F.ceil(F.count(F.lit(1)) / SETS_PER_LIST).alias("pieces"))
+    dealt = sets.join(parts, "context").withColumn("piece", F.pmod(F.col("head"), F.col("pieces")))
+    lists = dealt.groupBy("context", "piece").agg(F.sort_array(F.collect_list(F.struct("set", "head"))).alias("l"))
+    return lists.select("context", "piece", F.col("l.set").alias("sets"), F.col("l.head").alias("heads"))
 
 
 def association_rules(itemsets: DataFrame) -> DataFrame:

@@ -198,13 +198,12 @@ def insurance_fill(spark, path):
     "enrich_recs",
     """SELECT request_id, rank, item_id, coalesce(product_name, 'Sản phẩm #' || item_id) AS product_name,
               100000.0::DOUBLE AS price, department_id
-       FROM x_r_recs r LEFT JOIN (SELECT * FROM x_brands WHERE product_id % 3 <> 0) b ON b.product_id = r.item_id""",
+       FROM x_r_recs r LEFT JOIN x_brands b ON b.product_id = r.item_id""",
 )
 def enrich_recs(spark, path):
-    """Recommendations with names and the constant price, from a catalog that lacks a third of the products."""
+    """Recommendations with names and the constant price."""
     f = Fixture.of(spark, path)
-    catalog = with_constant_price(f.brand_products.where("product_id % 3 <> 0"))
-    return enrich(f.recommendations.select("request_id", "rank", "item_id"), catalog)
+    return enrich(f.recommendations.select("request_id", "rank", "item_id"), with_constant_price(f.brand_products))
 
 
 # ---- evaluation -----------------------------------------------------------------------

@@ -6,7 +6,6 @@ import re
 
 # The statements say what the results should be, in numbers of their own.
 TOP_K = 5
-SUPPORT = 0.004
 
 PARTS: dict[str, str] = {}
 
@@ -202,7 +201,7 @@ PARTS["x_txn_ctx"] = " UNION ALL ".join(
 
 PARTS["x_ctx_counts"] = "SELECT context_level, context_key, count(*) AS n FROM x_txn_ctx GROUP BY 1, 2"
 
-PASSES = "n >= CASE context_level WHEN 'L5' THEN 100 ELSE 1500 END"
+PASSES = "n >= CASE context_level WHEN 'L1' THEN 50 WHEN 'L2' THEN 100 WHEN 'L3' THEN 200 WHEN 'L4' THEN 1000 ELSE 50 END"
 
 
 # ---- mining ---------------------------------------------------------------------------
@@ -223,7 +222,7 @@ FROM x_txn_ctx JOIN x_sets USING (order_id) GROUP BY 1, 2, 3
 
 
 PARTS["x_m_params"] = f"""
-SELECT context_level, context_key, n, {SUPPORT}::DOUBLE AS min_support, CAST(ceil({SUPPORT}::DOUBLE * n) AS BIGINT) AS min_count
+SELECT context_level, context_key, n, 0.002::DOUBLE AS min_support, CAST(greatest(5, ceil(0.002::DOUBLE * n)) AS BIGINT) AS min_count
 FROM x_ctx_counts WHERE {PASSES}
 """
 

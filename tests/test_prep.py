@@ -31,8 +31,10 @@ def test_baskets_cap_and_minimum(spark):
     orders = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (4, 1)], "order_id long, user_id long")
     got = {r.order_id: r for r in prep.baskets(orders, df).collect()}
     assert set(got) == {1, 3}
-    assert got[1].products == list(range(1, 21)) and got[1].basket_size == 20
+    assert got[1].products == list(range(1, 26)) and got[1].basket_size == 25
     assert got[3].products == [4, 9]
+    cut = {r.order_id: r for r in prep.baskets(orders, df, max_items=20).collect()}
+    assert cut[1].products == list(range(1, 21)) and cut[1].basket_size == 20 and cut[3].products == [4, 9]
 
 
 def test_transactions_context_defaults(spark):

@@ -1,8 +1,13 @@
+import itertools
+import random
+from collections import Counter
+
 import pytest
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import functions as F
 
 from cartwright.config import Mining
+from cartwright.operators import vertical
 from cartwright.plans import prep, rules
 from cartwright.sources import rule_store
 from registry.fixture import Fixture
@@ -145,3 +150,38 @@ def test_mining_plan_has_no_python(txns, mining):
 def test_cardinality_of_levels(txns):
     got = {r.context_level: r.contexts for r in prep.context_cardinality(txns).collect()}
     assert got["L5"] == 1 and got["L4"] == 8 and got["L1"] >= got["L2"] >= got["L3"]
+
+
+def test_blocks_count_like_transactions(spark, monkeypatch):
+    """Several blocks per group, dense and sparse items, sets of one to four items."""
+    rng = random.Random(4)
+    monkeypatch.setattr(vertical, "BLOCK", 64)
+    monkeypatch.setattr(vertical, "PORTION", 2)
+    rows = [(i, i % 2, sorted(rng.sample(range(12), rng.randrange(6)) + ([50] if i == 7 else []) + ([99] if i % 9 else [])), 350) for i in range(700)]
+    df = spark.createDataFrame(rows, "id long, g long, items array<long>, size long")
+    blocks = vertical.blocks(df, "g", "items", "id", "size").cache()
+    assert blocks.count() > 8 and {r[0] for r in blocks.groupBy("grp").agg(F.sum("n")).select("sum(n)").collect()} == {350}
+    want = Counter((g, s) for _, g, items, _ in rows for k in range(1, 5) for s in itertools.combinations(items, k))
+    singles = vertical.count_singles(blocks).groupBy("grp", "set").agg(F.sum("cnt").alias("cnt")).collect()
+    assert {(r.grp, tuple(r["set"])): r.cnt for r in singles} == {k: n for k, n in want.items() if len(k[1]) == 1}
+    alive = blocks.withColumn("alive", F.array(*[F.lit(i).cast("long") for i in [*range(12), 99]]))
+    pairs = vertical.count_pairs(alive).groupBy("grp", "set").agg(F.sum("cnt").alias("cnt")).collect()
+    assert {(r.grp, tuple(r["set"])): r.cnt for r in pairs} == {k: n for k, n in want.items() if len(k[1]) == 2 and 50 not in k[1]}
+    for size in (3, 4):
+        sets = [list(s) for s in itertools.combinations([*range(12), 50, 99, 1000], size)]
+        lists = spark.createDataFrame([(7, p, sets[p::3]) for p in range(3)], "owner long, piece long, sets array<array<long>>")
+        got = vertical.count_sets(blocks.withColumn("owner", F.lit(7).cast("long")), lists).collect()
+        both = {s: want[0, s] + want[1, s] for s in map(tuple, sets)}
+        assert {tuple(sets[r.piece :: 3][r.pos]): r.cnt for r in got} == {s: n for s, n in both.items() if n}
+
+
+def test_least_count(spark):
+    df = spark.createDataFrame([("L1", "k", n) for n in (60, 3000)], "context_level string, context_key string, n long")
+    got = {r.n: r.min_count for r in rules.mining_params(df, Mining(least_count=5)).collect()}
+    assert got == {60: 5, 3000: 6}
+
+
+def test_every_level_is_mined(spark):
+    f = Fixture.of(spark, "/root/testdata/sf0.01")
+    params = rules.passing_contexts(rules.context_counts(f.brand_transactions), f.mining)
+    assert {r.context_level for r in params.select("context_level").distinct().collect()} == set(rules.LEVELS)

@@ -1,23 +1,31 @@
 """Exact linearly interpolated quantiles without gathering a column in one task.
 
-``percentile`` keeps every distinct value of a group in one aggregation buffer. Here a
-mergeable sketch brackets each quantile first; only the distinct values inside the bracket
-are then ordered, and the rows below it are just counted.
+Values become 64-bit whole numbers in the same order. Of these, the leading 16 bits are counted
+in each task and the counts added up; the wanted position falls into one of the counted buckets,
+and only the rows of that bucket are counted by the next 16 bits, and so on. After four rounds
+the bucket is one value. A round shuffles at most 65,536 counts for each task and bucket and no
+values, whatever the data are; all groups and probabilities go through the same four rounds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cartwright.lineage import build_side, stage
 
-STEPS = 256
-SKETCH_ACCURACY = 10_000
+# The function that runs in tasks travels with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+DIGIT = 16
 SMALL_GROUP = 100_000
-BLOCKS = 256
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -31,64 +39,60 @@ def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) ->
 def exact_quantiles(
     values: DataFrame, probs: Sequence[float], group: Sequence[str] = ("feature",), small: int = SMALL_GROUP
 ) -> DataFrame:
-    """(group..., q, quantile) for a table (group..., value); nulls are ignored.
+    """(group..., q, quantile) for a table (group..., value); nulls are ignored, NaN is the largest value.
 
-    The bracket table has one row per group and probability. The distinct values of a bracket are
-    cut into ``BLOCKS`` ranges by a second sketch, the counts are added up over the ranges, and
-    only the ranges that hold the wanted positions are ordered: a task sorts about one in
-    ``STEPS * BLOCKS / 4`` of the distinct values of its group.
+    Sizes of groups are counted here. Where none has more than ``small`` rows, one aggregation
+    orders each of them; larger ones are selected by digits. Both give the same values.
     """
-    values = values.where(F.col("value").isNotNull()).select(*group, "value")
-    grid = F.array(*[F.lit(i / STEPS) for i in range(STEPS + 1)])
-    sketch = values.groupBy(*group).agg(
-        F.count("value").alias("n"), F.percentile_approx("value", grid, SKETCH_ACCURACY).alias("s")
-    )
-    q = F.col("q")
-    low, high = F.floor(q * STEPS) - 1, F.ceil(q * STEPS) + 3
-    bracket = (
-        sketch.withColumn("q", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("pos", q * (F.col("n") - 1))
-        .select(
-            *group,
-            "q",
-            "pos",
-            F.when((F.col("n") <= small) | (low < 1), F.lit(float("-inf")))
-            .otherwise(F.try_element_at("s", low.cast("int")))
-            .alias("lo"),
-            F.when((F.col("n") <= small) | (high > STEPS + 1), F.lit(float("inf")))
-            .otherwise(F.try_element_at("s", high.cast("int")))
-            .alias("hi"),
-        )
-    )
-    side = build_side(stage(bracket, "brackets"))
-    counted = values.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("c"))
-    near = (
-        counted.join(side, list(group))
-        .where(F.col("value") <= F.col("hi"))
-        .groupBy(*group, "q", "pos", F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("v"))
-        .agg(F.sum("c").alias("c"))
-    )
-    near = stage(near, "near-values")
-    parts = F.array(*[F.lit(i / BLOCKS) for i in range(1, BLOCKS)])
-    bounds = near.where("v is not null").groupBy(*group, "q").agg(F.percentile_approx("v", parts, SKETCH_ACCURACY).alias("_bounds"))
-    # The null value holds everything below the bracket; it is a block of its own and comes first.
-    block = F.when(F.col("v").isNull(), F.lit(-1)).otherwise(F.size(F.filter("_bounds", lambda b: b < F.col("v"))))
-    near = near.join(build_side(stage(bounds, "block-bounds")), [*group, "q"], "left").withColumn("_block", block).drop("_bounds")
-    sums = near.groupBy(*group, "q", "pos", "_block").agg(F.sum("c").alias("_c"))
-    upto = F.sum("_c").over(Window.partitionBy(*group, "q").orderBy("_block"))
-    sums = sums.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_c"))
-    pos = F.col("pos")
-    held = sums.where((F.col("_before") <= F.ceil(pos)) & (F.col("_upto") > F.floor(pos))).select(*group, "q", "_block", "_before")
-    inside = Window.partitionBy(*group, "q", "_block").orderBy("v")
-    upto = near.join(held, [*group, "q", "_block"]).withColumn("upto", F.col("_before") + F.sum("c").over(inside))
-    ends = upto.groupBy(*group, "q", "pos").agg(
-        F.min(F.when(F.col("upto") > F.floor(pos), F.col("v"))).alias("a"),
-        F.min(F.when(F.col("upto") > F.ceil(pos), F.col("v"))).alias("b"),
-    )
-    value = F.col("a") + (F.col("b") - F.col("a")) * (pos - F.floor(pos))
+    values = values.where(F.col("value").isNotNull()).select(*group, F.col("value").cast("double").alias("value"))
+    sizes = values.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in sorted(set(probs))]))
+    if largest <= small:
+        lists = values.groupBy(*group).agg(F.array_sort(F.collect_list("value")).alias("l"))
+        at = lists.withColumn("q", wanted).withColumn("pos", F.col("q") * (F.size("l") - 1))
+        ends = at.select(*group, "q", "pos", F.get("l", F.floor("pos").cast("int")).alias("a"), F.get("l", F.ceil("pos").cast("int")).alias("b"))
+    else:
+        at = stage(sizes.withColumn("q", wanted).withColumn("pos", F.col("q") * (F.col("n") - 1)).drop("n"), "quantile-positions")
+        places = at.select(*group, F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("place")).distinct()
+        found = values_at(values, places, group)
+        one = found.select(*group, F.col("place").alias("_low"), F.col("value").alias("a"))
+        two = found.select(*group, F.col("place").alias("_high"), F.col("value").alias("b"))
+        ends = at.withColumns({"_low": F.floor("pos"), "_high": F.ceil("pos")}).join(one, [*group, "_low"]).join(two, [*group, "_high"])
+    value = F.col("a") + (F.col("b") - F.col("a")) * (F.col("pos") - F.floor("pos"))
     return ends.select(*group, "q", value.alias("quantile"))
 
 
+def values_at(values: DataFrame, places: DataFrame, group: Sequence[str]) -> DataFrame:
+    """(group..., place, value): the values that stand at some places of their group's order, counted
+    from 0, by four rounds of counting digits."""
+    keyed = values.mapInArrow(_keyed, StructType([*values.schema.fields, StructField("key", LongType())]))
+    # Of each place: the bits known so far, and how many rows of these bits stand before it.
+    open_ = places.select(*group, "place", F.lit(0).cast("long").alias("prefix"), F.col("place").alias("left"))
+    for known in range(0, 64, DIGIT):
+        prefix = F.shiftright("key", 64 - known) if known else F.lit(0).cast("long")
+        digit = F.shiftright("key", 64 - known - DIGIT)
+        rows = keyed.select(*group, prefix.alias("prefix"), digit.alias("next"), "value")
+        if known:
+            rows = rows.join(build_side(open_.select(*group, "prefix").distinct()), [*group, "prefix"], "left_semi")
+        counts = rows.groupBy(*group, "prefix", "next").agg(F.count(F.lit(1)).alias("c"), F.min("value").alias("value"))
+        upto = F.sum("c").over(Window.partitionBy(*group, "prefix").orderBy("next"))
+        counts = counts.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("c"))
+        met = counts.join(open_.select(*group, "place", "prefix", "left"), [*group, "prefix"]).where("left >= before and left < upto")
+        open_ = met.select(*group, "place", F.col("next").alias("prefix"), (F.col("left") - F.col("before")).alias("left"), "value")
+        open_ = stage(open_, f"quantile-digits-{known}")
+    return open_.select(*group, "place", "value")
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds whole numbers in the order of the doubles. Both zeros are one value, and so are all NaN."""
+    for batch in batches:
+        value = batch.column("value").to_numpy(zero_copy_only=False) + 0.0
+        bits = np.where(np.isnan(value), np.nan, value).view(np.int64)
+        key = bits ^ ((bits >> 63) & np.int64((1 << 63) - 1))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key)], [*batch.schema.names, "key"])
+
+
 def quantile_struct(df: DataFrame, wanted: dict[str, tuple[str, float]]):
     """Scalar struct column: name -> quantile ``(column, probability)`` of ``df``."""
     columns = sorted({c for c, _ in wanted.values()})

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cartwright.operators.quantiles import exact_quantiles
+from cartwright.operators.quantiles import exact_quantiles, values_at
 from cartwright.operators.ranking import block_row_number, first_row, grouped_row_number, split_hot, top_n
 from cartwright.sources.retail import Retail
 
@@ -88,25 +88,31 @@ def test_order_sequence_of_hot_users(spark, hot_rows):
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.select(*plain.columns).collect()))
 
 
-def test_quantiles_order_only_small_ranges(spark):
-    """A million distinct values: exact ends, and no range that is ordered holds more than a few of them."""
-    n = 1_000_000
-    values = spark.range(n).select(F.lit("x").alias("feature"), ((F.col("id") * 7919 % n) * 0.5 + 0.25).alias("value"))
-    probs = [0.0, 0.01, 0.5, 0.777, 1.0]
-    table = exact_quantiles(values, probs)
-    got = {r.q: r.quantile for r in table.collect()}
-    assert got == {p: pytest.approx((p * (n - 1)) * 0.5 + 0.25) for p in probs}
-    plan = table._jdf.queryExecution().executedPlan()
-    assert 0 < _rows_ordered(plan) <= len(probs) * n // 1000
-
-
-def _rows_ordered(node):
-    """Rows that the last window of an executed plan sorts: those that the join below it leaves."""
-    if node.nodeName().startswith("AdaptiveSparkPlan"):
-        return _rows_ordered(node.executedPlan())
-    below = lambda x: x.plan() if x.nodeName().endswith("QueryStage") else x.children().head()
-    while node.nodeName() != "Window":
-        node = below(node)
-    while "Join" not in node.nodeName():
-        node = below(node)
-    return node.metrics().apply("numOutputRows").value()
+def test_quantiles_of_large_groups_count_digits(spark):
+    """Half a million values of all kinds in one group: exact at any place, without ordering values."""
+    n = 500_000
+    x = (F.col("id") * 7919 % n - n // 2).cast("double")
+    value = F.when(F.col("id") % 5 == 0, x * 1e-300).when(F.col("id") % 7 == 0, F.lit(-0.0)).otherwise(x * 1e250)
+    values = spark.range(n).select(F.lit("x").alias("feature"), value.alias("value")).cache()
+    probs = [0.0, 0.01, 0.31, 0.5, 0.777, 1.0]
+    data = np.array([r.value for r in values.select("value").collect()])
+    got = {r.q: r.quantile for r in exact_quantiles(values, probs).collect()}
+    ordered = np.sort(data)
+    for p in probs:
+        low, high = ordered[int(np.floor(p * (n - 1)))], ordered[int(np.ceil(p * (n - 1)))]
+        assert got[p] == low + (high - low) * (p * (n - 1) - np.floor(p * (n - 1)))
+
+
+def test_places_of_odd_values(spark):
+    inf, nan = float("inf"), float("nan")
+    data = [nan, inf, -inf, 0.0, -0.0, 5e-324, -5e-324, 1.0, 1.0, nan, 1.7976931348623157e308]
+    values = spark.createDataFrame([("a", x) for x in data] + [("b", 2.0)], "g string, value double")
+    places = spark.createDataFrame([("a", i) for i in range(len(data))] + [("b", 0)], "g string, place long")
+    got = {(r.g, r.place): r.value for r in values_at(values, places, ["g"]).collect()}
+    want = np.sort(np.array(data))
+    assert [got["a", i] for i in range(9)] == want[:9].tolist() and np.isnan([got["a", 9], got["a", 10]]).all() and got["b", 0] == 2.0
+
+
+def test_quantiles_of_nothing(spark):
+    for small in (0, 10):
+        assert exact_quantiles(spark.createDataFrame([("a", None)], "feature string, value double"), [0.5], small=small).count() == 0

@@ -57,17 +57,20 @@ def _note(df: DataFrame, path: str | None) -> None:
         _SCOPES[-1].append((df.sparkSession, path, df))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, outlive: bool = False) -> DataFrame:
     """Make ``df`` once and continue from the written (or stored) table. The work is done here,
-    not when the result is read."""
+    not when the result is read. With ``outlive``, the table stays when the scope it is made in
+    ends."""
     place = folder(df.sparkSession)
     if place is None:
         kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-        _note(kept, None)
+        if not outlive:
+            _note(kept, None)
         kept.write.format("noop").mode("overwrite").save()
         return kept
     path = f"{place}/cartwright/{name}-{uuid.uuid4().hex}"
-    _note(df, path)
+    if not outlive:
+        _note(df, path)
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,9 +2,10 @@
 
 A benchmark item is cut into windows of ``length`` consecutive words; a shorter item is one
 window. Texts are turned into hashes of k consecutive words, and of every run of w hashes the
-least is kept. With k + w - 1 words in the shortest window, a span shared by a document and an
-item keeps the same hash on both sides, so every occurrence of a window has a kept hash at the
-window's own place. Kept hashes of documents pass a Bloom filter of the items' hashes (a fixed
+least is kept. With windows of k + w - 1 words, a span shared by a document and an item keeps the
+same hash on both sides, so every occurrence of a window has a kept hash at the window's own place.
+Windows of each length (``length`` and what shorter items have) are winnowed by their own k
+and w, so a short item changes nothing for the others. Kept hashes of documents pass a Bloom filter of the items' hashes (a fixed
 number of bits, so its size is bounded) and carry the words around them; joined with the items on
 the hash, a hit is extended to the whole window by comparing words.
 
@@ -12,7 +13,9 @@ Windows with the same words are one window. Hits are sets of (document, window,
 is looked up from its windows at the end, so a passage that stands in many items costs one hit.
 
 Defined cases: null and empty texts have no words and are never hit; an item without words has no
-window. Repeated rows of an id share one result per row. Without items nothing is hit.
+window. Every row has its own result, whatever its id is: null ids and ids on several texts are kept
+apart by the number of the row. Without items nothing is hit. Only the named columns are read, so other
+columns cannot clash. Texts of any length are read whole, as one slice at least.
 """
 
 from __future__ import annotations
@@ -53,27 +56,31 @@ def _least(h: np.ndarray, w: int) -> np.ndarray:
     return out
 
 
-def _window_hashes(k: int):
-    """(words, fp, place) of windows: the last of the least hashes of k words, and where it stands."""
+def gram_words(n: int) -> int:
+    """k of the windows of n words; w is n - k + 1, so that a window has one kept hash of its own."""
+    return min(GRAM_WORDS, n)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = batch.column(0).to_pylist()
-            joined = pa.array([" ".join(w) for w in words], pa.string())
-            data, bounds = t.flat(joined)
-            starts, ends, first = t.words(data, bounds, t.ALNUM)
-            h = t.hashes(data, starts, ends)
-            fp, place = [], []
-            for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-                g = t.grams(h[a:b], k)
-                at = len(g) - 1 - int(np.argmin(g[::-1]))
-                fp.append(int(g[at].view(np.int64)))
-                place.append(at)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fp, pa.int64()), pa.array(place, pa.int32())], ["words", "fp", "place"]
-            )
 
-    return run
+def _of_class(g: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of windows of different lengths are kept apart."""
+    return t.mix(g + np.uint64(n))
+
+
+def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(words, fp, place) of windows: the last of the least hashes of k words, and where it stands."""
+    for batch in batches:
+        words = batch.column(0).to_pylist()
+        joined = pa.array([" ".join(w) for w in words], pa.string())
+        data, bounds = t.flat(joined)
+        starts, ends, first = t.words(data, bounds, t.ALNUM)
+        h = t.hashes(data, starts, ends)
+        fp, place = [], []
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+            g = t.grams(h[a:b], gram_words(b - a))
+            at = len(g) - 1 - int(np.argmin(g[::-1]))
+            fp.append(int(_of_class(g[at : at + 1], b - a).view(np.int64)[0]))
+            place.append(at)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64()), pa.array(place, pa.int32())], ["words", "fp", "place"])
 
 
 def kept_places(h: np.ndarray, first: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,19 +97,28 @@ def kept_places(h: np.ndarray, first: np.ndarray, k: int, w: int) -> tuple[np.nd
     return at, g[at]
 
 
-def _marked_rows(rest: list[str], k: int, w: int, reach: int, marks: np.ndarray):
-    """Per row: words, and the kept hashes that pass the filter, with ``reach`` words on both sides."""
+def _marked_rows(rest: list[str], lengths: list[int], marks: np.ndarray):
+    """Per row: words, and the kept hashes of every length of windows that pass the filter, with the
+    words a window can have on both sides."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in t.slices(batches, "_text"):
             data, bounds = t.flat(part.column("_text"))
             data = t.LOWER[data]
             starts, ends, first = t.words(data, bounds, t.ALNUM)
-            at, g = kept_places(t.hashes(data, starts, ends), first, k, w)
-            passed = bloom.holds(marks, g, FILTER_BITS, PROBES)
-            at, g = at[passed], g[passed]
-            row = np.searchsorted(first, at, side="right") - 1
-            low, high = np.maximum(at - reach, first[row]), np.minimum(at + k + reach, first[row + 1])
+            h = t.hashes(data, starts, ends)
+            found = []
+            for n in lengths:
+                k = gram_words(n)
+                at, g = kept_places(h, first, k, n - k + 1)
+                g = _of_class(g, n)
+                passed = bloom.holds(marks, g, FILTER_BITS, PROBES)
+                at, g = at[passed], g[passed]
+                row = np.searchsorted(first, at, side="right") - 1
+                found.append((row, at, g, np.maximum(at - (n - k), first[row]), np.minimum(at + n, first[row + 1])))
+            row, at, g, low, high = (np.concatenate(c) for c in zip(*found))
+            order = np.argsort(row, kind="stable")
+            row, at, g, low, high = (c[order] for c in (row, at, g, low, high))
             body = data.tobytes()
             a, b = starts.tolist(), ends.tolist()
             around = [[body[a[i] : b[i]].decode() for i in range(x, y)] for x, y in zip(low.tolist(), high.tolist())]
@@ -111,10 +127,10 @@ def _marked_rows(rest: list[str], k: int, w: int, reach: int, marks: np.ndarray)
                 for f, p, n, c in zip(g.view(np.int64).tolist(), (at - first[row]).tolist(), (at - low).tolist(), around)
             ]
             edges = np.searchsorted(row, np.arange(part.num_rows + 1)).tolist()
-            found = [hits[x:y] for x, y in zip(edges[:-1], edges[1:])]
+            of_rows = [hits[x:y] for x, y in zip(edges[:-1], edges[1:])]
             kind = pa.list_(pa.struct([("fp", pa.int64()), ("place", pa.int64()), ("before", pa.int32()), ("around", pa.list_(pa.string()))]))
             yield pa.RecordBatch.from_arrays(
-                [*[part.column(c) for c in rest], pa.array(np.diff(first), pa.int64()), pa.array(found, kind)],
+                [*[part.column(c) for c in rest], pa.array(np.diff(first), pa.int64()), pa.array(of_rows, kind)],
                 [*rest, "n_words", "_hits"],
             )
 
@@ -132,27 +148,26 @@ def decontaminate(
 ) -> DataFrame:
     """(id, n_words, n_hit, items): words in occurrences of windows, and the items these are of."""
     windows = stage(item_windows(items, item_id, item_text, length), "bench-windows")
-    shortest = windows.agg(F.min(F.size("words"))).first()[0] or length
-    k = min(GRAM_WORDS, shortest)
-    w = shortest - k + 1
-    distinct = windows.select("words").distinct().mapInArrow(_window_hashes(k), "words array<string>, fp long, place int")
+    lengths = sorted(r[0] for r in windows.select(F.size("words")).distinct().collect()) or [length]
+    distinct = windows.select("words").distinct().mapInArrow(_window_hashes, "words array<string>, fp long, place int")
     distinct = stage(distinct, "bench-hashes")
     marks = bloom.build(distinct.select("fp").distinct(), FILTER_BITS, PROBES)
     source = docs.select(F.col(id).alias("id"), F.col(text).alias("_text"))
     schema = source.select("id").schema.add("n_words", "long")
     hit = DataType.fromDDL("array<struct<fp:long,place:long,before:int,around:array<string>>>")
-    marked = source.mapInArrow(_marked_rows(["id"], k, w, length - k, marks), schema.add("_hits", hit))
-    marked = stage(marked, "bench-marked")
-    hits = marked.select("id", F.explode("_hits").alias("h")).select("id", "h.*")
+    marked = source.mapInArrow(_marked_rows(["id"], lengths, marks), schema.add("_hits", hit))
+    # Results are of rows, not of ids, which may be null or shared; the number of a row is fixed by writing it.
+    marked = stage(marked.withColumn("row", F.monotonically_increasing_id()), "bench-marked")
+    hits = marked.select("row", F.explode("_hits").alias("h")).select("row", "h.*")
     begin = F.col("before") - F.col("at")
     spans = (
         hits.join(distinct.select("fp", "words", F.col("place").alias("at")), "fp")
         .where((begin >= 0) & (F.slice("around", F.greatest(begin, F.lit(0)) + 1, F.size("words")) == F.col("words")))
-        .select("id", (F.col("place") - F.col("at")).alias("start"), "words")
+        .select("row", (F.col("place") - F.col("at")).alias("start"), "words")
         .distinct()
     )
     spans = stage(spans, "bench-hits")
-    # A span of n words from start: the union of the spans of a document, in order of their starts.
+    # A span of n words from start: the union of the spans of a row, in order of their starts.
     nothing = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
     sorted_spans = F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.size("words")).alias("stop"))))
     union = F.aggregate(
@@ -163,11 +178,11 @@ def decontaminate(
             (acc["n"] + F.greatest(s["stop"] - F.greatest(acc["end"], s["start"]), F.lit(0))).alias("n"),
         ),
     )
-    covered = spans.groupBy("id").agg(union["n"].alias("n_hit"))
+    covered = spans.groupBy("row").agg(union["n"].alias("n_hit"))
     # Windows meet their items once per document.
-    of_items = spans.select("id", "words").distinct().join(windows, "words").select("id", "item").distinct()
-    of_items = of_items.groupBy("id").agg(F.sort_array(F.collect_list(F.col("item").cast("string"))).alias("items"))
-    out = marked.select("id", "n_words").join(covered, "id", "left").join(of_items, "id", "left")
+    of_items = spans.select("row", "words").distinct().join(windows, "words").select("row", "item").distinct()
+    of_items = of_items.groupBy("row").agg(F.sort_array(F.collect_list(F.col("item").cast("string"))).alias("items"))
+    out = marked.select("row", "id", "n_words").join(covered, "row", "left").join(of_items, "row", "left")
     return out.select(
         F.col("id").alias(id),
         "n_words",

@@ -19,7 +19,7 @@ a bounded number of anchors; an anchor that stands in very many documents is hel
 hundred bytes in one task, once per distinct document.
 
 Defined cases: null and empty texts have no bytes. Rows that repeat an id are one document: their
-text does not repeat itself. Rows without an id are returned as they are. A document equal to an
+texts do not repeat each other, and each is cut by what earlier documents have of it. Rows without an id are returned as they are. A document equal to an
 earlier one loses all bytes if it has ``length`` bytes, else none.
 """
 
@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,8 @@ SHALLOW = 16
 HASHES_PER_TASK = 1 << 22
 CONTEXTS_PER_TASK = 1 << 17
 SLICE_BYTES = 1 << 22
+# Begin and end of a span, and the mark of the text it is in.
+SPAN_BYTES = 24
 
 _PLACE_BITS = np.uint64(30)
 _SPREAD = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -254,6 +257,8 @@ def _send_contexts(hash_tasks: int, tasks: int, length: int, k: int = GRAM):
             if not len(place):
                 continue
             id = part.column("id").to_numpy(zero_copy_only=False)[row]
+            body = data.tobytes()
+            mark = np.array([text_mark(body[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], np.uint64)[row]
             task = (t.mix(h ^ _SPREAD[0]) % np.uint64(tasks)).astype(np.int64)
             padded = np.concatenate([np.zeros(before, np.uint8), data, np.zeros(length, np.uint8)])
             around = np.lib.stride_tricks.sliding_window_view(padded, before + length)
@@ -265,6 +270,7 @@ def _send_contexts(hash_tasks: int, tasks: int, length: int, k: int = GRAM):
                         h[o].tobytes(),
                         id[o].astype(np.int64).tobytes(),
                         (place[o] - bounds[row[o]]).astype(np.int64).tobytes(),
+                        mark[o].tobytes(),
                         (place[o] - last[o]).astype(np.uint8).tobytes(),
                         (place[o] - first[o]).astype(np.uint8).tobytes(),
                         around[place[o]].tobytes(),
@@ -333,15 +339,15 @@ def _spans(buckets: int, length: int, k: int = GRAM):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _by_task(batches):
-            parts: list[list[np.ndarray]] = [[] for _ in range(6)]
+            parts: list[list[np.ndarray]] = [[] for _ in range(7)]
             for n, packed in rows:
-                body = pa.decompress(packed, n * (26 + wide), "zstd")
+                body = pa.decompress(packed, n * (34 + wide), "zstd")
                 at = 0
-                for i, (kind, size) in enumerate((("<u8", 8), ("<i8", 8), ("<i8", 8), ("u1", 1), ("u1", 1), ("u1", wide))):
+                for i, (kind, size) in enumerate((("<u8", 8), ("<i8", 8), ("<i8", 8), ("<u8", 8), ("u1", 1), ("u1", 1), ("u1", wide))):
                     parts[i].append(np.frombuffer(body, kind, n * size // np.dtype(kind).itemsize, at))
                     at += n * size
             rows.clear()
-            h, id, place, low, high, around = (np.concatenate(p) for p in parts)
+            h, id, place, mark, low, high, around = (np.concatenate(p) for p in parts)
             around = around.reshape(-1, wide)
             begin, end = np.full(len(h), -1), np.full(len(h), -1)
             for back in range(before, -1, -1):
@@ -359,19 +365,28 @@ def _spans(buckets: int, length: int, k: int = GRAM):
                 begin[fresh] = place[fresh] - back
                 end[late] = place[late] - back + length
             found = np.flatnonzero(begin >= 0)
-            pairs = np.stack([begin[found], end[found]], axis=1).astype("<i8")
-            yield from _packed(id[found], pairs.view(np.uint8).reshape(-1, 16), buckets)
+            pairs = np.stack([begin[found], end[found], mark[found].view(np.int64)], axis=1).astype("<i8")
+            yield from _packed(id[found], pairs.view(np.uint8).reshape(-1, SPAN_BYTES), buckets)
 
     return run
 
 
-def cut(body: bytes, spans: bytes | None, whole: bool, length: int) -> tuple[bytes, int, int]:
-    """(what is left, bytes removed, number of runs removed)"""
-    if whole:
+def text_mark(body: bytes) -> int:
+    """Tells the texts of one id apart."""
+    return xxhash.xxh3_64_intdigest(body)
+
+
+def cut(body: bytes, spans: bytes | None, copies: list[str] | None, length: int) -> tuple[bytes, int, int]:
+    """(what is left, bytes removed, number of runs removed); ``copies`` are the digests of the texts
+    of this id that an earlier document has whole, ``spans`` are of all texts of the id."""
+    if copies and hashlib.sha256(body).hexdigest() in copies:
         return (b"", len(body), 1) if len(body) >= length else (body, 0, 0)
     if not spans:
         return body, 0, 0
-    pairs = np.frombuffer(spans, "<i8").reshape(-1, 2)
+    pairs = np.frombuffer(spans, "<i8").reshape(-1, 3)
+    pairs = pairs[pairs[:, 2].view(np.uint64) == np.uint64(text_mark(body))]
+    if not len(pairs):
+        return body, 0, 0
     mark = np.zeros(len(body) + 1, np.int64)
     np.add.at(mark, pairs[:, 0], 1)
     np.add.at(mark, pairs[:, 1], -1)
@@ -389,32 +404,33 @@ def dedup_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     # Documents equal to an earlier one: only their ids and digests are shuffled.
     digests = stage(named.select("id", F.sha2("text", 256).alias("digest"), F.octet_length("text").alias("n")), "passage-digests")
     firsts = digests.groupBy("digest").agg(F.min("id").alias("first"))
-    copies = stage(digests.join(firsts, "digest").where("id > first").select("id").distinct(), "passage-copies")
+    texts = digests.join(firsts, "digest").select("id", "digest", (F.col("id") > F.col("first")).alias("copy")).distinct()
+    # An id may have several texts: those that are copies go whole, the others are looked through.
+    of_ids = texts.groupBy("id").agg(F.collect_list(F.when(F.col("copy"), F.col("digest"))).alias("copies"), F.min("copy").alias("all"))
+    copies = stage(of_ids.where(F.size("copies") > 0), "passage-copies")
     total = digests.agg(F.sum("n")).first()[0] or 0
     anchors_expected = 2 * total // (length - GRAM + 2) + 1
     hash_tasks = int(anchors_expected // HASHES_PER_TASK) + 1
     hashes = named.mapInArrow(_send_hashes(hash_tasks, length), "task int, codes binary, ids binary")
     back = hashes.repartition(hash_tasks, "task").sortWithinPartitions("task").mapInArrow(_repeated_hashes(hash_tasks), PACKED)
-    wanted = stage(_by_document(back, hash_tasks, 5), "passage-hashes").join(copies, "id", "left_anti")
+    wanted = stage(_by_document(back, hash_tasks, 5), "passage-hashes").join(copies.where("all"), "id", "left_anti")
     repeated = wanted.agg(F.sum("n")).first()[0] or 0
     tasks = int(repeated // CONTEXTS_PER_TASK) + 1
     contexts = named.join(wanted.select("id", "found").hint("shuffle_hash"), "id").mapInArrow(
         _send_contexts(hash_tasks, tasks, length), "task int, n long, body binary"
     )
     spans = contexts.repartition(tasks, "task").sortWithinPartitions("task").mapInArrow(_spans(hash_tasks, length), PACKED)
-    gone = _by_document(spans, hash_tasks, 16).select("id", F.col("found").alias("spans"))
-    gone = gone.withColumn("whole", F.lit(False)).unionByName(
-        copies.select("id", F.lit(None).cast("binary").alias("spans"), F.lit(True).alias("whole"))
-    )
+    gone = _by_document(spans, hash_tasks, SPAN_BYTES).select("id", F.col("found").alias("spans"))
+    gone = gone.join(copies.select("id", "copies"), "id", "full")
     cuts = named.join(gone.hint("shuffle_hash"), "id", "left")
     cuts = cuts.unionByName(nameless, allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in t.slices(batches, "text", SLICE_BYTES):
             left = []
-            for body, spans, whole in zip(*(part.column(c).to_pylist() for c in ("text", "spans", "whole"))):
+            for body, spans, whole in zip(*(part.column(c).to_pylist() for c in ("text", "spans", "copies"))):
                 body = body.encode()
-                kept, removed, runs = cut(body, spans, bool(whole), length)
+                kept, removed, runs = cut(body, spans, whole, length)
                 left.append((len(body), removed, runs, kept, hashlib.sha256(kept).hexdigest()))
             columns = list(zip(*left))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
@@ -424,4 +440,4 @@ def dedup_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
             )
 
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
-    return cuts.select("id", "text", "spans", "whole").mapInArrow(run, schema).withColumnRenamed("id", id)
+    return cuts.select("id", "text", "spans", "copies").mapInArrow(run, schema).withColumnRenamed("id", id)

@@ -248,6 +248,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     many neighbours costs what its rows cost.
     """
     now = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    before = _sum(now)
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
@@ -259,8 +260,8 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         down = up.join(small, "a")
         after = down.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b")))
         after = stage(after.where("a <> b").distinct(), "edges")
-        same = _sum(now) == _sum(after)
-        now = after
+        sums = _sum(after)
+        same, now, before = sums == before, after, sums
         if same:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -9,6 +9,7 @@ from cartwright.functions.context import time_bucket
 from cartwright.lineage import temporary
 from cartwright.plans.cart import CART, applied, folded_actions
 from cartwright.plans.recommend import Options, Tables, cart_boost, recommend
+from cartwright.streaming import cart_store
 
 
 def cart_state_stream(events: DataFrame, out: str, state: str, checkpoint: str):
@@ -19,29 +20,13 @@ def cart_state_stream(events: DataFrame, out: str, state: str, checkpoint: str):
     micro-batches they go by arrival: an action that arrives late is applied when it arrives, after
     actions of a later time that were there before it, as the shop does. Returns the running query.
 
-    The quantities are kept as a table in two folders that take turns: a micro-batch reads what the
-    one before has left and overwrites the other, so a batch that is replayed gives the same result.
+    The quantities are kept in a store (``streaming.cart_store``) to which a micro-batch adds what it
+    touches; a batch that is replayed starts from the same state and gives the same result.
+    ``cart_store.read_carts`` reads what is in the carts now.
     """
-    columns = ["event_id", "ts", *CART, "action", "delta"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.select(*columns)
-        last = batch.groupBy(*CART).agg(F.max("ts").alias("ts"))
-        changes = folded_actions(batch).join(last, CART)
-        if batch_id == 0:
-            before = changes.select(*CART, F.lit(0).cast("bigint").alias("qty")).where("false")
-        else:
-            before = spark.read.schema("user_id long, product_id long, qty long").parquet(f"{state}/{(batch_id - 1) % 2}")
-        after = before.join(changes, CART, "full")
-        held = F.coalesce("qty", F.lit(0))
-        qty = F.when(F.col("f").isNull(), held).otherwise(applied(F.col("f"), held))
-        after = after.select(*CART, qty.alias("qty"), "ts").persist()
-        try:
-            after.where("ts is not null").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-            after.where("qty > 0").select(*CART, "qty").write.mode("overwrite").parquet(f"{state}/{batch_id % 2}")
-        finally:
-            after.unpersist()
+        apply_batch(batch, batch_id, out, state)
 
     return (
         events.writeStream.foreachBatch(write)
@@ -51,6 +36,26 @@ def cart_state_stream(events: DataFrame, out: str, state: str, checkpoint: str):
     )
 
 
+def apply_batch(batch: DataFrame, batch_id: int, out: str, state: str) -> None:
+    """Apply the actions of one micro-batch to the quantities that the one before has left."""
+    spark = batch.sparkSession
+    batch = batch.select("event_id", "ts", *CART, "action", "delta")
+    last = batch.groupBy(*CART).agg(F.max("ts").alias("ts"))
+    changes = folded_actions(batch).join(last, CART).withColumn("bucket", cart_store.bucket()).persist()
+    try:
+        buckets = [r[0] for r in changes.select("bucket").distinct().collect()]
+        known = cart_store.manifest(spark, state, batch_id - 1)
+        before = cart_store.quantities(spark, state, known, buckets).select(*CART, F.col("qty").alias("held"))
+        qty = applied(F.col("f"), F.coalesce("held", F.lit(0)))
+        after = changes.join(before, CART, "left").select(*CART, qty.alias("qty"), "ts")
+        after.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    finally:
+        changes.unpersist()
+    # What was written is the result; it is not worked out a second time.
+    touched = spark.read.schema("user_id long, product_id long, qty long").parquet(f"{out}/batch={batch_id}")
+    cart_store.commit(spark, state, known, batch_id, touched)
+
+
 def boost_requests(adds: DataFrame, top_k: int = 5) -> DataFrame:
     """One request per add-to-cart event: the basket is the added product."""
     return adds.select(

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from cartwright import lineage
 from cartwright.plans import cart
+from cartwright.streaming import cart_store
+from cartwright.streaming.cart import apply_batch as cart_batch
 from cartwright.streaming.cart import cart_state_stream
 
 EVENTS = "event_id long, ts timestamp, user_id long, product_id long, action string, delta int"
@@ -126,3 +128,75 @@ def test_staged_tables_of_a_scope_are_removed(spark, tmp_path, monkeypatch):
         lineage.stage(spark.range(3), "gone")
     assert kept.count() == 3
     assert [p.name.split("-")[0] for p in (tmp_path / "cartwright").iterdir()] == ["kept"]
+
+
+@pytest.fixture(autouse=True)
+def few_buckets(monkeypatch):
+    monkeypatch.setattr(cart_store, "BUCKETS", 4)
+
+
+def batches(rng, n, size, users=30):
+    """Actions in the order of their arrival, which is that of their time."""
+    out, t = [], 0
+    for _ in range(n):
+        rows = []
+        for _ in range(size):
+            t += 1
+            action = rng.choice(["add", "add", "delta", "remove"])
+            rows.append((t, rng.randrange(users), rng.randrange(4), action, rng.choice([-2, -1, 1, 2]) if action == "delta" else 0))
+        out.append(rows)
+    return out
+
+
+def apply_all(spark, tmp_path, parts, first=0):
+    for i, rows in enumerate(parts, first):
+        cart_batch(events(spark, rows), i, str(tmp_path / "out"), str(tmp_path / "state"))
+
+
+def test_a_batch_writes_what_it_touches(spark, tmp_path, monkeypatch):
+    """A large first batch, then small ones: their runs hold their own items, and the base stays."""
+    monkeypatch.setattr(cart_store, "SMALL_BASE", 10)
+    rng = random.Random(3)
+    parts = batches(rng, 1, 400) + batches(rng, 3, 5)
+    parts = [[(1000 * i + t, *rest) for t, *rest in rows] for i, rows in enumerate(parts)]
+    apply_all(spark, tmp_path, parts)
+    now = cart_store.latest(spark, str(tmp_path / "state"))
+    assert [n for n, _ in now.base] == ["base-0"] and [n for n, _ in now.changes] == ["batch-1", "batch-2", "batch-3"]
+    assert all(rows <= 5 for _, rows in now.changes)
+    assert state(cart_store.read_carts(spark, str(tmp_path / "state"))) == replay([r for rows in parts for r in rows])
+
+
+def test_compaction_keeps_the_state_and_drops_old_runs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cart_store, "MANY_RUNS", 3)
+    monkeypatch.setattr(cart_store, "SMALL_BASE", 60)
+    parts = batches(random.Random(4), 8, 6)
+    apply_all(spark, tmp_path, parts)
+    place = str(tmp_path / "state")
+    assert state(cart_store.read_carts(spark, place)) == replay([r for rows in parts for r in rows])
+    now = cart_store.latest(spark, place)
+    kept = {p.name.removeprefix("run=") for p in (tmp_path / "state" / "runs").iterdir()}
+    assert now.folders() <= kept and kept == now.folders() | cart_store.manifest(spark, place, 6).folders()
+    assert {p.name for p in (tmp_path / "state" / "manifest").iterdir()} == {"6", "7"}
+
+
+def test_a_replayed_batch_gives_the_same_state(spark, tmp_path, monkeypatch):
+    """A batch dies after its run is written, or is delivered again: nothing counts twice."""
+    monkeypatch.setattr(cart_store, "MANY_RUNS", 2)
+    parts = batches(random.Random(5), 3, 12, users=4)
+    place = str(tmp_path / "state")
+    apply_all(spark, tmp_path, parts[:2])
+    with monkeypatch.context() as broken:
+        broken.setattr(cart_store, "_write_manifest", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            apply_all(spark, tmp_path, parts[2:], 2)
+    assert state(cart_store.read_carts(spark, place)) == replay([r for rows in parts[:2] for r in rows])
+    for _ in range(2):
+        apply_all(spark, tmp_path, parts[2:], 2)
+    assert state(cart_store.read_carts(spark, place)) == replay([r for rows in parts for r in rows])
+
+
+def test_an_empty_batch(spark, tmp_path):
+    parts = [[], batches(random.Random(6), 1, 5)[0], []]
+    apply_all(spark, tmp_path, parts)
+    assert state(cart_store.read_carts(spark, str(tmp_path / "state"))) == replay(parts[1])
+    assert cart_store.read_carts(spark, str(tmp_path / "nowhere")).count() == 0

@@ -142,6 +142,39 @@ def test_rule_store(spark, txns, mining, tmp_path):
         rule_store.load(spark, str(tmp_path / "bad"))
 
 
+def some_rules(spark, n):
+    rows = [("L5", "GLOBAL", f"r{i}", [1], i + 2, 0.5, 2.0, 0.1, 0.4) for i in range(n)]
+    kinds = "context_level string, context_key string, rule_id string, antecedent array<long>, consequent long"
+    return spark.createDataFrame(rows, f"{kinds}, confidence double, lift double, support double, score double")
+
+
+def test_a_save_that_dies_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "store")
+    assert rule_store.current(spark, path) is None and rule_store.save(some_rules(spark, 3), path) == 1
+    broken = some_rules(spark, 5).withColumn("score", F.when(F.col("consequent") > 4, F.raise_error(F.lit("lost"))).otherwise(0.1).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        rule_store.save(broken, path)
+    (tmp_path / "store" / "versions" / "2").mkdir(exist_ok=True)
+    assert rule_store.current(spark, path) == 1 and rule_store.load(spark, path).count() == 3
+    assert rule_store.save(some_rules(spark, 4), path) == 3 and rule_store.load(spark, path).count() == 4
+
+
+def test_a_reader_keeps_its_version(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rule_store.save(some_rules(spark, 3), path)
+    reader = rule_store.load(spark, path)
+    for n in (4, 5):
+        rule_store.save(some_rules(spark, n), path)
+    assert reader.count() == 3 and rule_store.load(spark, path, number=2).count() == 4
+    assert rule_store.expire(spark, path) == [1] and rule_store.expire(spark, path) == []
+    assert rule_store.load(spark, path).count() == 5 and rule_store.load(spark, path, number=2).count() == 4
+    with pytest.raises(Exception, match="1"):
+        rule_store.load(spark, path, number=1)
+    assert rule_store.load(spark, path, number=3).columns == rule_store.load(spark, path, number=2).columns
+    with pytest.raises(ValueError, match="no version"):
+        rule_store.load(spark, str(tmp_path / "nowhere"))
+
+
 def test_mining_plan_has_no_python(txns, mining):
     plan = rules.frequent_itemsets(txns, mining)._jdf.queryExecution().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan and "SinglePartition" not in plan

@@ -124,42 +124,48 @@ def anchors(rules: DataFrame, popularity: DataFrame) -> DataFrame:
     return items.join(bought, "item", "left").groupBy("antecedent").agg(least["item"].alias("anchor"))
 
 
-def signature_rules(matches: DataFrame, rules: DataFrame, popularity: DataFrame, opts: Options = Options()) -> DataFrame:
-    """Rules summed over the contexts a signature matches.
-
-    (signature, antecedent, consequent, units, level_mask, anchor); ``units`` is the summed
-    score in whole units, ``anchor`` the antecedent item the basket is joined on: the rarest, so
-    that a popular product does not draw all its rules for each basket.
-    """
-    units = to_units(F.col("score") * weight_column(opts.level_weight) * F.col("match_ratio"))
+def antecedents(rules: DataFrame, popularity: DataFrame) -> DataFrame:
+    """(antecedent, antecedent_id, anchor), written: few next to the rules, and numbers from here on."""
+    return stage(anchors(rules, popularity).withColumn("antecedent_id", F.monotonically_increasing_id()), "antecedents")
+
+
+def signature_rules(matches: DataFrame, rules: DataFrame, numbers: DataFrame, opts: Options = Options()) -> DataFrame:
+    """(signature, antecedent_id, consequent, units, level_mask): rules summed over the contexts a
+    signature matches; ``units`` is the summed score in whole units."""
+    # What depends on the rule alone is worked out before its rows multiply.
+    weighted = (F.col("score") * weight_column(opts.level_weight)).alias("weighted")
+    scored = rules.select(*CONTEXT, "antecedent", "consequent", weighted, level_bit(F.col("context_level")).alias("bit"))
+    scored = scored.join(build_side(numbers.select("antecedent", "antecedent_id")), "antecedent").drop("antecedent")
+    units = to_units(F.col("weighted") * F.col("match_ratio"))
     return (
-        matches.join(rules.select(*CONTEXT, "antecedent", "consequent", "score"), CONTEXT)
-        .groupBy("signature", "antecedent", "consequent")
-        .agg(F.sum(units).alias("units"), F.bit_or(level_bit(F.col("context_level"))).alias("level_mask"))
-        .join(anchors(rules, popularity), "antecedent")
+        matches.join(scored, CONTEXT)
+        .groupBy("signature", "antecedent_id", "consequent")
+        .agg(F.sum(units).alias("units"), F.bit_or("bit").alias("level_mask"))
     )
 
 
 # ---- recall ---------------------------------------------------------------------------
 
 
-def rule_matches(contexts: DataFrame, sig_rules: DataFrame) -> DataFrame:
-    """Rules whose antecedent lies in the basket and whose consequent does not.
+def held_antecedents(contexts: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(request_id, top_k, signature, basket, antecedent_id, antecedent): antecedents that lie in the basket.
 
-    Joined on one antecedent item, the least bought one, and checked for the others in place, so
-    that no pairs of items are built.
+    Joined on one antecedent item, the least bought one, so that a popular product does not draw
+    everything it is part of, and checked for the others in place: no pairs of items are built,
+    and an antecedent is looked at once per basket, however many rules and contexts have it.
     """
-    hit = contained(contexts, sig_rules)
-    return hit.select("request_id", "top_k", "antecedent", F.col("consequent").alias("product_id"), "units", "level_mask")
-
-
-def contained(contexts: DataFrame, rules: DataFrame) -> DataFrame:
     cart = normal_basket(F.col("basket"))
     carts = contexts.select("request_id", "top_k", "signature", "basket", cart.alias("_cart"))
     entries = carts.withColumn("anchor", F.explode("_cart"))
     inside = F.size(F.array_except("antecedent", "_cart")) == 0
-    fresh = ~F.array_contains("basket", F.col("consequent"))
-    return entries.join(rules, ["signature", "anchor"]).where(inside & fresh)
+    return entries.join(build_side(numbers), "anchor").where(inside).drop("_cart", "anchor")
+
+
+def rule_matches(contexts: DataFrame, sig_rules: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Rules whose antecedent lies in the basket and whose consequent does not."""
+    hit = held_antecedents(contexts, numbers).join(sig_rules, ["signature", "antecedent_id"])
+    hit = hit.where(~F.array_contains("basket", F.col("consequent")))
+    return hit.select("request_id", "top_k", "antecedent", F.col("consequent").alias("product_id"), "units", "level_mask")
 
 
 def rule_candidates(matches: DataFrame, opts: Options = Options()) -> DataFrame:
@@ -185,13 +191,15 @@ def matched_contexts(
     """Which rule contexts contributed to a request, with hits, level weight and match ratio."""
     # The hits of a rule are the same for every context that holds it, so a rule is joined
     # once per signature with the list of its contexts.
+    numbers = antecedents(rules, popularity)
+    named = rules.select(*CONTEXT, "antecedent", "consequent").join(build_side(numbers.drop("anchor")), "antecedent")
     held = (
-        matches.join(rules.select(*CONTEXT, "antecedent", "consequent"), CONTEXT)
-        .groupBy("signature", "antecedent", "consequent")
+        matches.join(named.drop("antecedent"), CONTEXT)
+        .groupBy("signature", "antecedent_id", "consequent")
         .agg(F.collect_list(F.struct(*CONTEXT, "match_ratio")).alias("held"))
-        .join(anchors(rules, popularity), "antecedent")
     )
-    hit = contained(contexts, held)
+    hit = held_antecedents(contexts, numbers).join(held, ["signature", "antecedent_id"])
+    hit = hit.where(~F.array_contains("basket", F.col("consequent")))
     rows = hit.select("request_id", F.explode("held").alias("h")).select("request_id", "h.*")
     counted = rows.groupBy("request_id", *CONTEXT, "match_ratio").agg(F.count(F.lit(1)).alias("hits"))
     return counted.withColumn("level_weight", weight_column(opts.level_weight))
@@ -518,10 +526,11 @@ def recommend(requests: DataFrame, tables: Tables, opts: Options = Options()) ->
     contexts = numbered(contexts)
     sigs = sigs.drop("signature").withColumnRenamed("signature_id", "signature")
     # Its size grows with the rules and contexts, so it is measured before it is joined.
-    sig_rules = stage(signature_rules(matches, tables.rules, tables.popularity, opts), "signature-rules")
+    numbers = antecedents(tables.rules, tables.popularity)
+    sig_rules = stage(signature_rules(matches, tables.rules, numbers, opts), "signature-rules")
     lists = stage(signature_fallback(sigs, tables.popularity), "signature-fallback")
 
-    hits = rule_matches(contexts, build_side(sig_rules))
+    hits = rule_matches(contexts, build_side(sig_rules), numbers)
     candidates = rule_candidates(hits, opts)
     # The rule recall is the costly part and three later steps read it.
     summary = stage(rule_summary(contexts, candidates), "rule-candidates")

@@ -104,6 +104,16 @@ def _from_five(body: bytes) -> np.ndarray:
     return raw.view("<u8").ravel()
 
 
+def _five_joined(bodies: list[bytes]) -> np.ndarray:
+    """The codes of several messages, without a copy of them end to end."""
+    out = np.zeros(sum(map(len, bodies)) // 5, np.uint64)
+    wide, at = out.view(np.uint8).reshape(-1, 8), 0
+    for body in bodies:
+        wide[at : at + len(body) // 5, :5] = np.frombuffer(body, np.uint8).reshape(-1, 5)
+        at += len(body) // 5
+    return out
+
+
 def _small(values: np.ndarray) -> bytes:
     """Sorted whole numbers, as differences, packed."""
     body = np.diff(values, prepend=0).astype("<i8").tobytes()
@@ -172,18 +182,25 @@ def _repeated_hashes(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _by_task(batches):
-            code = np.concatenate([_from_five(c) for c, _ in rows])
+            code = _five_joined([c for c, _ in rows])
+            order = np.argsort(code)
+            code = code[order]
             id = np.concatenate([_from_small(i) for _, i in rows])
             rows.clear()
-            order = np.argsort(code)
-            code, id = code[order], id[order]
-            at = np.concatenate([[0], np.flatnonzero(code[1:] != code[:-1]) + 1])
-            low, high = np.minimum.reduceat(id, at), np.maximum.reduceat(id, at)
-            size = np.diff(np.concatenate([at, [len(code)]]))
-            keep = np.repeat(low != high, size)
+            id = id[order]
+            del order
+            new = np.ones(len(code), bool)
+            np.not_equal(code[1:], code[:-1], out=new[1:])
+            at = np.flatnonzero(new)
+            several = np.minimum.reduceat(id, at) != np.maximum.reduceat(id, at)
+            keep = several[np.cumsum(new, dtype=np.int32) - 1]
+            del new, at, several
             code, id = code[keep], id[keep]
             raw = np.frombuffer(_five(code), np.uint8).reshape(-1, 5)
+            del keep, code
             yield from _packed(id, raw, buckets)
+            del id, raw
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -193,9 +210,12 @@ PACKED = "bucket int, ids binary, counts binary, body binary"
 
 def _packed(id: np.ndarray, items: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """Items (rows of bytes) of documents, one row for all documents of a bucket."""
-    bucket = (t.mix(id.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    bucket = (t.mix(id.astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
     order = np.lexsort((id, bucket))
-    id, items, bucket = id[order], items[order], bucket[order]
+    id = id[order]
+    bucket = bucket[order]
+    items = items[order]
+    del order
     for start, end in _cuts(bucket):
         runs = _cuts(id[start:end])
         yield pa.RecordBatch.from_arrays(

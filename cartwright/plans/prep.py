@@ -119,6 +119,21 @@ def attach_optional(df: DataFrame, table: DataFrame | None, column: str, default
     return joined.withColumn(column, F.coalesce(F.col(column), F.lit(default)))
 
 
+def attach_users(orders: DataFrame, *tables: DataFrame | None) -> DataFrame:
+    """Rows with the columns of the user tables that are given.
+
+    The user tables are joined to each other first, so the rows are shuffled once. Orders that get
+    them before they meet their lines are shuffled as narrow rows, and baskets are not shuffled by user at all.
+    """
+    given = [t for t in tables if t is not None]
+    if not given:
+        return orders
+    users = given[0]
+    for table in given[1:]:
+        users = users.join(table, "user_id", "full")
+    return orders.join(users, "user_id", "left")
+
+
 def transactions_context(
     basket_orders: DataFrame,
     purchase_freq: DataFrame | None = None,
@@ -127,15 +142,11 @@ def transactions_context(
     behavior: DataFrame | None = None,
     levels: Mapping[str, Sequence[str]] = CONTEXT_LEVELS,
 ) -> DataFrame:
-    """Baskets with the eight context dimensions and one key per level."""
-    # The user tables are joined to each other first, so the baskets are shuffled once.
-    out = order_context(basket_orders)
-    given = [t for t in (purchase_freq, lifecycle, preference, behavior) if t is not None]
-    if given:
-        users = given[0]
-        for table in given[1:]:
-            users = users.join(table, "user_id", "full")
-        out = out.join(users, "user_id", "left")
+    """Baskets with the eight context dimensions and one key per level.
+
+    User columns may be on the baskets already (``attach_users``); what is missing gets its default.
+    """
+    out = attach_users(order_context(basket_orders), purchase_freq, lifecycle, preference, behavior)
     defaults = {
         "purchase_frequency": "medium",
         "lifecycle_stage": TRAIN_DEFAULTS["lifecycle_stage"],

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cartwright.config import SERVE_DEFAULTS, SERVING_LIST_SIZE, TIME_BUCKETS, Mining
 from cartwright.lineage import stage
 from cartwright.plans import evaluate, features, popularity, prep, recommend, rules, segments
+from cartwright.sources.facts import bucket_count, stage_buckets
 from cartwright.sources.retail import Retail
 
 # The library's support. The gates are fixed and below the library's, as the given tables are small: some
@@ -44,17 +45,25 @@ class Fixture:
 
     # ---- features and segments --------------------------------------------------------
 
+    @cached_property
+    def buckets(self) -> int:
+        """Buckets of the facts, from the row count in the files' footers."""
+        return bucket_count(self.part.table("lineitem").count())
+
+    def fact(self, rows: DataFrame, name: str) -> DataFrame:
+        return stage_buckets(rows, "order_id", self.buckets, name)
+
     @cached_property
     def orders(self) -> DataFrame:
-        return stage(self.part.orders(), "orders")
+        return self.fact(self.part.orders(), "orders")
 
     @cached_property
     def lines(self) -> DataFrame:
-        return stage(self.part.order_products(self.orders), "lines")
+        return self.fact(self.part.order_products(self.orders), "lines")
 
     @cached_property
     def brand_lines(self) -> DataFrame:
-        return stage(self.brand.order_products(self.orders), "brand-lines")
+        return self.fact(self.brand.order_products(self.orders), "brand-lines")
 
     @cached_property
     def behavior(self) -> DataFrame:
@@ -103,13 +112,14 @@ class Fixture:
     # ---- transactions and rules -------------------------------------------------------
 
     def transactions(self) -> DataFrame:
-        return prep.transactions_context(
-            prep.baskets(self.orders, self.brand_lines),
+        orders = prep.attach_users(
+            self.orders,
             prep.purchase_frequency(self.features),
             self.stages,
             self.preference_clusters.withColumnRenamed("cluster", "preference_cluster"),
             self.behavior_clusters.withColumnRenamed("cluster", "behavior_cluster"),
         )
+        return prep.transactions_context(prep.baskets(orders, self.brand_lines))
 
     @cached_property
     def brand_transactions(self) -> DataFrame:

@@ -129,8 +129,8 @@ def order_context(spark, path):
        FROM x_baskets JOIN x_heads USING (order_id)""",
 )
 def baskets(spark, path):
-    brand = Fixture.of(spark, path).brand
-    out = prep.baskets(brand.order_heads(), brand.basket_lines())
+    f = Fixture.of(spark, path)
+    out = prep.baskets(f.orders, f.brand_lines)
     return out.select("order_id", "user_id", set_text(F.col("products")).alias("products"), "basket_size")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 from functools import cached_property
 
@@ -9,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.config import SERVE_DEFAULTS, SERVING_LIST_SIZE, TIME_BUCKETS, Mining
-from cartwright.lineage import stage
-from cartwright.plans import evaluate, features, popularity, prep, recommend, rules, segments
+from cartwright.lineage import stage, stream_folder
+from cartwright.plans import evaluate, features, popularity, popularity_days, prep, recommend, rules, segments
+from cartwright.sources import day_counts
 from cartwright.sources.facts import bucket_count, stage_buckets
 from cartwright.sources.retail import Retail
+from cartwright.sources.tables import write_table
 
 # The library's support. The gates are fixed and below the library's, as the given tables are small: some
 # contexts of every level pass. A set counts as frequent from five transactions on.
@@ -165,6 +168,38 @@ class Fixture:
             out = out.unionByName(part)
         return stage(out, "popularity")
 
+    @cached_property
+    def day_counts(self) -> str:
+        """The store of popularity per day, filled with a batch for each quarter (of all years), so that the days
+        of a batch lie between those of others."""
+        path = f"{stream_folder(self.spark)}/cartwright/day-counts-{uuid.uuid4().hex}"
+        heads = prep.order_context(self.part.order_heads()).select("order_id", "order_date", "time_bucket")
+        behavior = self.behavior_clusters.withColumnRenamed("cluster", "behavior_cluster")
+        bought = self.prior_lines.select("user_id", "order_id", "product_id").join(heads, "order_id")
+        bought = prep.attach_users(bought, self.stages, behavior)
+        tiers = {"global": None, "lifecycle": "lifecycle_stage", "behavior": "behavior_cluster", "time": "time_bucket"}
+        counts = stage(popularity_days.day_counts(bought, tiers), "day-counts")
+        for quarter in range(1, 5):
+            day_counts.add(counts.where(F.quarter("day") == quarter), path, f"quarter-{quarter}")
+        day_counts.compact(self.spark, path)
+        return path
+
+    @cached_property
+    def order_files(self) -> str:
+        """The orders as CSV files with columns that no schema knows."""
+        path = f"{stream_folder(self.spark)}/cartwright/order-files-{uuid.uuid4().hex}"
+        rows = self.orders.withColumns(
+            {
+                "weekend": F.col("order_dow").isin(0, 6),
+                # The first order of a user has no order before it: no number, but a word.
+                "gap": F.coalesce(F.col("days_since_prior_order").cast("string"), F.lit("first")),
+                # Not a number in a column that has to be one.
+                "order_number": F.when(F.col("order_hour_of_day") == 0, "midnight").otherwise(F.col("order_number").cast("string")),
+            }
+        )
+        write_table(rows, path, "csv")
+        return path
+
     @cached_property
     def brand_products(self) -> DataFrame:
         products = self.brand.products().join(self.brand.departments(), "department_id")

@@ -4,6 +4,7 @@ from cartwright.functions import baskets as bk
 from cartwright.functions.context import context_array, context_columns, infer_level
 from cartwright.operators.quantiles import exact_quantiles, unpivot
 from cartwright.plans import features, prep, segments
+from cartwright.sources import typed
 from cartwright.config import BEHAVIOR_FEATURES, TRAIN_DEFAULTS
 from registry.common import F, Fixture, near, set_text, shown
 from registry.sql import TIME_BUCKET, half_up, statement
@@ -20,6 +21,30 @@ def query(name, sql):
     return add
 
 
+@query(
+    "typed_scan",
+    """SELECT order_id, user_id, order_date, order_number, order_dow, order_hour_of_day, days_since_prior_order,
+              order_dow IN (0, 6) AS weekend, coalesce(CAST(days_since_prior_order AS VARCHAR), 'first') AS gap
+       FROM x_orders WHERE order_hour_of_day <> 0""",
+)
+def typed_scan(spark, path):
+    """Orders from files: known columns by their schema, the others by the types that are found."""
+    rows = typed.scan(spark, Fixture.of(spark, path).order_files, "orders").rows
+    return rows.drop("eval_set")
+
+
+@query(
+    "malformed_rows",
+    """SELECT 'order_number: not int' AS reason, count(*) AS n, sum(order_id) AS ids FROM x_heads
+       WHERE order_hour_of_day = 0 HAVING count(*) > 0""",
+)
+def malformed_rows(spark, path):
+    """What the typed scan sets apart, by reason."""
+    bad = typed.scan(spark, Fixture.of(spark, path).order_files, "orders").malformed
+    ids = F.split("text", ",")[0].cast("bigint")
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum(ids).alias("ids"))
+
+
 @query(
     "clean_orders",
     """SELECT order_id, user_id, order_number, CAST(order_dow AS TINYINT) AS order_dow,

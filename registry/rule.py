@@ -1,9 +1,12 @@
 """Queries on context transactions, itemsets, rules and popularity."""
 
-from cartwright.config import TOP_RULES_PER_ANTECEDENT, TOP_RULES_PER_CONTEXT
+import datetime as dt
+
+from cartwright.config import SERVING_LIST_SIZE, TOP_RULES_PER_ANTECEDENT, TOP_RULES_PER_CONTEXT
 from cartwright.functions.scoring import antecedent_text
 from cartwright.operators.ranking import top_n
-from cartwright.plans import popularity, prep, rules
+from cartwright.plans import popularity, popularity_days, prep, rules
+from cartwright.sources import day_counts
 from registry.common import F, Fixture, set_text, shown
 from registry.sql import PARTS, PASSES, TIME_BUCKET, half_up, statement
 
@@ -286,6 +289,33 @@ def popular_by_time(spark, path):
     return popularity.popular_by(f.part.basket_lines(), times, "order_id", "time_bucket")
 
 
+@query("popularity_merged", "SELECT tier, tier_key, product_id, cnt, CAST(rank AS INTEGER) AS rank FROM x_popularity")
+def popularity_merged(spark, path):
+    """The serving lists from counts per day that came in batches."""
+    kept = day_counts.read(spark, Fixture.of(spark, path).day_counts)
+    return popularity_days.lists(kept, SERVING_LIST_SIZE)
+
+
+PARTS["x_bought_span"] = """SELECT b.* FROM x_bought b JOIN x_heads h ON h.order_id = b.order_id
+                            WHERE order_date BETWEEN DATE '1999-07-01' AND DATE '2000-06-30'"""
+
+
+@query(
+    "popularity_span",
+    """SELECT tier, tier_key, product_id, cnt, CAST(r AS INTEGER) AS rank FROM (
+         SELECT *, row_number() OVER (PARTITION BY tier, tier_key ORDER BY cnt DESC, product_id) AS r FROM (
+           SELECT 'global' AS tier, '' AS tier_key, product_id, count(*) AS cnt FROM x_bought_span GROUP BY ALL
+           UNION ALL SELECT 'lifecycle', lifecycle_stage, product_id, count(*) FROM x_bought_span GROUP BY ALL
+           UNION ALL SELECT 'behavior', CAST(behavior_cluster AS VARCHAR), product_id, count(*) FROM x_bought_span GROUP BY ALL
+           UNION ALL SELECT 'time', time_bucket, product_id, count(*) FROM x_bought_span GROUP BY ALL))
+       WHERE r <= 50""",
+)
+def popularity_span(spark, path):
+    """Lists of one year; only the counts of its days are read."""
+    kept = day_counts.read(spark, Fixture.of(spark, path).day_counts, dt.date(1999, 7, 1), dt.date(2000, 6, 30))
+    return popularity_days.lists(kept)
+
+
 @query(
     "popularity_lists",
     "SELECT tier, tier_key, array_to_string(list(product_id ORDER BY rank), '|') AS items FROM x_popularity GROUP BY 1, 2",

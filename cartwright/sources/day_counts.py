@@ -16,9 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.plans.popularity_days import merged
+from cartwright.sources.run_log import append as _append
+from cartwright.sources.run_log import log as _log
+from cartwright.sources.run_log import newest, numbers, remove
+from cartwright.sources.run_log import next_number as _next
 
 COUNTS = "day date, tier string, tier_key string, product_id long, cnt long, month int"
-LOG = "number long, batch string, runs array<long>"
 
 
 def add(counts: DataFrame, path: str, batch: str) -> bool:
@@ -29,14 +32,14 @@ def add(counts: DataFrame, path: str, batch: str) -> bool:
         return False
     number = _next(spark, path)
     _write(counts, path, number)
-    _append(spark, path, number, batch, [*_runs(log), number])
+    _append(spark, path, number, batch, [*newest(log)[1], number])
     return True
 
 
 def read(spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
     """Counts of the days from ``first`` to ``last``, one row per day and key; other months are not
     read, and other days are left out by the statistics of the files."""
-    runs = _runs(_log(spark, path))
+    runs = newest(_log(spark, path))[1]
     if not runs:
         return spark.createDataFrame([], COUNTS).drop("month")
     rows = _open(spark, path, runs)
@@ -49,7 +52,7 @@ def read(spark: SparkSession, path: str, first: dt.date | None = None, last: dt.
 
 def compact(spark: SparkSession, path: str) -> int | None:
     """Add all runs up into one; its number, or None if there is nothing to add up."""
-    runs = _runs(_log(spark, path))
+    runs = newest(_log(spark, path))[1]
     if len(runs) < 2:
         return None
     number = _next(spark, path)
@@ -60,11 +63,10 @@ def compact(spark: SparkSession, path: str) -> int | None:
 
 def expire(spark: SparkSession, path: str) -> list[int]:
     """Drop the runs that no reader of the newest line needs; their numbers."""
-    held = set(_runs(_log(spark, path)))
-    gone = [n for n in _numbers(spark, path) if n not in held]
+    held = set(newest(_log(spark, path))[1])
+    gone = [n for n in numbers(spark, path) if n not in held]
     for n in gone:
-        place, system = _place(spark, f"{path}/runs/{n}")
-        system.delete(place, True)
+        remove(spark, f"{path}/runs/{n}")
     return gone
 
 
@@ -84,38 +86,3 @@ def _open(spark: SparkSession, path: str, runs: list[int]) -> DataFrame:
     # Each run is opened by itself: the folders of runs are not a column of the table.
     tables = [spark.read.schema(COUNTS).parquet(f"{path}/runs/{n}") for n in runs]
     return reduce(DataFrame.unionByName, tables)
-
-
-def _log(spark: SparkSession, path: str) -> DataFrame | None:
-    place, system = _place(spark, f"{path}/log")
-    if not system.exists(place) or not system.globStatus(_place(spark, f"{path}/log/*.json")[0]):
-        return None
-    return spark.read.schema(LOG).json(f"{path}/log")
-
-
-def _runs(log: DataFrame | None) -> list[int]:
-    if log is None:
-        return []
-    return list(log.agg(F.max_by("runs", "number")).first()[0])
-
-
-def _append(spark: SparkSession, path: str, number: int, batch: str | None, runs: list[int]) -> None:
-    line = spark.createDataFrame([(number, batch, runs)], LOG)
-    line.coalesce(1).write.mode("append").json(f"{path}/log")
-
-
-def _numbers(spark: SparkSession, path: str) -> list[int]:
-    place, system = _place(spark, f"{path}/runs")
-    return sorted(int(s.getPath().getName()) for s in system.listStatus(place)) if system.exists(place) else []
-
-
-def _next(spark: SparkSession, path: str) -> int:
-    """Runs of batches that died, and lines whose runs are gone, count as well, so no number is used twice."""
-    log = _log(spark, path)
-    newest = 0 if log is None else log.agg(F.max("number")).first()[0]
-    return max([0, newest, *_numbers(spark, path)]) + 1
-
-
-def _place(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())

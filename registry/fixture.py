@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cartwright.config import SERVE_DEFAULTS, SERVING_LIST_SIZE, TIME_BUCKETS, Mining
 from cartwright.lineage import stage, stream_folder
 from cartwright.plans import evaluate, features, popularity, popularity_days, prep, recommend, rules, segments
-from cartwright.sources import day_counts
+from cartwright.sources import day_counts, name_index, set_counts
 from cartwright.sources.facts import bucket_count, stage_buckets
 from cartwright.sources.retail import Retail
 from cartwright.sources.tables import write_table
@@ -137,6 +137,17 @@ class Fixture:
         found = rules.filter_rules(rules.association_rules(self.itemsets), self.mining)
         return stage(rules.build_index(found, self.mining), "index")
 
+    @cached_property
+    def updated_itemsets(self) -> DataFrame:
+        """Itemsets from a store that gets the transactions in three batches, by quarters (of all years)."""
+        path = f"{stream_folder(self.spark)}/cartwright/set-counts-{uuid.uuid4().hex}"
+        quarter = F.quarter("order_date").alias("quarter")
+        dated = self.brand_transactions.join(self.part.order_heads().select("order_id", quarter), "order_id")
+        for name, quarters in (("first half", (1, 2)), ("autumn", (3,)), ("winter", (4,))):
+            set_counts.add(dated.where(F.col("quarter").isin(*quarters)), path, name, self.mining)
+        set_counts.expire(self.spark, path)
+        return set_counts.read(self.spark, path)
+
     @property
     def rules(self) -> DataFrame:
         return self.index
@@ -200,6 +211,13 @@ class Fixture:
         write_table(rows, path, "csv")
         return path
 
+    @cached_property
+    def name_index(self) -> str:
+        """Posting lists of the names of all products."""
+        path = f"{stream_folder(self.spark)}/cartwright/names-{uuid.uuid4().hex}"
+        name_index.build(self.part.products(), path)
+        return path
+
     @cached_property
     def brand_products(self) -> DataFrame:
         products = self.brand.products().join(self.brand.departments(), "department_id")

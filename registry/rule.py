@@ -114,6 +114,16 @@ def frequent_itemsets(spark, path):
     return Fixture.of(spark, path).itemsets.withColumn("items", set_text(F.col("items")))
 
 
+@query(
+    "itemsets_updated",
+    """SELECT context_level, context_key, array_to_string(items, '|') AS items, CAST(len(items) AS INTEGER) AS size, cnt, n
+       FROM x_m_sets""",
+)
+def itemsets_updated(spark, path):
+    """The same itemsets from counts that grew with three batches."""
+    return Fixture.of(spark, path).updated_itemsets.withColumn("items", set_text(F.col("items")))
+
+
 @query(
     "association_rules",
     f"""SELECT context_level, context_key, {SQL_ANT}, consequent, {half_up("confidence")} AS confidence,
@@ -152,6 +162,18 @@ def rule_index(spark, path):
     return index.withColumn("antecedent", set_text(F.col("antecedent")))
 
 
+@query(
+    "rule_index_updated",
+    f"""SELECT context_level, context_key, rule_id, {SQL_ANT}, consequent, confidence, lift, support, score
+        FROM x_m_index""",
+)
+def rule_index_updated(spark, path):
+    """The rules of the updated itemsets, scored."""
+    f = Fixture.of(spark, path)
+    kept = rules.filter_rules(rules.association_rules(f.updated_itemsets), f.mining)
+    return rules.build_index(kept, f.mining).withColumn("antecedent", set_text(F.col("antecedent")))
+
+
 @query(
     "rules_per_antecedent",
     f"""SELECT context_level, context_key, rule_id, {SQL_ANT}, consequent, confidence, lift, support, score, antecedent_rank

@@ -3,6 +3,7 @@
 from cartwright.config import BEHAVIOR_FEATURES
 from cartwright.lineage import stream_folder
 from cartwright.plans import analysis, cart, catalog, recommend
+from cartwright.sources import name_index
 from cartwright.sources.retail import cart_actions
 from cartwright.streaming import cart as stream
 from registry.common import F, Fixture, shown
@@ -116,6 +117,37 @@ def product_search(spark, path):
     return catalog.search(Fixture.of(spark, path).part.products(), "RING", 3)
 
 
+@query("product_search_index", "SELECT * FROM x_products WHERE lower(product_name) LIKE '%ring%' AND department_id = 3")
+def product_search_index(spark, path):
+    """The same search, by the posting lists of the text's grams."""
+    f = Fixture.of(spark, path)
+    return name_index.search(f.part.products(), f.name_index, "RING").where("department_id = 3")
+
+
+@query("product_search_short", "SELECT * FROM x_products WHERE lower(product_name) LIKE '%bo%'")
+def product_search_short(spark, path):
+    """A text shorter than a gram: the grams that begin with it."""
+    f = Fixture.of(spark, path)
+    return name_index.search(f.part.products(), f.name_index, "Bo")
+
+
+PARTS["x_name_words"] = """
+SELECT DISTINCT lower(w) AS word FROM (SELECT unnest(string_split(product_name, ' ')) AS w FROM x_products) WHERE len(w) >= 3
+"""
+
+
+@query(
+    "product_search_many",
+    """SELECT word AS text, product_id FROM x_name_words JOIN x_products ON contains(lower(product_name), word)""",
+)
+def product_search_many(spark, path):
+    """Every word of the catalog's names searched in all names."""
+    f = Fixture.of(spark, path)
+    words = f.part.products().select(F.explode(F.split("product_name", " ")).alias("w"))
+    words = words.select(F.lower("w").alias("text")).where(F.length("text") >= 3).distinct()
+    return name_index.search_many(words, f.part.products(), f.name_index).select("text", "product_id")
+
+
 @query(
     "product_page",
     """SELECT product_id, product_name, price, count(*) OVER () AS total FROM x_products

@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.config import SERVE_DEFAULTS, SERVING_LIST_SIZE, TIME_BUCKETS, Mining
+from cartwright.config import BEHAVIOR_FEATURES, SERVE_DEFAULTS, SERVING_LIST_SIZE, TIME_BUCKETS, Mining
 from cartwright.lineage import stage, stream_folder
 from cartwright.plans import evaluate, features, popularity, popularity_days, prep, recommend, rules, segments
 from cartwright.sources import day_counts, name_index, set_counts
@@ -81,6 +81,12 @@ class Fixture:
         model = segments.behavior_bounds(self.features)
         return stage(segments.behavior_vectorize(self.features, model), "behavior-vectors")
 
+    @cached_property
+    def k_metrics(self) -> DataFrame:
+        """Quality of fits of 2 to 9 clusters, ten restarts each."""
+        points = segments.as_vectors(self.vectors, BEHAVIOR_FEATURES)
+        return stage(segments.find_k(points, BEHAVIOR_FEATURES, range(2, 10), 42, 10), "k-metrics")
+
     @cached_property
     def preference(self) -> DataFrame:
         return features.preference_features(self.orders, self.lines, self.part.products(), self.part.departments())

@@ -1,5 +1,7 @@
 """Queries on segments, clusters and their quality."""
 
+from pyspark.sql import Window
+
 from cartwright.config import BEHAVIOR_FEATURES
 from cartwright.lineage import stage
 from cartwright.plans import analysis, segments
@@ -406,9 +408,32 @@ def pca_invariants(spark, path):
 
 @query("find_k")
 def find_k(spark, path):
+    return Fixture.of(spark, path).k_metrics
+
+
+@query(
+    "find_k_invariants",
+    """SELECT k, (SELECT count(*) FROM x_behavior) AS users, true AS in_range, true AS inertia_falls, true AS squares_add_up
+       FROM range(2, 10) t(k)""",
+)
+def find_k_invariants(spark, path):
+    """What holds for the fits of every k: measures within their range, an inertia that falls as k grows, and squares within
+    and between clusters that add up to those around the mean of all users."""
     f = Fixture.of(spark, path)
-    vectors = segments.as_vectors(f.vectors, BEHAVIOR_FEATURES)
-    return segments.find_k(vectors, BEHAVIOR_FEATURES, range(2, 10), 42, 2)
+    spread = sum(F.var_pop(c) for c in BEHAVIOR_FEATURES) * F.count(F.lit(1))
+    users = f.vectors.agg(F.count(F.lit(1)).alias("users")).scalar()
+    squares = f.vectors.agg(spread.alias("squares")).scalar()
+    # Eight rows, one for each k.
+    before = F.lag("inertia").over(Window.orderBy("k"))
+    known = f.k_metrics.withColumns({"users": users, "squares": squares})
+    between = F.expr("calinski_harabasz * (k - 1) * inertia / (users - k)")
+    return known.select(
+        "k",
+        "users",
+        F.expr("silhouette BETWEEN -1 AND 1 AND calinski_harabasz > 0 AND davies_bouldin > 0").alias("in_range"),
+        F.coalesce(F.col("inertia") < before, F.lit(True)).alias("inertia_falls"),
+        (F.abs((F.col("inertia") + between) / F.col("squares") - 1) < 1e-6).alias("squares_add_up"),
+    )
 
 
 @query("cluster_pca")

@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import brute
+import pytest
 from test_pipeline_ids import SMALL, frame, prose, stage
 
 from cartwright.llm import near_copies
@@ -53,3 +54,31 @@ def test_a_near_copy_goes_and_a_distant_one_stays(spark):
     assert all((fps[a] ^ fps[b]).bit_count() > 4 for a, b in combinations(fps, 2))
     kept = stage("simhash_near_dedup")(spark, frame(spark, texts.items()), SMALL)
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def crowd(rng, rows, pairs):
+    """Texts at 0.785 of each other, so no two are similar, but for pairs that share two of their changes."""
+    words, texts = prose(rng, 1000), []
+    for i in range(rows):
+        at = rng.sample(range(0, 1000, 5), 12)
+        changes = {k: f"x{i}y{k}" for k in at}
+        texts.append(changes)
+    middle = list(range(rows // 3, rows // 3 + 2 * pairs))
+    for a, b in zip(middle[::2], middle[1::2]):
+        for k in list(texts[b])[:2]:
+            del texts[b][k]
+        texts[b].update(list(texts[a].items())[:2])
+    return [" ".join(changes.get(k, x) for k, x in enumerate(words)) for changes in texts]
+
+
+@pytest.mark.parametrize("cell_shingles", [near_copies.CELL_SHINGLES, 60_000])
+def test_rows_of_a_crowded_key_all_meet(spark, cell_shingles):
+    texts = crowd(random.Random(11), 400, 30)
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id long, text string").repartition(4)
+    got = {(min(r), max(r)) for r in near_copies.similar(docs, "id", cell_shingles=cell_shingles).collect()}
+    sets = [shingles(x) for x in texts]
+    both = lambda a, b: len(sets[a] & sets[b])
+    want = {(a, b) for a, b in combinations(range(len(sets)), 2) if (n := both(a, b)) / (len(sets[a]) + len(sets[b]) - n) >= 0.8}
+    assert got <= want and len(want) >= 30
+    of = lambda pairs: brute.components([(i, i) for i in range(len(texts))] + sorted(pairs))
+    assert of(got) == of(want)

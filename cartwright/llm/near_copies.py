@@ -14,6 +14,8 @@ are compared exactly, on their whole sets:
    blocks, and every two blocks meet in a task of their own.
 
 The links connect all similar pairs that share a key; pairs within a component need not be given.
+Only the rows that met anyone have their sets made: a Bloom filter of their ids lets them through
+where the texts are read.
 
 Defined cases: words are runs of visible bytes, in lower case. A row of fewer than five words has
 one shingle, all its words; a row without words is in no pair.
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.lineage import stage
-from cartwright.llm import simhash
+from cartwright.llm import bloom, simhash
 from cartwright.llm import text as t
 
 SHINGLE_WORDS = 5
@@ -37,6 +39,7 @@ SIMILARITY = 0.8
 BANDS = 20
 BAND_ROWS = 5
 CELL_SHINGLES = 1 << 20
+FILTER_BITS, PROBES = 1 << 25, 4
 
 _SEEDS = t.mix(np.arange(1, 2 * BANDS * BAND_ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, -1)
 # The least id after an exclusive or with one of these: the least, the greatest and two others.
@@ -89,13 +92,22 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct shingles of each row."""
-    for part in t.slices(batches, "text"):
-        values, edges = shingles(part.column("text"))
-        cuts = zip(edges[:-1].tolist(), edges[1:].tolist())
-        found = [np.unique(values[a:b]).view(np.int64) for a, b in cuts]
-        yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(found, pa.list_(pa.int64()))], ["id", "shingles"])
+def _sets(marks) -> Callable:
+    """The distinct shingles of each row whose id is in the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in t.slices(batches, "text"):
+            ids = part.column("id").to_numpy(zero_copy_only=False).view(np.uint64)
+            part = part.filter(pa.array(bloom.holds(marks.value, ids, FILTER_BITS, PROBES)))
+            if not part.num_rows:
+                continue
+            values, edges = shingles(part.column("text"))
+            cuts = zip(edges[:-1].tolist(), edges[1:].tolist())
+            found = [np.unique(values[a:b]).view(np.int64) for a, b in cuts]
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(found, pa.list_(pa.int64()))], ["id", "shingles"])
+        pa.default_memory_pool().release_unused()
+
+    return run
 
 
 def _joining(id: np.ndarray, part: np.ndarray, side: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
@@ -212,7 +224,8 @@ def similar(
     met = crowd.select("id", F.explode("leaders").alias("leader")).where("id <> leader")
     pairs = stage(met.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct(), "near-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stage(source.join(wanted, "id", "left_semi").mapInArrow(_sets, "id long, shingles array<long>"), "near-sets")
+    marks = docs.sparkSession.sparkContext.broadcast(bloom.build(wanted, FILTER_BITS, PROBES))
+    sets = stage(source.mapInArrow(_sets(marks), "id long, shingles array<long>"), "near-sets")
     one, two = (sets.select(F.col("id").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "ab")
     shared = pairs.join(one, "a").join(two, "b").select(
         "a", "b", F.size(F.array_intersect("a_set", "b_set")).alias("both"), (F.size("a_set") + F.size("b_set")).alias("sum")

@@ -82,3 +82,24 @@ def test_rows_of_a_crowded_key_all_meet(spark, cell_shingles):
     assert got <= want and len(want) >= 30
     of = lambda pairs: brute.components([(i, i) for i in range(len(texts))] + sorted(pairs))
     assert of(got) == of(want)
+
+
+def test_texts_are_not_shuffled(spark, tmp_path, monkeypatch):
+    rng, plans = random.Random(3), {}
+    words = prose(rng, 100)
+    rows = [(1, " ".join(words)), (2, " ".join(replaced(rng, words, 1))), (3, " ".join(prose(rng, 100)))]
+    spark.createDataFrame(rows, "id long, text string").write.parquet(f"{tmp_path}/docs")
+
+    def noted(df, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return made(df, name, **options)
+
+    made = near_copies.stage
+    monkeypatch.setattr(near_copies, "stage", noted)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [tuple(sorted(r)) for r in near_copies.similar(spark.read.parquet(f"{tmp_path}/docs"), "id").collect()] == [(1, 2)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "text" in plans["near-sets"] and "Exchange" not in plans["near-sets"]

@@ -4,6 +4,7 @@ import datetime as dt
 
 from cartwright.config import SERVING_LIST_SIZE, TOP_RULES_PER_ANTECEDENT, TOP_RULES_PER_CONTEXT
 from cartwright.functions.scoring import antecedent_text
+from cartwright.lineage import stage
 from cartwright.operators.ranking import top_n
 from cartwright.plans import popularity, popularity_days, prep, rules
 from cartwright.sources import day_counts
@@ -199,7 +200,8 @@ def rules_per_antecedent(spark, path):
 def rule_build_stats(spark, path):
     """Counters of an index built from all rules, before any filter."""
     f = Fixture.of(spark, path)
-    found = rules.association_rules(f.itemsets)
+    # Read by the counters and by the index, so the rules are made once.
+    found = stage(rules.association_rules(f.itemsets), "rules-found")
     return rules.build_stats(found, rules.build_index(found, f.mining, TOP_RULES_PER_ANTECEDENT), f.mining)
 
 

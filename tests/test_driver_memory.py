@@ -67,3 +67,17 @@ def test_counts_of_a_level_are_a_job_of_their_own(baskets, monkeypatch, mine):
         monkeypatch.setattr(module, "stage", noted)
     mine(baskets)
     assert counted and [df for name, df in staged if name == "set-counts"] == counted
+
+
+def test_the_rules_of_a_build_are_made_once(spark, monkeypatch):
+    from registry import rule
+
+    seen = []
+    monkeypatch.setattr(rule, "stage", lambda df, name: seen.append(name) or df.limit(0))
+
+    class Some:
+        mining = rule.rules.Mining()
+        itemsets = spark.createDataFrame([("L5", "GLOBAL", [1], 1, 5, 9)], "context_level string, context_key string, items array<long>, size int, cnt long, n long")
+
+    monkeypatch.setattr(rule.Fixture, "of", classmethod(lambda *_: Some))
+    assert rule.QUERIES["rule_build_stats"](spark, "").count() == 1 and seen == ["rules-found"]
